@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from threatloom.operators.shaping import top_per_group
 
@@ -132,7 +133,7 @@ def score(matrix: DataFrame, model: DataFrame) -> DataFrame:
         for rows in batches:
             yield rows.assign(anomaly_score=forest.score(rows[FEATURES].to_numpy(dtype=float)))
 
-    schema = matrix.schema.add("anomaly_score", "double")
+    schema = T.StructType([*matrix.schema.fields, T.StructField("anomaly_score", T.DoubleType())])
     return matrix.mapInPandas(add_score, schema)
 
 

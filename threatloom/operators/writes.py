@@ -132,7 +132,8 @@ def write_json_log(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """JSON lines with sorted keys under hive folders, replacing the folders that occur."""
     ordered = df.select(*sorted(c for c in df.columns if c not in partition_by), *partition_by)
     (
-        ordered.write.mode("overwrite")
+        ordered.hint("rebalance", *partition_by)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("ignoreNullFields", False)
         .partitionBy(*partition_by)
