@@ -7,6 +7,7 @@ import ipaddress
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from threatloom.functions.scalars import first_where, json_string, json_text, strip
 
@@ -14,7 +15,7 @@ _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _IPV4 = rf"{_OCTET}(?:\.{_OCTET}){{3}}"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _ipv6_text(values: pd.Series) -> pd.Series:
     def canonical(text):
         try:

@@ -7,6 +7,7 @@ import html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Text in which markup is not markup, then opening <a> tags, then the attributes of one tag.
 _OPAQUE = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
@@ -15,7 +16,7 @@ _ATTRIBUTE = r"([^\s=>/\"']+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?)"
 _HREF = r"(?is)^href\s*=\s*"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _decode_entities(values: pd.Series) -> pd.Series:
     return values.map(html.unescape, na_action="ignore").astype(object)
 

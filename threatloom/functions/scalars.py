@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # They must equal the ones used by existing tables and messages.
@@ -13,12 +13,15 @@ HTTP_STATUS_IN_TEXT = r"HTTP Error (\d+)"
 UNSAFE_SEGMENT_CHARS = r"[^A-Za-z0-9._-]+"
 BASIC_URL = r"^https?://[^\s/$.?#][^\s]*$"
 
-# Whitespace as Python's str.strip() sees it.
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# The characters that count as white space at the edges of a landed value.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, _EDGE_SPACE, "")
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def non_empty(text: Column) -> Column:
@@ -29,10 +32,21 @@ def non_empty(text: Column) -> Column:
 # -- values inside a VARIANT ------------------------------------------------------------------------
 
 
+def parsed(df: DataFrame, text: str, name: str) -> DataFrame:
+    """Replace the text column by ``name``, its VARIANT; null where the text is not JSON.
+
+    The value passes through a generator so that it is parsed once per row: a plain projection would be
+    merged into the filters and projections above it and the parse repeated in each of them.
+    """
+    rest = [c for c in df.columns if c != text]
+    return df.select(*rest, F.explode(F.array(F.try_parse_json(text))).alias(name))
+
+
 def json_text(doc: Column, path: str) -> Column:
     """Text of the value at ``path``; null for a missing key or JSON null. Booleans read True/False."""
     value = F.try_variant_get(doc, path, "string")
-    return F.when(json_kind(doc, path) == "BOOLEAN", F.initcap(value)).otherwise(value)
+    is_boolean = value.isin("true", "false") & (json_kind(doc, path) == "BOOLEAN")
+    return F.when(is_boolean, F.initcap(value)).otherwise(value)
 
 
 def json_kind(doc: Column, path: str) -> Column:

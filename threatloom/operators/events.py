@@ -16,6 +16,11 @@ DEFAULT_EVENT_TYPES = ["alert", "flow", "dns", "http", "tls"]
 EVENTS_TOPIC = "suricata.events"
 ALERTS_TOPIC = "ids.alerts"
 SUCCEEDED = "succeeded"
+EVENT_FIELDS = (
+    "struct<timestamp string, event_type string, src_ip string, src_port bigint, dest_ip string, dest_port bigint, "
+    "proto string, app_proto string, flow_id string, pcap_cnt bigint, pcap_filename string, "
+    "alert struct<signature string, severity bigint, category string>>"
+)
 
 
 def stamp_artifact(events: DataFrame, artifacts: DataFrame) -> DataFrame:
@@ -37,43 +42,44 @@ def stamp_artifact(events: DataFrame, artifacts: DataFrame) -> DataFrame:
 
 
 def normalize_events(stamped: DataFrame, ingest_date: str, replay_run_id: Column | None = None) -> DataFrame:
-    """Flat event rows of VARIANT ``event`` with its artifact columns."""
-    event = F.col("event")
-    alert_is_object = F.coalesce(S.json_kind(event, "$.alert").startswith("OBJECT"), F.lit(False))
+    """Flat event rows of VARIANT ``event`` with its artifact columns.
+
+    All fields are read by one declared structure: a value that does not fit its type, a missing key and an
+    ``alert`` that is no object each read as null, which then takes the default.
+    """
+    fields = F.try_variant_get("event", "$", EVENT_FIELDS)
 
     def text(name):
-        return S.safe_str(event, f"$.{name}")
+        return F.coalesce(fields[name], F.lit(""))
 
     def number(name):
-        return S.safe_int(event, f"$.{name}", 0)
-
-    def of_alert(value, default):
-        return F.when(alert_is_object, value).otherwise(F.lit(default))
+        return F.coalesce(fields[name], F.lit(0).cast("bigint"))
 
     def of_artifact(name):
         return F.coalesce(F.col(name), F.lit(""))
 
+    alert = fields["alert"]
+    run = replay_run_id if replay_run_id is not None else F.col("replay_run_id")
     columns = {
         "source": F.lit(EVENT_SOURCE),
         "timestamp_utc": text("timestamp"),
         "src_port": number("src_port"),
         "dest_port": number("dest_port"),
         "pcap_cnt": number("pcap_cnt"),
-        "signature": of_alert(text("alert.signature"), ""),
-        "severity": of_alert(number("alert.severity"), 0).cast("bigint"),
-        "category": of_alert(text("alert.category"), ""),
-        "pcap_filename": F.coalesce(S.non_empty(text("pcap_filename")), of_artifact("artifact_name")),
+        "signature": F.coalesce(alert["signature"], F.lit("")),
+        "severity": F.coalesce(alert["severity"], F.lit(0).cast("bigint")),
+        "category": F.coalesce(alert["category"], F.lit("")),
+        "pcap_filename": F.coalesce(S.non_empty(fields["pcap_filename"]), of_artifact("artifact_name")),
         "scenario_number": F.coalesce("scenario_number", F.lit(0).cast("bigint")),
         "artifact_name": of_artifact("artifact_name"),
         "artifact_sha256": of_artifact("artifact_sha256"),
         "relative_pcap_landing_path": of_artifact("relative_pcap_landing_path"),
-        "replay_run_id": F.coalesce(
-            replay_run_id if replay_run_id is not None else F.col("replay_run_id"), F.lit("")
-        ),
+        "replay_run_id": F.coalesce(run, F.lit("")),
         "ingest_date": F.lit(ingest_date),
-        "event_payload_json": S.canonical_json(event),
+        "event_payload_json": S.canonical_json(F.col("event")),
     }
-    return stamped.select(*[columns.get(c, text(c)).alias(c) for c in EVENT.names])
+    plain = ("event_type", "src_ip", "dest_ip", "proto", "app_proto", "flow_id")
+    return stamped.select(*[(text(c) if c in plain else columns[c]).alias(c) for c in EVENT.names])
 
 
 def alerts(events: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LANES = 64
-_UNHASHABLE = (T.VariantType, T.MapType)
+_AS_JSON = (T.VariantType, T.MapType)
 
 
 def stamp(df: DataFrame, ingest_date: str, retrieved_at_utc: str) -> DataFrame:
@@ -48,8 +48,9 @@ def top_per_group(df: DataFrame, group: list[str], k: int, *order: Column) -> Da
 
 
 def row_hash(df: DataFrame) -> Column:
-    """Hash over all columns, a last tie-breaker that depends on content only."""
-    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema if not isinstance(f.dataType, _UNHASHABLE)])
+    """Hash over all columns, depending on content only."""
+    columns = [(F.col(f"`{f.name}`"), isinstance(f.dataType, _AS_JSON)) for f in df.schema]
+    return F.xxhash64(*[F.to_json(c) if as_json else c for c, as_json in columns])
 
 
 def lookup(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:

@@ -96,7 +96,7 @@ def nation_artifacts(t: Tables) -> DataFrame:
 
 
 def normalized(t: Tables) -> DataFrame:
-    parsed = eve_lines(t).select(F.try_parse_json("value").alias("event"), "artifact_sha256")
+    parsed = S.parsed(eve_lines(t).drop("event_id"), "value", "event")
     kept = wanted_events(parsed, event_type_list("alert, flow,dns,http,tls", []))
     return events.normalize_events(events.stamp_artifact(kept, nation_artifacts(t)), "2026-03-12")
 

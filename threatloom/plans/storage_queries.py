@@ -175,8 +175,8 @@ FROM entries GROUP BY identity
 )
 def q_manifest_upsert(t: Tables) -> DataFrame:
     """The last entry per identity at the position of the first."""
-    entry = F.parse_json("line")
-    entries = manifest_entries(t).select(
+    entry = F.col("entry")
+    entries = S.parsed(manifest_entries(t), "line", "entry").select(
         S.manifest_identity(entry).alias("identity"),
         F.col("event_id").alias("seq"),
         S.safe_int(entry, "$.event_id").alias("event_id"),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from threatloom.functions import scalars as S
 from threatloom.schemas import EPSS_FIELDS, KEV_FIELDS, THREATFOX_FIELDS
-from threatloom.sources.lines import read_lines
+from threatloom.sources.lines import objects_only, read_lines
 
 # Words in a query status that mean the feed refused us, and the page number in paths.
 REFUSED_STATUS = ["unauthor", "forbidden", "auth"]
@@ -164,8 +164,8 @@ def csv_row_count(spark: SparkSession, path) -> DataFrame:
 
 def read_enrichment(spark: SparkSession, path, key: str) -> DataFrame:
     """Lookup responses, one JSON object per line: key, request, time, payload as VARIANT."""
-    doc = F.try_parse_json("line").alias("doc")
-    rows = read_lines(spark, path).select(doc, "file_path").where(S.is_object(F.col("doc")))
+    lines = objects_only(read_lines(spark, path)).select("line")
+    rows = S.parsed(lines, "line", "doc").where(F.col("doc").isNotNull())
     return rows.select(
         S.json_text(F.col("doc"), "$.source_id").alias("source_id"),
         S.json_text(F.col("doc"), f"$.{key}").alias(key),

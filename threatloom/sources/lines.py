@@ -39,15 +39,15 @@ def read_lines(spark: SparkSession, path) -> DataFrame:
 def read_manifest(spark: SparkSession, root: str, source_id: str, ingest_date: str | None = None) -> DataFrame:
     """Manifest entries of one source, one date or all; broken and non-object lines are skipped."""
     path = f"{root}/" + MANIFEST_PATH.format(date=ingest_date or "*", source=source_id)
-    return (
-        read_lines(spark, path)
-        .select(
-            F.try_parse_json("line").alias("entry"),
-            S.path_part(F.col("file_path"), "ingest_date").alias("manifest_date"),
-            "seq",
-        )
-        .where(S.is_object(F.col("entry")))
+    lines = objects_only(read_lines(spark, path)).select(
+        "line", S.path_part(F.col("file_path"), "ingest_date").alias("manifest_date"), "seq"
     )
+    return S.parsed(lines, "line", "entry").where(F.col("entry").isNotNull())
+
+
+def objects_only(lines: DataFrame) -> DataFrame:
+    """Lines that can only be JSON objects, told by their first character before any parsing."""
+    return lines.where(F.col("line").startswith("{"))
 
 
 def read_eve(spark: SparkSession, root: str, event_types: list[str], ingest_date: str | None = None) -> DataFrame:
@@ -59,16 +59,13 @@ def read_eve(spark: SparkSession, root: str, event_types: list[str], ingest_date
     files = spark.read.schema(schema).option("basePath", root).text(root)
     if ingest_date:
         files = files.where(F.col("ingest_date") == ingest_date)
-    events = files.select(
-        F.try_parse_json(F.make_valid_utf8("value")).alias("event"), "artifact_sha256", "ingest_date"
-    )
-    return wanted_events(events, event_types)
+    events = files.select(F.make_valid_utf8("value").alias("value"), "artifact_sha256", "ingest_date")
+    return wanted_events(S.parsed(events, "value", "event"), event_types)
 
 
 def wanted_events(events: DataFrame, event_types: list[str]) -> DataFrame:
-    """Objects whose event type is in the list."""
-    event = F.col("event")
-    return events.where(S.is_object(event) & S.safe_str(event, "$.event_type").isin(event_types))
+    """Events whose type is in the list; only an object has a type, so other JSON values drop out."""
+    return events.where(F.try_variant_get("event", "$.event_type", "string").isin(event_types))
 
 
 def event_type_list(text: str | None, default: list[str]) -> list[str]:
