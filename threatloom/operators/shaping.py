@@ -58,10 +58,12 @@ def lookup(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
 
     Rows with a null or empty key cannot match. There may be very many of them, so they are dealt over
     lanes by content hash instead of meeting in one shuffle partition; the other side is all in lane 0.
+    That 0 is computed from the key: the optimizer would propagate a plain constant into the condition and
+    shuffle by the key alone.
     """
     empty = F.lit(False)
     for key in keys:
         empty = empty | F.col(key).isNull() | (F.col(key).cast("string") == "")
     lane = F.when(empty, F.lit(1) + F.pmod(row_hash(left), F.lit(LANES))).otherwise(F.lit(0).cast("bigint"))
-    laned = left.withColumn("_lane", lane)
-    return laned.join(right.withColumn("_lane", F.lit(0).cast("bigint")), [*keys, "_lane"], "left").drop("_lane")
+    zero = F.pmod(F.xxhash64(*keys), F.lit(1).cast("bigint"))
+    return left.withColumn("_lane", lane).join(right.withColumn("_lane", zero), [*keys, "_lane"], "left").drop("_lane")
