@@ -67,7 +67,7 @@ class Lake:
 
 # -- landing → silver -------------------------------------------------------------------------------
 
-_POSITION = ["file_path", "page", "pos", "seq", "raw_json", "cve", "cve_is_text"]
+_POSITION = ["file_path", "page", "pos", "seq", "cve_is_text"]
 
 
 def feed_records(lake: Lake, feed: str) -> DataFrame:
@@ -85,7 +85,7 @@ def feed_records(lake: Lake, feed: str) -> DataFrame:
         rows = feeds.read_kev(spark, path)
     elif feed == "nvd":
         rows = feeds.read_nvd(spark, path)
-        rows = rows.withColumn("metrics_json", F.to_json(F.try_variant_get("cve", "$.metrics", "variant")))
+        rows = rows.withColumn("metrics_json", F.to_json(F.try_variant_get("cve", "$.metrics", "variant"))).drop("cve")
     elif feed == "epss":
         rows = feeds.read_epss(spark, path)
     elif feed == "threatfox":
