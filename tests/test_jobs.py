@@ -101,6 +101,7 @@ def test_whole_lake(spark, lake, lake_dir):
     assert top["vuln_priority_score"] == 0.9 * 1.5 * 8.0 / 10 and top["cwe_ids"] == ["CWE-1"]
     assert jobs.build_gold(lake, "network_events", "r1") == 4
     assert jobs.build_gold(lake, "ioc_correlations", "r1") == 4
+    assert jobs.build_gold(lake, "flow_features", "r1") == 2
     jobs.build_gold(lake, "anomaly_flags", "r1")
     for kpi in ("kpi/kpi_vuln_priority_top50", "kpi/kpi_daily_alert_counts", "kpi/kpi_kev_rolling7d"):
         jobs.build_gold(lake, kpi, "r1")
@@ -159,6 +160,9 @@ def test_stream_windows_over_restarts(spark, lake_dir, tmp_path):
     assert run() == [("08:15", "s", 2)]
     lake_dir.put("in/2.json", f"{line}\n{line.replace(':15:', ':16:')}")
     assert run() == [("08:15", "s", 3), ("08:16", "s", 1)]
+    lake = jobs.Lake(spark, f"{lake_dir.root}/lake", DATE, "now")
+    jobs.clean_warm(lake, sink, "r1")
+    assert rows(lake.table("trusted", "warm_aggregates"), "alerts") == [(1,), (3,)]
 
 
 def test_forest_scores_agree_with_walking_the_trees(spark):

@@ -51,6 +51,9 @@ def test_upsert_laws(spark, target, source):
     t = spark.createDataFrame(list(target.items()), "k int, a string")
     s = spark.createDataFrame(list(source.items()), "k int, a string")
     once = upsert.upsert(t, s, ["k"])
+    untouched, changed = upsert.upsert_parts(t, s, ["k"])
+    assert rows(untouched.unionByName(changed)) == rows(once)
+    assert dict(rows(changed)) == source
     assert dict(rows(once)) == {**target, **source}
     assert rows(upsert.upsert(once, s, ["k"])) == rows(once)
 

@@ -65,13 +65,17 @@ def train(matrix: DataFrame, key: str = "flow_id", trees: int = TREES, sample: i
     The draw first keeps the ``trees × sample`` rows of smallest hash (a bounded number, however many flows
     there are), deals them to all trees and keeps each tree's ``sample`` smallest; with fewer flows than
     that every tree draws from all of them. A group is one tree's sample, never more than ``sample`` rows.
+
+    Of very many flows only those under a hash limit, about four times the wanted number, are sorted: else
+    each task would send its own ``trees × sample`` best to the one that merges them. ``matrix`` is read
+    twice here, so pass a stored table.
     """
-    pool = (
-        matrix.select(F.col(key).cast("string").alias("k"), *FEATURES)
-        .orderBy(F.xxhash64("k", F.lit(seed)), "k")
-        .limit(trees * sample)
-        .repartition(max(trees // 8, 1), "k")
-    )
+    wanted, total = trees * sample, matrix.count()
+    draw = F.xxhash64("k", F.lit(seed))
+    rows = matrix.select(F.col(key).cast("string").alias("k"), *FEATURES)
+    if total > 8 * wanted:
+        rows = rows.where(draw < -(2**63) + int(2**64 * 4 * wanted / total))
+    pool = rows.orderBy(draw, "k").limit(wanted).repartition(max(trees // 8, 1), "k")
     dealt = pool.withColumn("tree_id", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
     drawn = top_per_group(dealt, ["tree_id"], sample, F.xxhash64("k", "tree_id", F.lit(seed)), F.col("k"))
 

@@ -160,7 +160,7 @@ def correlate_ip(events: DataFrame, iocs: DataFrame, src: str = "src_ip", dst: s
 
 def observed_names(events: DataFrame, payload: str = "event_payload_json") -> DataFrame:
     """Hosts and URLs an event mentions, as ``(…, ioc_type, matched_value)``."""
-    doc = F.try_parse_json(payload)
+    doc = F.col("_doc")
     host, target = S.json_text(doc, "$.http.hostname"), S.json_text(doc, "$.http.url")
     url = F.when(target.rlike("^https?://"), target).when(
         host.isNotNull() & target.isNotNull(), F.concat(F.lit("http://"), host, target)
@@ -170,7 +170,8 @@ def observed_names(events: DataFrame, payload: str = "event_payload_json") -> Da
         F.struct(F.lit("url").alias("t"), url.alias("v")),
         *[F.struct(F.lit("domain").alias("t"), F.lower(d).alias("v")) for d in domains],
     )
-    seen = events.withColumn("_n", F.explode(F.array_distinct(names))).where(F.col("_n.v").isNotNull())
+    opened = S.parsed(events.withColumn("_text", F.col(payload)), "_text", "_doc")
+    seen = opened.withColumn("_n", F.explode(F.array_distinct(names))).where(F.col("_n.v").isNotNull())
     return seen.select(*events.columns, F.col("_n.t").alias("ioc_type"), F.col("_n.v").alias("matched_value"))
 
 

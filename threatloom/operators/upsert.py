@@ -2,49 +2,77 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threatloom.operators.shaping import keep_one
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """The target after merging the source on ``keys``.
+def _has_key(keys: list[str]) -> Column:
+    present = F.lit(True)
+    for key in keys:
+        present = present & F.col(key).isNotNull()
+    return present
 
-    Matched rows take every source column, nulls included; columns only the target has keep their value;
-    unmatched target rows stay; unmatched source rows are added. A null key never matches. Two source rows
-    with one key stop the job.
 
-    The target is the large side and only ever the left side of a join: with a small batch it is not
-    shuffled at all, with a large one a hot target key is split by skew handling. Its second use, for the
-    keys that matched, reads the key columns only.
-    """
+def _keyed_source(source: DataFrame, keys: list[str]) -> DataFrame:
+    """``(keys, _new)`` of the source rows that have a key; a repeated key stops the job."""
     if not keys:
         raise ValueError("an upsert needs at least one key column")
-    has_key = F.lit(True)
-    for key in keys:
-        has_key = has_key & F.col(key).isNotNull()
-
     twice = F.raise_error(F.concat(F.lit("duplicate source key: "), F.to_json(F.struct(*keys))))
-    new = (
-        source.where(has_key)
+    return (
+        source.where(_has_key(keys))
         .groupBy(*keys)
         .agg(F.count("*").alias("_n"), F.any_value(F.struct(*source.columns)).alias("_row"))
         .select(*keys, F.when(F.col("_n") > 1, twice).otherwise(F.col("_row")).alias("_new"))
     )
+
+
+def _merged_columns(target: DataFrame, source: DataFrame) -> list[Column]:
+    """All source columns win where a source row matched; the target's own columns keep their value."""
     added = [c for c in source.columns if c not in target.columns]
 
-    def merged(name: str):
+    def merged(name: str) -> Column:
         if name not in source.columns:
             return F.col(name)
         old = F.lit(None) if name in added else F.col(name)
         return F.when(F.col("_new").isNotNull(), F.col(f"_new.{name}")).otherwise(old).alias(name)
 
-    kept = target.join(new, keys, "left").select(*[merged(c) for c in [*target.columns, *added]])
+    return [merged(c) for c in [*target.columns, *added]]
+
+
+def _unmatched_source(target: DataFrame, source: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """Source rows to add: those without a partner (found with the target's key columns only) or without a key."""
     matched = target.select(*keys).join(new.select(*keys), keys, "left_semi").distinct()
     inserted = new.join(matched, keys, "left_anti").select("_new.*")
-    keyless = source.where(~has_key)
-    return kept.unionByName(inserted, allowMissingColumns=True).unionByName(keyless, allowMissingColumns=True)
+    return inserted.unionByName(source.where(~_has_key(keys)))
+
+
+def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """The target after merging the source on ``keys``.
+
+    Matched rows take every source column, nulls included; columns only the target has keep their value;
+    unmatched target rows stay; unmatched source rows are added. A null key never matches. Two source rows
+    with one key stop the job.
+
+    The target is the large side and only ever the left side of a join: with a small batch it is not
+    shuffled at all, with a large one a hot target key is split by skew handling.
+    """
+    new = _keyed_source(source, keys)
+    kept = target.join(new, keys, "left").select(*_merged_columns(target, source))
+    return kept.unionByName(_unmatched_source(target, source, new, keys), allowMissingColumns=True)
+
+
+def upsert_parts(target: DataFrame, source: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The same result as ``(untouched, changed)`` rows.
+
+    A writer can pass the untouched rows through in the layout they have and arrange only the changed ones.
+    """
+    new = _keyed_source(source, keys)
+    untouched = target.join(new.select(*keys), keys, "left_anti")
+    updated = target.join(new, keys).select(*_merged_columns(target, source))
+    added = _unmatched_source(target, source, new, keys)
+    return untouched, updated.unionByName(added, allowMissingColumns=True)
 
 
 def merge_manifest(entries: DataFrame) -> DataFrame:

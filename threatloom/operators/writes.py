@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from threatloom.functions import scalars as S
-from threatloom.operators.upsert import upsert
+from threatloom.operators.upsert import upsert_parts
 
 SNAPSHOT = "snapshot="
 
@@ -40,18 +40,22 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return bool(files.exists(where) and len(files.listStatus(where)))
 
 
-def write_snapshot(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
-    """Write a whole table as the next snapshot. Readers move to it once it is complete.
+def balanced(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
+    """Rows arranged by partition columns into files of even size.
 
-    Rebalancing by the partition columns gives files of even size: a date that holds most rows is split
-    over many tasks, small dates share one.
+    A date that holds most rows is split over many tasks, small dates share one.
     """
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
+def write_snapshot(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
+    """Write a whole table as the next snapshot. Readers move to it once it is complete."""
     spark = df.sparkSession
     found = _snapshots(spark, path)
     number = int(found[-1].split("=")[1].split("-")[0]) + 1 if found else 0
     target = f"{path}/{SNAPSHOT}{number:08d}-{uuid.uuid4().hex[:8]}"
-    writer = (df.hint("rebalance", *partition_by) if partition_by else df).write
-    (writer.partitionBy(*partition_by) if partition_by else writer).mode("overwrite").parquet(target)
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(target)
     return target
 
 
@@ -72,12 +76,15 @@ def write_or_merge(
     size = source.count()
     existing = current_snapshot(spark, path)
     if existing is None:
-        write_snapshot(source, path, partition_by)
+        write_snapshot(balanced(source, partition_by), path, partition_by)
     else:
         target = spark.read.parquet(existing)
         for name in partition_by or []:
             target = target.withColumn(name, F.col(name).cast(source.schema[name].dataType))
-        write_snapshot(upsert(target, source, merge_keys), path, partition_by)
+        # Only changed rows can move to another partition; the others are copied as they lie, unshuffled.
+        untouched, changed = upsert_parts(target, source, merge_keys)
+        whole = untouched.unionByName(balanced(changed, partition_by), allowMissingColumns=True)
+        write_snapshot(whole, path, partition_by)
     return size
 
 
@@ -92,14 +99,15 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> i
 def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -> int:
     """Replace a fully recomputed table with a new snapshot; the previous one stays readable until then."""
     seen = Observation()
-    write_snapshot(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, partition_by)
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    write_snapshot(balanced(counted, partition_by), path, partition_by)
     return seen.get["rows"]
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """Replace exactly the partitions that occur in ``df``; the others stay."""
     (
-        df.hint("rebalance", *partition_by)
+        balanced(df, partition_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
@@ -132,7 +140,7 @@ def write_json_log(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """JSON lines with sorted keys under hive folders, replacing the folders that occur."""
     ordered = df.select(*sorted(c for c in df.columns if c not in partition_by), *partition_by)
     (
-        ordered.hint("rebalance", *partition_by)
+        balanced(ordered, partition_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("ignoreNullFields", False)

@@ -543,7 +543,9 @@ def q_anomaly(t: Tables) -> DataFrame:
         F.col("l_suppkey").alias("src_port"),
         F.col("l_partkey").alias("dst_port"),
     )
-    matrix = anomaly.feature_matrix(exploitation.flow_features(lines))
+    stored = work_dir(t.spark, "features")
+    anomaly.feature_matrix(exploitation.flow_features(lines)).write.parquet(stored)
+    matrix = t.spark.read.parquet(stored)
     path = anomaly.save_model(anomaly.train(matrix), work_dir(t.spark, "model"), "2026-03-12")
     scored = anomaly.score(matrix, t.spark.read.parquet(path))
     return anomaly.anomalies(scored).select(

@@ -20,6 +20,7 @@ from threatloom.operators.shaping import flatten, keep_one, stamp
 from threatloom.operators.upsert import split_existing
 from threatloom.schemas import ARTIFACT_KEYS
 from threatloom.sources import feeds, files, lines
+from threatloom.streaming.alerts import current_state
 
 # Natural keys of the feed tables and where their landings lie.
 FEED_KEYS = {
@@ -200,8 +201,9 @@ def record_replays(
 ) -> DataFrame:
     """Store what a batch of replays produced: events, alerts, run rows, messages; returns the summary.
 
-    ``attempts`` are candidates with their run id, status, error, times and event log path. The event log
-    is read once into ``suricata_events``; everything later is derived from the stored rows of these runs.
+    ``attempts`` are candidates with their run id, status, error, times and event log path, as a stored
+    table: run ids must not be made anew on each read. The event log is read once into ``suricata_events``;
+    everything later is derived from the stored rows of these runs.
     """
     wanted = event_types or events.DEFAULT_EVENT_TYPES
     spark, events_path = lake.spark, lake.path("silver", "suricata_events")
@@ -230,13 +232,6 @@ def record_replays(
 # -- silver → trusted -------------------------------------------------------------------------------
 
 
-def _store(job: lineage.Job, lake: Lake, name: str, source: str, clean: DataFrame, bad: DataFrame) -> None:
-    target = lake.path("trusted", name)
-    writes.write_snapshot(job.count("written", clean), target)
-    writes.write_snapshot(job.count("rejected", bad), lake.path("trusted", "rejected", name))
-    job.finish([source], target, lake.path("exploitation", "lineage"))
-
-
 def clean_feed(lake: Lake, feed: str, run_id: str) -> None:
     """Clean one silver feed table into the trusted zone, its rejects beside it, one lineage row."""
     job = lineage.Job(lake.spark, run_id, "trusted_zone", feed, "clean_feed")
@@ -248,22 +243,49 @@ def clean_feed(lake: Lake, feed: str, run_id: str) -> None:
         rows = trusted.circl_profile(rows)
     if feed == "kev":
         rows = rows.withColumnRenamed("cveID", "cve_id")
-    counted = job.count("read", rows)
-    clean, _ = trusted.clean(counted, feed)
+    clean, _ = trusted.clean(job.count("read", rows), feed)
     _, bad = trusted.clean(rows, feed)
-    _store(job, lake, feed, lake.path("silver", feed), clean, bad)
+    target = lake.path("trusted", feed)
+    writes.write_snapshot(job.count("written", clean), target)
+    writes.write_snapshot(job.count("rejected", bad), lake.path("trusted", "rejected", feed))
+    job.finish([lake.path("silver", feed)], target, lake.path("exploitation", "lineage"))
 
 
 def clean_events(lake: Lake, run_id: str) -> None:
-    """Clean stored events and alerts into the trusted zone."""
+    """Clean the run date's events and alerts into the same date of the trusted tables.
+
+    A replay run lies in one date, so repeats do too: only that partition is read, and replaced.
+    """
     for name in ("suricata_events", "ids_alerts"):
         job = lineage.Job(lake.spark, run_id, "trusted_zone", name, "clean_events")
-        rows = lake.table("silver", name)
+        rows = lake.table("silver", name, lake.ingest_date)
         good, _ = trusted.check_events(job.count("read", rows))
         _, bad = trusted.check_events(rows)
         if name == "suricata_events":
             good = trusted.dedup_events(good)
-        _store(job, lake, name, lake.path("silver", name), good, bad)
+        target = lake.path("trusted", name)
+        _replace_date(lake, job.count("written", good), target)
+        _replace_date(lake, job.count("rejected", bad), lake.path("trusted", "rejected", name))
+        job.finish([lake.path("silver", name)], target, lake.path("exploitation", "lineage"))
+
+
+def _replace_date(lake: Lake, df: DataFrame, path: str) -> None:
+    writes.replace_partition(df, path, "ingest_date", lake.ingest_date)
+
+
+def clean_warm(lake: Lake, state_path: str, run_id: str) -> None:
+    """Clean the streamed window counts into the trusted zone."""
+    job = lineage.Job(lake.spark, run_id, "trusted_zone", "warm_aggregates", "clean_warm")
+    state = job.count("read", current_state(lake.spark, state_path, ["window_start", "signature"]))
+    key = ["window_start", "signature"]
+    clean, _ = trusted.clean_warm_aggregates(state, key, ["alerts"], key)
+    _, bad = trusted.clean_warm_aggregates(
+        current_state(lake.spark, state_path, key), key, ["alerts"], key
+    )
+    target = lake.path("trusted", "warm_aggregates")
+    writes.write_snapshot(job.count("written", clean), target)
+    writes.write_snapshot(job.count("rejected", bad), lake.path("trusted", "rejected", "warm_aggregates"))
+    job.finish([state_path], target, lake.path("exploitation", "lineage"))
 
 
 def check_captures(lake: Lake) -> DataFrame:
@@ -302,19 +324,26 @@ def build_vuln_enriched(lake: Lake) -> DataFrame:
 
 
 def build_network_events(lake: Lake) -> DataFrame:
-    parts = [lake.table("trusted", name).drop("event_ts", "_ts_malformed") for name in ("suricata_events", "ids_alerts")]
+    parts = [
+        lake.table("trusted", name, lake.ingest_date).drop("event_ts", "_ts_malformed")
+        for name in ("suricata_events", "ids_alerts")
+    ]
     return exploitation.network_events(*parts)
 
 
 def build_correlations(lake: Lake) -> DataFrame:
     iocs = exploitation.indicators(lake.table("trusted", "threatfox"), lake.table("trusted", "urlhaus"))
-    return exploitation.ioc_correlations(lake.table("exploitation", "network_events"), iocs)
+    return exploitation.ioc_correlations(lake.table("exploitation", "network_events", lake.ingest_date), iocs)
 
 
-def build_anomalies(lake: Lake) -> DataFrame:
-    """Train on all flows, store the model by date, flag the anomalous flows."""
+def build_flow_features(lake: Lake) -> DataFrame:
     log = lake.table("exploitation", "network_events").where(F.col("origin") == "suricata_events")
-    matrix = anomaly.feature_matrix(exploitation.flow_features(log))
+    return anomaly.feature_matrix(exploitation.flow_features(log))
+
+
+def build_anomalies(lake: Lake) -> DataFrame:
+    """Train on the stored features of all flows, store the model by date, flag the anomalous flows."""
+    matrix = lake.table("exploitation", "flow_features")
     path = anomaly.save_model(anomaly.train(matrix), lake.path("models", "ids_anomaly_detector"), lake.ingest_date)
     return anomaly.anomalies(anomaly.score(matrix, lake.spark.read.parquet(path)))
 
@@ -325,25 +354,34 @@ def build_daily_counts(lake: Lake) -> DataFrame:
     return exploitation.daily_alert_counts(timed)
 
 
-GOLD: dict[str, tuple[Callable[[Lake], DataFrame], list[str] | None]] = {
-    "vuln_enriched": (build_vuln_enriched, None),
-    "network_events": (build_network_events, ["ingest_date"]),
-    "ioc_correlations": (build_correlations, None),
-    "anomaly_flags": (build_anomalies, None),
-    "kpi/kpi_vuln_priority_top50": (lambda lake: exploitation.top_priority(lake.table("exploitation", "vuln_enriched")), None),
-    "kpi/kpi_daily_alert_counts": (build_daily_counts, None),
+# In building order. ``daily`` tables grow by date and replace the run's date; the others are recomputed.
+GOLD: dict[str, tuple[Callable[[Lake], DataFrame], str]] = {
+    "vuln_enriched": (build_vuln_enriched, "full"),
+    "network_events": (build_network_events, "daily"),
+    "ioc_correlations": (build_correlations, "daily"),
+    "flow_features": (build_flow_features, "full"),
+    "anomaly_flags": (build_anomalies, "full"),
+    "kpi/kpi_vuln_priority_top50": (
+        lambda lake: exploitation.top_priority(lake.table("exploitation", "vuln_enriched")),
+        "full",
+    ),
+    "kpi/kpi_daily_alert_counts": (build_daily_counts, "full"),
     "kpi/kpi_kev_rolling7d": (
         lambda lake: exploitation.kev_rolling(lake.table("trusted", "kev"), F.lit(lake.ingest_date).cast("date")),
-        None,
+        "full",
     ),
 }
 
 
 def build_gold(lake: Lake, name: str, run_id: str) -> int:
-    """Recompute one exploitation table in full and move readers to it; appends one lineage row."""
-    build, partition_by = GOLD[name]
-    job = lineage.Job(lake.spark, run_id, "exploitation_zone", name, build.__name__)
+    """Build one exploitation table and move readers to it; idempotent; appends one lineage row."""
+    build, mode = GOLD[name]
+    job = lineage.Job(lake.spark, run_id, "exploitation_zone", name, f"build {name}")
     target = lake.path("exploitation", name)
-    writes.write_snapshot(job.count("written", build(lake)), target, partition_by)
+    rows = job.count("written", build(lake))
+    if mode == "daily":
+        _replace_date(lake, rows, target)
+    else:
+        writes.write_snapshot(rows, target)
     job.finish([lake.path("trusted")], target, lake.path("exploitation", "lineage"))
     return job.rows("written")

@@ -18,6 +18,7 @@ from threatloom.sources.lines import objects_only, read_lines
 REFUSED_STATUS = ["unauthor", "forbidden", "auth"]
 PAGE_IN_PATH = r".*page=(\d+)"
 CSV_HEADER_START = "id,"
+MAX_FORMATS = 100
 
 
 def read_pages(spark: SparkSession, path: str | list[str], *fields: str) -> DataFrame:
@@ -128,8 +129,8 @@ def threatfox_records(items: DataFrame) -> DataFrame:
 def read_commented_csv(spark: SparkSession, path) -> DataFrame:
     """CSV whose header is the last ``# id,…`` comment of each file; every column is text.
 
-    The distinct header lines (one per feed format, not per row) are read first; rows are then parsed once
-    for each of them.
+    The distinct header lines are read first: one per feed format, not per row or file, which is checked.
+    Rows are then parsed once for each of them.
     """
     lines = read_lines(spark, path)
     comment = F.regexp_replace("line", "^#+", "")
@@ -142,7 +143,10 @@ def read_commented_csv(spark: SparkSession, path) -> DataFrame:
     data = lines.where(~F.col("line").startswith("#")).join(headers, "file_path")
     options = {"quote": '"', "escape": '"', "nullValue": "\u0000", "emptyValue": ""}
     result = None
-    for (text,) in headers.select("header").distinct().orderBy("header").collect():
+    formats = headers.select("header").distinct().orderBy("header").limit(MAX_FORMATS + 1).collect()
+    if len(formats) > MAX_FORMATS:
+        raise ValueError(f"more than {MAX_FORMATS} different header lines")
+    for (text,) in formats:
         names = [n.strip() for n in text.split(",")]
         schema = ", ".join(f"`{n}` string" for n in names)
         part = (
