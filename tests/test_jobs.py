@@ -1,6 +1,9 @@
 """The jobs end to end over a small landing zone, and the streaming and anomaly operators."""
 
 import json
+import os
+import subprocess
+import sys
 
 import numpy as np
 import pandas as pd
@@ -10,7 +13,7 @@ from pyspark.sql import functions as F
 from tests.conftest import SMALL, rows
 from tests.test_operators import ALERT, FLOW
 from tests.test_sources import CONFIG, URLHAUS
-from threatloom.operators import anomaly, catalog, exploitation
+from threatloom.operators import anomaly, catalog, exploitation, writes
 from threatloom.operators.events import SUCCEEDED
 from threatloom.plans import jobs
 from threatloom.schemas import ALERT as ALERT_SCHEMA
@@ -18,6 +21,7 @@ from threatloom.sources import files
 from threatloom.streaming import alerts as streams
 
 DATE = "2026-03-12"
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
 @pytest.fixture
@@ -128,6 +132,38 @@ def test_plan_then_rerun(spark, lake, lake_dir):
     assert jobs.plan_artifacts(lake, index, listing, rules, "subset", force=True).first()["state"] == "to_land"
 
 
+def test_manifest_grows_by_appending(spark, lake):
+    def add(*pairs):
+        entries = [(json.dumps({"relative_landing_path": p, "n": n}), DATE) for p, n in pairs]
+        writes.append_manifest(spark.createDataFrame(entries, "line string, ingest_date string").coalesce(1), lake.root, "src")
+
+    add(("a", 1), ("b", 2))
+    add(("a", 3), ("c", 4))
+    merged = jobs.current_manifest(lake, "src", DATE).orderBy("pos").select("line").collect()
+    assert [json.loads(r["line"])["n"] for r in merged] == [3, 2, 4]
+
+
+def test_lookup_report(spark, lake):
+    wanted = spark.createDataFrame([("CVE-2021-0001",), ("CVE-2021-0002",)], "cve_id string")
+    report = jobs.lookup_report(lake, wanted, "circl_vulnlookup", "https://l")
+    assert rows(report, "cve_id", "found", "error") == [("CVE-2021-0001", True, None), ("CVE-2021-0002", False, "no response")]
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    """From another folder, with the package known to the driver only."""
+    script = f"""
+import sys
+sys.path.insert(0, {ROOT!r})
+from threatloom.plans.table_queries import QUERIES
+from threatloom.session import build_session
+spark = build_session("elsewhere", "local[2]", **{{"spark.ui.enabled": "false"}})
+assert QUERIES["q_links"](spark, {SMALL!r}).count() > 0
+assert QUERIES["q_anomaly"](spark, {SMALL!r}).count() > 0
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, check=True, timeout=300, capture_output=True)
+
+
 def test_stream_restarts_without_doubling(spark, lake_dir, tmp_path):
     alert = {"timestamp_utc": "2026-03-12T08:15:01Z", "signature": "ET CVE-2021-0001", "src_ip": "a"}
     lake_dir.put("in/1.json", json.dumps(alert))

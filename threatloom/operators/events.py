@@ -45,9 +45,11 @@ def normalize_events(stamped: DataFrame, ingest_date: str, replay_run_id: Column
     """Flat event rows of VARIANT ``event`` with its artifact columns.
 
     All fields are read by one declared structure: a value that does not fit its type, a missing key and an
-    ``alert`` that is no object each read as null, which then takes the default.
+    ``alert`` that is no object each read as null, which then takes the default. The structure passes
+    through a generator so that it is read once per row and not once per column.
     """
-    fields = F.try_variant_get("event", "$", EVENT_FIELDS)
+    opened = stamped.withColumn("_fields", F.explode(F.array(F.try_variant_get("event", "$", EVENT_FIELDS))))
+    fields = F.col("_fields")
 
     def text(name):
         return F.coalesce(fields[name], F.lit(""))
@@ -79,7 +81,7 @@ def normalize_events(stamped: DataFrame, ingest_date: str, replay_run_id: Column
         "event_payload_json": S.canonical_json(F.col("event")),
     }
     plain = ("event_type", "src_ip", "dest_ip", "proto", "app_proto", "flow_id")
-    return stamped.select(*[(text(c) if c in plain else columns[c]).alias(c) for c in EVENT.names])
+    return opened.select(*[(text(c) if c in plain else columns[c]).alias(c) for c in EVENT.names])
 
 
 def alerts(events: DataFrame) -> DataFrame:

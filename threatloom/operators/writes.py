@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from threatloom.functions import scalars as S
 from threatloom.operators.upsert import upsert_parts
+from threatloom.sources.lines import MANIFEST_PATH
 
 SNAPSHOT = "snapshot="
 
@@ -149,6 +150,17 @@ def write_json_log(df: DataFrame, path: str, partition_by: list[str]) -> None:
     )
 
 
+def append_manifest(entries: DataFrame, root: str, source_id: str) -> None:
+    """Append entries (JSON text ``line``, ``ingest_date``) to the manifest of their date.
+
+    Nothing is rewritten: the manifest of a source and date is a folder of line files in writing order, and
+    ``merge_manifest`` gives the last entry per identity at its first position when it is read.
+    """
+    folder = MANIFEST_PATH.split("/ingest_date=")[0]
+    lines = entries.select(F.col("line").alias("value"), "ingest_date", F.lit(f"{source_id}.jsonl").alias("of"))
+    lines.write.mode("append").partitionBy("ingest_date", "of").text(f"{root}/{folder}")
+
+
 def envelope(df: DataFrame, topic: str) -> DataFrame:
     """``(key, value, topic)`` messages: key by run, artifact or flow; value is the record as sorted JSON."""
     parts = [F.col(c).cast("string") for c in ("replay_run_id", "artifact_sha256", "flow_id") if c in df.columns]

@@ -17,7 +17,7 @@ from threatloom.functions import scalars as S
 from threatloom.functions.addresses import seed_ip
 from threatloom.operators import anomaly, catalog, enrichment, events, exploitation, lineage, trusted, writes
 from threatloom.operators.shaping import flatten, keep_one, stamp
-from threatloom.operators.upsert import split_existing
+from threatloom.operators.upsert import merge_manifest, split_existing
 from threatloom.schemas import ARTIFACT_KEYS
 from threatloom.sources import feeds, files, lines
 from threatloom.streaming.alerts import current_state
@@ -142,6 +142,24 @@ def seed_addresses(lake: Lake, configured: list[str], n: int = 50) -> DataFrame:
     return enrichment.seeds(feed, listed, n)
 
 
+def lookup_report(lake: Lake, candidates: DataFrame, feed: str, base_url: str) -> DataFrame:
+    """One row per wanted CVE or host: its landed answer, or why there is none."""
+    key = "cve_id" if feed == "circl_vulnlookup" else "ip"
+    answers = feeds.read_enrichment(lake.spark, lake.landed(feed), key).select(
+        key, F.to_json("payload").alias("payload"), F.lit(None).cast("string").alias("error")
+    )
+    return enrichment.lookup_results(candidates, keep_one(answers, [key], F.col("payload")), key, base_url)
+
+
+def current_manifest(lake: Lake, source_id: str, ingest_date: str | None = None) -> DataFrame:
+    """The manifest with every identity once, its last entry at its first position."""
+    entries = lines.read_manifest(lake.spark, lake.root, source_id, ingest_date)
+    text = entries.select(
+        S.manifest_identity(F.col("entry")).alias("identity"), F.to_json("entry").alias("line"), "manifest_date", "seq"
+    )
+    return merge_manifest(text)
+
+
 # -- captures ---------------------------------------------------------------------------------------
 
 

@@ -10,7 +10,7 @@ from threatloom.operators import catalog, enrichment, lineage, shaping, upsert,
 from threatloom.plans.registry import Tables, query
 from threatloom.session import work_dir
 from threatloom.sources.files import read_artifacts, read_table
-from threatloom.sources.lines import MANIFEST_PATH, read_manifest
+from threatloom.sources.lines import read_manifest
 
 IPV4_TOKEN = r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+"
 MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -190,11 +190,8 @@ def q_manifest_scan(t: Tables) -> DataFrame:
     """Entries landed as JSON lines per date between blank, broken and non-object lines, scanned back."""
     root = work_dir(t.spark, "landing")
     noisy = F.concat(F.col("line"), F.lit("\n\n  \n{broken\n[1, 2]\n"))
-    for_source = manifest_entries(t).select(noisy.alias("value"), "ingest_date")
-    folder = MANIFEST_PATH.split("/ingest_date=")[0]
-    # A folder per source and date stands for the one manifest file, so many tasks can write it.
-    for_source.withColumn("of", F.lit("events.jsonl")).write.partitionBy("ingest_date", "of").text(f"{root}/{folder}")
-    entries = read_manifest(t.spark, root, "of=events")
+    writes.append_manifest(manifest_entries(t).withColumn("line", noisy), root, "events")
+    entries = read_manifest(t.spark, root, "events")
     return entries.select(
         S.manifest_identity(F.col("entry")).alias("identity"),
         S.safe_int(F.col("entry"), "$.event_id").alias("event_id"),

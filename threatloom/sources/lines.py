@@ -9,7 +9,7 @@ from threatloom.functions import scalars as S
 from threatloom.schemas import ALERT
 
 # Where line files are landed.
-MANIFEST_PATH = "metadata/manifests/ingest_date={date}/{source}.jsonl"
+MANIFEST_PATH = "metadata/manifests/ingest_date={date}/{{,of=}}{source}.jsonl"
 ALERT_PATHS = {
     "synthetic": "stream/ids_alerts/ingest_date=*/hour=*",
     "replay": "stream/ids_alerts/source=suricata/ingest_date=*/hour=*",
@@ -19,15 +19,19 @@ ALERT_PATHS = {
 def read_lines(spark: SparkSession, path) -> DataFrame:
     """Non-blank stripped lines with their file and ``seq``, the order of lines inside and across files.
 
-    A file split is one scan task and keeps line order, so (file, split start, row in task) is that order.
+    Folders come in name order, the files of one folder in the order they were written. A file split is one
+    scan task and keeps line order, so (split start, row in task) is the order inside a file.
     """
+    file = F.col("_metadata.file_path")
     return (
         spark.read.text(path)
         .select(
             S.strip(F.make_valid_utf8("value")).alias("line"),
-            F.col("_metadata.file_path").alias("file_path"),
+            file.alias("file_path"),
             F.struct(
-                F.col("_metadata.file_path").alias("file"),
+                F.regexp_extract(file, "^(.*)/", 1).alias("folder"),
+                F.col("_metadata.file_modification_time").alias("written"),
+                file.alias("file"),
                 F.col("_metadata.file_block_start").alias("block"),
                 F.monotonically_increasing_id().alias("row"),
             ).alias("seq"),
@@ -37,7 +41,10 @@ def read_lines(spark: SparkSession, path) -> DataFrame:
 
 
 def read_manifest(spark: SparkSession, root: str, source_id: str, ingest_date: str | None = None) -> DataFrame:
-    """Manifest entries of one source, one date or all; broken and non-object lines are skipped."""
+    """Manifest entries of one source, one date or all; broken and non-object lines are skipped.
+
+    The manifest of a date is one file ``<source>.jsonl`` or a folder ``of=<source>.jsonl`` of files.
+    """
     path = f"{root}/" + MANIFEST_PATH.format(date=ingest_date or "*", source=source_id)
     lines = objects_only(read_lines(spark, path)).select(
         "line", S.path_part(F.col("file_path"), "ingest_date").alias("manifest_date"), "seq"
