@@ -99,9 +99,10 @@ def test_threatfox(spark, lake_dir):
         "ioc_count": 5,
     }
     assert rows(feeds.threatfox_records(items), "id", "tags") == [("1", '["b","a"]'), ("2", None), ("3", None), ("4", None)]
-    text = lake_dir.put("t2/x.json", json.dumps({"query_status": "no_result", "data": "none"}))
-    empty = enrichment.type_breakdown(feeds.read_threatfox(spark, text)).first()
-    assert (empty["ioc_type_breakdown"], empty["ioc_count"]) == ("{}", 0)
+    for n, data in enumerate(["none", {"a": 1}, None, []]):
+        text = lake_dir.put(f"t2/{n}/x.json", json.dumps({"query_status": "no_result", "data": data}))
+        empty = enrichment.type_breakdown(feeds.read_threatfox(spark, text)).first()
+        assert (empty["ioc_type_breakdown"], empty["ioc_count"]) == ("{}", 0)
     refused = lake_dir.put("t3/x.json", json.dumps({"query_status": "Unauthorized", "data": [1]}))
     with pytest.raises(Exception, match="refused"):
         feeds.read_threatfox(spark, refused).count()

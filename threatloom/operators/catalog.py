@@ -144,7 +144,10 @@ def replay_candidates(
 
 def integrity(catalog: DataFrame, recomputed: DataFrame) -> DataFrame:
     """Catalog rows with ``integrity_fail`` where the recomputed hash differs from the recorded one."""
-    actual = recomputed.select("relative_landing_path", F.col("sha256").alias("actual_sha256"))
+    measured = {"sha256": "actual_sha256", "size_bytes": "actual_size_bytes"}
+    actual = recomputed.select(
+        "relative_landing_path", *[F.col(c).alias(name) for c, name in measured.items() if c in recomputed.columns]
+    )
     return catalog.join(actual, "relative_landing_path", "left").withColumn(
         "integrity_fail", F.coalesce(F.col("actual_sha256") != F.col("sha256"), F.lit(False))
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from threatloom.functions import scalars as S
 from threatloom.operators.upsert import upsert_parts
+from threatloom.session import work_dir
 from threatloom.sources.lines import MANIFEST_PATH
 
 SNAPSHOT = "snapshot="
@@ -66,15 +67,20 @@ def write_or_merge(
     """Upsert (keys given) or append (``None``) one batch; creates the table on first use.
 
     Returns the batch size. An empty batch writes nothing. The first write keeps duplicate keys.
+
+    A batch to merge is stored in the shared work folder first: the merge reads it several times, and must
+    neither scan and parse the landing again nor see other values (ids made by ``uuid``) when it does.
     """
     if merge_keys is not None and not merge_keys:
         raise ValueError("merge_keys must be None or name at least one column")
-    if source.isEmpty():
-        return 0
-    if merge_keys is None:
-        return append(source, path, partition_by)
     spark = source.sparkSession
-    size = source.count()
+    if merge_keys is None:
+        return 0 if source.isEmpty() else append(source, path, partition_by)
+    batch = work_dir(spark, "batch")
+    size = append(source, batch)
+    if not size:
+        return 0
+    source = spark.read.schema(source.schema).parquet(batch)
     existing = current_snapshot(spark, path)
     if existing is None:
         write_snapshot(balanced(source, partition_by), path, partition_by)

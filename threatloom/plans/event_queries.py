@@ -472,7 +472,7 @@ def q_top_talkers(t: Tables) -> DataFrame:
     per_day = exploitation.top_talkers(as_alerts(t), "src_ip", 3, "1 day")
     overall = exploitation.top_talkers(as_alerts(t), "src_ip", 10).withColumn("rank", F.lit(0))
     day = F.coalesce(F.date_format("window_start", "yyyy-MM-dd"), F.lit("all")).alias("day")
-    return per_day.unionByName(overall).select(day, "src_ip", "alerts", "rank")
+    return per_day.unionByName(overall).select(day, "src_ip", "alerts", F.col("rank").cast("bigint").alias("rank"))
 
 
 @query(f"SELECT event_type AS signature, CAST({BAND} AS BIGINT) AS severity, count(*) AS alerts FROM events GROUP BY ALL")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threatloom.functions import scalars as S
@@ -19,20 +19,20 @@ MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 # -- upsert, append, replace ------------------------------------------------------------------------
 
 
-def order_history(t: Tables) -> DataFrame:
+def order_history(t: Tables, key: Column | None = None) -> DataFrame:
     return t.orders.where(F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp_ntz")).select(
-        F.col("o_orderkey").alias("order_key"),
+        (F.col("o_orderkey") if key is None else key).alias("order_key"),
         F.col("o_orderstatus").alias("status"),
         F.col("o_totalprice").alias("total_price"),
         F.col("o_orderpriority").alias("priority"),
     )
 
 
-def order_changes(t: Tables) -> DataFrame:
+def order_changes(t: Tables, key: Column | None = None) -> DataFrame:
     """A later load that overlaps the history by half a year: new prices, some of them null, no priority."""
     price = F.when(F.col("o_orderstatus") != "F", F.col("o_totalprice") + 100.0)
     return t.orders.where(F.col("o_orderdate") >= F.lit("1999-07-01").cast("timestamp_ntz")).select(
-        F.col("o_orderkey").alias("order_key"),
+        (F.col("o_orderkey") if key is None else key).alias("order_key"),
         F.when(F.col("o_orderstatus") == "O", "X").otherwise(F.col("o_orderstatus")).alias("status"),
         price.alias("total_price"),
     )
@@ -85,15 +85,8 @@ FROM tk t FULL JOIN sk s ON s.order_key = t.order_key
 )
 def q_upsert_null_keys(t: Tables) -> DataFrame:
     """Urgent orders have lost their key: they match nothing and stay on both sides."""
-    known = t.orders.where(F.col("o_orderpriority") != "1-URGENT").select(
-        F.col("o_orderkey").alias("order_key"), F.lit(True).alias("known")
-    )
-
-    def lose(df: DataFrame) -> DataFrame:
-        kept = df.join(known, "order_key", "left")
-        return kept.withColumn("order_key", F.when(F.col("known"), F.col("order_key"))).drop("known")
-
-    merged = upsert.upsert(lose(order_history(t)), lose(order_changes(t)), ["order_key"])
+    key = F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_orderkey"))
+    merged = upsert.upsert(order_history(t, key), order_changes(t, key), ["order_key"])
     return merged.withColumn("order_key", F.col("order_key").cast("string"))
 
 
@@ -211,8 +204,9 @@ def q_ingest_metrics(t: Tables) -> DataFrame:
     actual = t.documents.select(
         path, S.sha256(F.col("text")).alias("sha256"), F.octet_length("text").cast("bigint").alias("size_bytes")
     )
-    checked = catalog.integrity(recorded, actual).join(actual.select("relative_landing_path", "size_bytes"), "relative_landing_path")
-    return checked.select("doc_id", "size_bytes", F.col("actual_sha256").alias("sha256"), "integrity_fail")
+    return catalog.integrity(recorded, actual).select(
+        "doc_id", F.col("actual_size_bytes").alias("size_bytes"), F.col("actual_sha256").alias("sha256"), "integrity_fail"
+    )
 
 
 @query()

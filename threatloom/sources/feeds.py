@@ -21,33 +21,34 @@ CSV_HEADER_START = "id,"
 MAX_FORMATS = 100
 
 
-def read_pages(spark: SparkSession, path: str | list[str], *fields: str) -> DataFrame:
-    """One row per page file: the named top-level fields as VARIANT, with file path and page number.
+def read_pages(spark: SparkSession, path: str | list[str], items: str, *values: str) -> DataFrame:
+    """One row per page file: the record array, other named top-level values, file path and page number.
 
-    A file that does not hold a JSON object stops the job.
+    Records are read as VARIANT one by one, so only a single record is limited in size, not the page. A
+    record field that holds no array reads as null; a file that does not hold a JSON object stops the job.
     """
-    schema = ", ".join([f"`{f}` variant" for f in fields] + ["_malformed string"])
+    schema = ", ".join([f"`{items}` array<variant>", *[f"`{v}` variant" for v in values], "_misfit string"])
     raw = (
         spark.read.schema(schema)
         .option("multiLine", True)
-        .option("columnNameOfCorruptRecord", "_malformed")
+        .option("columnNameOfCorruptRecord", "_misfit")
         .json(path)
         .select("*", F.col("_metadata.file_path").alias("file_path"))
     )
-    broken = F.raise_error(F.concat(F.lit("not a JSON object: "), F.col("file_path")))
+    misfit = F.col("_misfit")
+    broken = misfit.isNotNull() & ~(F.ltrim(misfit).startswith("{") & F.try_parse_json(misfit).isNotNull())
+    stop = F.raise_error(F.concat(F.lit("not a JSON object: "), F.col("file_path")))
     page = F.regexp_extract("file_path", PAGE_IN_PATH, 1).try_cast("bigint")
     return raw.select(
         "file_path",
         F.coalesce(page, F.lit(0).cast("bigint")).alias("page"),
-        *[F.when(F.col("_malformed").isNotNull(), broken).otherwise(F.col(f)).alias(f) for f in fields],
+        *[F.when(broken, stop).otherwise(F.col(f)).alias(f) for f in (items, *values)],
     )
 
 
 def explode_items(pages: DataFrame, field: str) -> DataFrame:
-    """``(file_path, page, pos, item)`` per array element; a field that is no array gives no rows."""
-    return pages.select(
-        "file_path", "page", F.posexplode(S.json_items(F.col(field))).alias("pos", "item")
-    )
+    """``(file_path, page, pos, item)`` per record; a page without records gives no rows."""
+    return pages.select("file_path", "page", F.posexplode(field).alias("pos", "item"))
 
 
 def spread(items: DataFrame, partitions: int | None) -> DataFrame:
@@ -108,7 +109,7 @@ def read_epss(spark: SparkSession, path, partitions: int | None = None) -> DataF
 
 def read_threatfox(spark: SparkSession, path) -> DataFrame:
     """All elements of the indicator array as VARIANT, objects or not; a refused query stops the job."""
-    pages = read_pages(spark, path, "query_status", "data")
+    pages = read_pages(spark, path, "data", "query_status")
     status = F.lower(S.strip(S.safe_str(F.col("query_status"), "$")))
     refused = F.lit(False)
     for word in REFUSED_STATUS:
