@@ -89,10 +89,6 @@ def canonical_json(doc: Column) -> Column:
     return F.to_json(doc)
 
 
-def canonical_json_text(text: Column) -> Column:
-    return F.to_json(F.parse_json(text))
-
-
 # -- numbers, dates, hashes -------------------------------------------------------------------------
 
 

@@ -6,7 +6,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,6 +59,11 @@ def grow_tree(points: np.ndarray, tree_id: int, seed: int) -> pd.DataFrame:
     return table.assign(sample=len(points))
 
 
+def _likely(rows: DataFrame, draw: Column, wanted: int, total: int) -> DataFrame:
+    """Rows that can be among the ``wanted`` smallest hashes of ``total``, by a wide margin."""
+    return rows.where(draw < -(2**63) + int(2**64 * 4 * wanted / total)) if total > 8 * wanted else rows
+
+
 def train(matrix: DataFrame, key: str = "flow_id", trees: int = TREES, sample: int = SAMPLE, seed: int = 7) -> DataFrame:
     """Model nodes. Each tree gets ``sample`` rows drawn by seeded hash, the same on every run.
 
@@ -66,18 +71,17 @@ def train(matrix: DataFrame, key: str = "flow_id", trees: int = TREES, sample: i
     there are), deals them to all trees and keeps each tree's ``sample`` smallest; with fewer flows than
     that every tree draws from all of them. A group is one tree's sample, never more than ``sample`` rows.
 
-    Of very many flows only those under a hash limit, about four times the wanted number, are sorted: else
-    each task would send its own ``trees × sample`` best to the one that merges them. ``matrix`` is read
-    twice here, so pass a stored table.
+    Both draws sort only rows under a hash limit, about four times the wanted number, where there are many
+    more: else each task would send its own ``trees × sample`` best to the one that merges them. ``matrix``
+    is read twice here, so pass a stored table.
     """
     wanted, total = trees * sample, matrix.count()
     draw = F.xxhash64("k", F.lit(seed))
     rows = matrix.select(F.col(key).cast("string").alias("k"), *FEATURES)
-    if total > 8 * wanted:
-        rows = rows.where(draw < -(2**63) + int(2**64 * 4 * wanted / total))
-    pool = rows.orderBy(draw, "k").limit(wanted).repartition(max(trees // 8, 1), "k")
+    pool = _likely(rows, draw, wanted, total).orderBy(draw, "k").limit(wanted).repartition(max(trees // 8, 1), "k")
     dealt = pool.withColumn("tree_id", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    drawn = top_per_group(dealt, ["tree_id"], sample, F.xxhash64("k", "tree_id", F.lit(seed)), F.col("k"))
+    turn = F.xxhash64("k", "tree_id", F.lit(seed))
+    drawn = top_per_group(_likely(dealt, turn, sample, min(wanted, total)), ["tree_id"], sample, turn, F.col("k"))
 
     def grow(rows: pd.DataFrame) -> pd.DataFrame:
         points = rows.sort_values("rank")[FEATURES].to_numpy(dtype=float)

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threatloom.operators.shaping import keep_one
-
 
 def _has_key(keys: list[str]) -> Column:
     present = F.lit(True)
@@ -92,8 +90,3 @@ def split_existing(selected: DataFrame, landed: DataFrame, keys: list[str], forc
     present = landed.select(*keys).distinct().withColumn("_present", F.lit(True))
     state = F.when(F.col("_present"), "skipped").otherwise("to_land")
     return selected.join(present, keys, "left").withColumn("state", state).drop("_present")
-
-
-def latest_manifest_entries(manifest: DataFrame, identity) -> DataFrame:
-    """Current entry per identity of one manifest scan."""
-    return keep_one(manifest.withColumn("identity", identity), ["identity"], F.col("seq").desc())

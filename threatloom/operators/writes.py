@@ -103,14 +103,6 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> i
     return seen.get["rows"]
 
 
-def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -> int:
-    """Replace a fully recomputed table with a new snapshot; the previous one stays readable until then."""
-    seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    write_snapshot(balanced(counted, partition_by), path, partition_by)
-    return seen.get["rows"]
-
-
 def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """Replace exactly the partitions that occur in ``df``; the others stay."""
     (

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import json
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -90,10 +89,6 @@ def profile_rules(rules: DataFrame, profile: str) -> list[tuple[str, str]]:
     return [(r["label"], r["pattern"]) for r in rows]
 
 
-def load_config(text: str) -> dict:
-    return json.loads(text)
-
-
 def read_table(spark: SparkSession, path: str, ingest_date: str | None = None) -> DataFrame:
     """A stored table: the newest complete snapshot if it is kept as snapshots, else the folder itself."""
     from threatloom.operators.writes import current_snapshot
