@@ -156,12 +156,16 @@ import sys
 sys.path.insert(0, {ROOT!r})
 from threatloom.plans.table_queries import QUERIES
 from threatloom.session import build_session
-spark = build_session("elsewhere", "local[2]", **{{"spark.ui.enabled": "false"}})
+shared = {str(tmp_path / "shared")!r}
+spark = build_session("elsewhere", "local[2]", **{{"spark.ui.enabled": "false", "spark.checkpoint.dir": shared}})
 assert QUERIES["q_links"](spark, {SMALL!r}).count() > 0
 assert QUERIES["q_anomaly"](spark, {SMALL!r}).count() > 0
 """
+    (tmp_path / "shared").mkdir()
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, check=True, timeout=300, capture_output=True)
+    written = {p.name.split("-")[0] for p in (tmp_path / "shared").iterdir()}
+    assert {"features", "model"} <= written  # work files go to the folder the session names
 
 
 def test_stream_restarts_without_doubling(spark, lake_dir, tmp_path):

@@ -193,14 +193,10 @@ def plan_artifacts(
     )
     landed = lines.read_manifest(lake.spark, lake.root, ARTIFACT_MANIFEST).select(
         S.safe_str(F.col("entry"), "$.relative_landing_path").alias("relative_landing_path")
-    ) if _has_manifest(lake) else selected.select("relative_landing_path").limit(0)
+    )
     return split_existing(selected, landed, ["relative_landing_path"], force)
 
 
-def _has_manifest(lake: Lake) -> bool:
-    return writes.table_exists(lake.spark, lake.path("metadata/manifests"))
-
-
 def catalog_captures(lake: Lake, ingest_date: str | None = None) -> tuple[DataFrame, int]:
     """Merge the capture manifest into ``pcap_artifacts``; returns the catalog and the batch size."""
     manifest = lines.read_manifest(lake.spark, lake.root, ARTIFACT_MANIFEST, ingest_date)

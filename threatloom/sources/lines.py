@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +20,16 @@ ALERT_PATHS = {
 }
 
 
+def if_landed(spark: SparkSession, scan: Callable[[], DataFrame], schema: str) -> DataFrame:
+    """The scan, or no rows when nothing has been landed at its path yet."""
+    try:
+        return scan()
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def read_lines(spark: SparkSession, path) -> DataFrame:
     """Non-blank stripped lines with their file and ``seq``, the order of lines inside and across files.
 
@@ -46,7 +60,9 @@ def read_manifest(spark: SparkSession, root: str, source_id: str, ingest_date: s
     The manifest of a date is one file ``<source>.jsonl`` or a folder ``of=<source>.jsonl`` of files.
     """
     path = f"{root}/" + MANIFEST_PATH.format(date=ingest_date or "*", source=source_id)
-    lines = objects_only(read_lines(spark, path)).select(
+    seq = "struct<folder: string, written: timestamp, file: string, block: bigint, row: bigint>"
+    landed = if_landed(spark, lambda: read_lines(spark, path), f"line string, file_path string, seq {seq}")
+    lines = objects_only(landed).select(
         "line", S.path_part(F.col("file_path"), "ingest_date").alias("manifest_date"), "seq"
     )
     return S.parsed(lines, "line", "entry").where(F.col("entry").isNotNull())
@@ -63,7 +79,7 @@ def read_eve(spark: SparkSession, root: str, event_types: list[str], ingest_date
     Hive parts come from partition discovery as text, so a date filter prunes folders.
     """
     schema = "value string, scenario string, artifact_sha256 string, ingest_date string"
-    files = spark.read.schema(schema).option("basePath", root).text(root)
+    files = if_landed(spark, lambda: spark.read.schema(schema).option("basePath", root).text(root), schema)
     if ingest_date:
         files = files.where(F.col("ingest_date") == ingest_date)
     events = files.select(F.make_valid_utf8("value").alias("value"), "artifact_sha256", "ingest_date")
@@ -89,10 +105,8 @@ def read_alert_logs(spark: SparkSession, root: str) -> DataFrame:
         body = ", ".join(
             f"`{f.name}` {f.dataType.simpleString()}" for f in ALERT if f.name != "ingest_date"
         )
-        part = (
-            spark.read.schema(f"{body}, ingest_date string, hour string")
-            .option("basePath", base)
-            .json(f"{root}/{pattern}")
-        )
+        schema = f"{body}, ingest_date string, hour string"
+        reader = spark.read.schema(schema).option("basePath", base)
+        part = if_landed(spark, partial(reader.json, f"{root}/{pattern}"), schema)
         parts = part if parts is None else parts.unionByName(part)
     return parts.select(*ALERT.names, "hour")
