@@ -21,19 +21,19 @@ def _filesystem(spark: SparkSession, path: str):
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where, hadoop
 
 
-def _snapshots(spark: SparkSession, path: str) -> list[str]:
+def complete_folders(spark: SparkSession, path: str, prefix: str = SNAPSHOT) -> list[str]:
     """Complete snapshots of a table, oldest first. A snapshot without its success marker does not exist."""
     files, where, hadoop = _filesystem(spark, path)
     if not files.exists(where):
         return []
     names = [s.getPath().getName() for s in files.listStatus(where)]
     return sorted(
-        n for n in names if n.startswith(SNAPSHOT) and files.exists(hadoop.Path(f"{path}/{n}/_SUCCESS"))
+        n for n in names if n.startswith(prefix) and files.exists(hadoop.Path(f"{path}/{n}/_SUCCESS"))
     )
 
 
 def current_snapshot(spark: SparkSession, path: str) -> str | None:
-    found = _snapshots(spark, path)
+    found = complete_folders(spark, path)
     return f"{path}/{found[-1]}" if found else None
 
 
@@ -53,7 +53,7 @@ def balanced(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
 def write_snapshot(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
     """Write a whole table as the next snapshot. Readers move to it once it is complete."""
     spark = df.sparkSession
-    found = _snapshots(spark, path)
+    found = complete_folders(spark, path)
     number = int(found[-1].split("=")[1].split("-")[0]) + 1 if found else 0
     target = f"{path}/{SNAPSHOT}{number:08d}-{uuid.uuid4().hex[:8]}"
     writer = df.write.mode("overwrite")

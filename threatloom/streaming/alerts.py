@@ -9,12 +9,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from threatloom.operators.exploitation import enrich_alerts
 from threatloom.operators.shaping import keep_one
-from threatloom.operators.writes import envelope
+from threatloom.operators.writes import complete_folders, envelope
 from threatloom.schemas import ALERT
 
-# Fixed value: the interval of the warm path. The watermark is our choice.
+# Fixed value: the interval of the warm path. The watermark and the folder names are our choice.
 MICRO_BATCH = "10 seconds"
 WATERMARK = "10 minutes"
+BATCH = "batch="
+STATE = "upto="
 
 
 def read_topic(spark: SparkSession, servers: str, topic: str, schema: T.StructType = ALERT) -> DataFrame:
@@ -57,15 +59,39 @@ def update_to(stream: DataFrame, path: str, checkpoint: str, available_now: bool
     """
 
     def write(rows: DataFrame, batch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+        rows.write.mode("overwrite").parquet(f"{path}/{BATCH}{batch}")
 
     writer = stream.writeStream.outputMode("update").foreachBatch(write)
     return _start(writer, checkpoint, available_now).start()
 
 
+def _newest_batch(spark: SparkSession, path: str) -> int:
+    """Number of the newest micro-batch that is written completely; batches are written one after another."""
+    return max((int(name.removeprefix(BATCH)) for name in complete_folders(spark, path, BATCH)), default=-1)
+
+
+def _versions(spark: SparkSession, path: str) -> DataFrame:
+    """All row versions with their ``batch``: the newest compacted state and the complete batches after it."""
+    batches = spark.read.option("basePath", path).parquet(f"{path}/{BATCH}*")
+    batches = batches.where(F.col("batch") <= _newest_batch(spark, path))
+    states = complete_folders(spark, f"{path}/state", STATE)
+    if not states:
+        return batches
+    upto = int(states[-1].removeprefix(STATE))
+    state = spark.read.parquet(f"{path}/state/{states[-1]}").withColumn("batch", F.lit(upto))
+    return state.unionByName(batches.where(F.col("batch") > upto))
+
+
 def current_state(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """Latest version of each key written by ``update_to``."""
-    return keep_one(spark.read.option("basePath", path).parquet(f"{path}/batch=*"), keys, F.desc("batch")).drop("batch")
+    return keep_one(_versions(spark, path), keys, F.desc("batch")).drop("batch")
+
+
+def compact_state(spark: SparkSession, path: str, keys: list[str]) -> None:
+    """Write the current state once, so that readers need only later batches; older folders may then expire."""
+    upto = _newest_batch(spark, path)
+    rows = keep_one(_versions(spark, path).where(F.col("batch") <= upto), keys, F.desc("batch")).drop("batch")
+    rows.write.mode("overwrite").parquet(f"{path}/state/{STATE}{upto:012d}")
 
 
 def warm_enrichment(alerts: DataFrame, vulns: DataFrame) -> DataFrame:
