@@ -8,14 +8,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from threatloom.session import shared_root, tune, work_dir
+from threatloom.session import shared_root, work_dir
 
 # Rows of one Arrow batch between Spark and a Python worker; documents are long, so batches are kept short.
 ARROW_ROWS = 512
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    tune(spark)
+    """Settings of the operators. How much may be broadcast is left to the session, which knows its driver's memory."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     return spark
 
