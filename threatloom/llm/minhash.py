@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threatloom.llm.common import SPACES, Words, checkpointed, mixed, slices, stage
+from threatloom.llm.common import SPACES, Words, mixed, slices, stage
 from threatloom.llm.components import components
 
 # 32 bands of 4 minima miss a pair of similarity 0.8 with probability (1 - 0.8^4)^32 = 5e-8.
@@ -24,7 +24,7 @@ HASHES = BANDS * ROWS
 BITS = 4
 # The estimate has a standard deviation of 0.037 at similarity 0.8; candidates are kept down to 5.4 of these below.
 SLACK = 0.2
-BLOCK = 1024
+BLOCK = 256
 _SLICE = 4 << 20
 
 _SIGNED = "doc_id long, n_shingles long, digest binary, signature binary, bands array<long>"
@@ -128,6 +128,17 @@ def _may_reach(least: float):
     return run
 
 
+def _similar(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
+    """Exact test on two sorted sets, in whole numbers."""
+    few, many = sorted((one, other), key=len)
+    if not len(few) or 100 * len(few) < percent * len(many):
+        return False
+    at = np.searchsorted(many, few)
+    at[at == len(many)] = 0
+    both = int((many[at] == few).sum())
+    return 100 * both >= percent * (len(one) + len(other) - both)
+
+
 def _confirm(k: int, percent: int):
     """Pairs whose full sets are similar enough: 100 * intersection >= percent * union, in whole numbers."""
 
@@ -137,18 +148,17 @@ def _confirm(k: int, percent: int):
             keep = []
             for a, b in zip(left, right, strict=True):
                 one, other = shingle_sets([a, b], k)
-                both = len(np.intersect1d(one, other, assume_unique=True))
-                keep.append(100 * both >= percent * (len(one) + len(other) - both) and both > 0)
+                keep.append(_similar(one, other, percent))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
-def _block_pairs(least: float, best_only: bool):
-    """Within one block pair of a band: pairs of different components that may reach the threshold.
+def _block_links(k: int, percent: int, least: float):
+    """Links between components within one block of members and one block of strays.
 
-    ``best_only`` gives each stray only its three likeliest partners, so a first look at a large bucket costs few
-    confirmations; the last look gives all.
+    For each stray, members of other components that may reach the threshold are confirmed on the full sets, the
+    likeliest first; one link to a component is enough, so links, not pairs, leave the task.
     """
 
     def run(table: pa.Table) -> pa.Table:
@@ -156,19 +166,20 @@ def _block_pairs(least: float, best_only: bool):
         part = table.column("component").to_numpy()
         stray = table.column("stray").to_numpy(zero_copy_only=False).astype(bool)
         bits = _matrix(table.column("signature"))
-        lefts, rights = [], []
-        inner = np.flatnonzero(table.column("inner").to_numpy(zero_copy_only=False))
+        inner = np.flatnonzero(~stray)
+        sets = shingle_sets(table.column("text").cast(pa.large_binary()).to_pylist(), k)
+        links = []
         for i in np.flatnonzero(stray):
             likely = estimated(bits[inner], bits[i])
             likely[part[inner] == part[i]] = -1
             found = np.flatnonzero(likely >= least)
-            if best_only and len(found) > 3:
-                found = found[np.argsort(-likely[found], kind="stable")[:3]]
-            lefts.append(np.full(len(found), ids[i]))
-            rights.append(ids[inner[found]])
-        a = np.concatenate(lefts) if lefts else np.empty(0, np.int64)
-        b = np.concatenate(rights) if rights else np.empty(0, np.int64)
-        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
+            linked = {part[i]}
+            for j in inner[found[np.argsort(-likely[found], kind="stable")]]:
+                if part[j] not in linked and _similar(sets[i], sets[j], percent):
+                    linked.add(part[j])
+                    links.append((ids[i], ids[j]))
+        a, b = zip(*links, strict=True) if links else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
 
@@ -183,9 +194,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     Large groups: equal sets are one class, compared once. Every class is first compared with the smallest member of
     its buckets; what that links is one component. Only buckets that still hold several components are looked at
     again: their strays (members outside the component of the bucket's smallest member) against the whole bucket, in
-    blocks, so the cost follows strays times members and no pair inside a component is ever made.
+    blocks that confirm in place. The cost follows strays times members; no pair inside a component is ever made, and
+    a block returns at most one link per stray and component.
     """
-    spark = docs.sparkSession
     least = percent / 100 - SLACK
     signed = stage(sign(docs, k), "minhash")
     classes = signed.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("first_id"))
@@ -207,17 +218,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     pairs = shared.where("pivot < doc_id").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
     pairs = pairs.join(signatures.toDF("a", "one"), "a").join(signatures.toDF("b", "other"), "b")
     likely = pairs.select("a", "b", "one", "other").mapInArrow(_may_reach(least), "a long, b long")
-    links = checkpointed(confirmed(likely).distinct())
-    known = components(links)
-    for best_only in (True, False):
-        pairs = _open_pairs(shared, signatures, known, least, best_only)
-        more = checkpointed(confirmed(checkpointed(pairs.distinct())).distinct())
-        if more.isEmpty():
-            if best_only:
-                continue
-            break
-        links = links.union(more)
-        known = components(links)
+    known = components(confirmed(likely))
+    blocks = _open_blocks(shared, signatures, texts, known)
+    more = blocks.applyInArrow(_block_links(k, percent, least), "a long, b long")
+    known = components(known.toDF("a", "b").union(more))
     part = classes.join(known, classes.first_id == known.node, "left")
     part = part.select("digest", F.coalesce("component", "first_id").alias("component_id"))
     found = signed.select("doc_id", "n_shingles", "digest").join(part, "digest", "left")
@@ -230,38 +234,38 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     )
 
 
-def _open_pairs(shared: DataFrame, signatures: DataFrame, known: DataFrame, least: float, best_only: bool) -> DataFrame:
-    """Likely pairs between the components that meet in a bucket."""
+def _open_blocks(shared: DataFrame, signatures: DataFrame, texts: DataFrame, known: DataFrame):
+    """Members of the buckets in which several components meet, grouped in blocks.
+
+    Buckets are put together by the component of their smallest member, so that members which share many buckets are
+    compared once. Members are dealt over inner blocks, strays over outer ones; a group is one outer and one inner.
+    """
     labelled = shared.join(known.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "doc_id"))
-    pivots = labelled.where("doc_id = pivot").select("band", F.col("component").alias("main"))
-    counted = labelled.groupBy("band").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members")
-    )
-    open_bands = counted.where("low < high").join(pivots, "band")
-    rows = labelled.join(open_bands, "band").withColumn("stray", F.col("component") != F.col("main"))
-    strays = rows.groupBy("band").agg(F.sum(F.col("stray").cast("long")).alias("strays"))
-    rows = rows.join(strays, "band").join(signatures, "doc_id")
-    # Members are dealt over inner blocks, strays over outer ones; a group is one outer with one inner block.
+    main = F.max(F.when(F.col("doc_id") == F.col("pivot"), F.col("component"))).alias("main")
+    counted = labelled.groupBy("band").agg(main, F.min("component").alias("low"), F.max("component").alias("high"))
+    rows = labelled.join(counted.where("low < high").select("band", "main"), "band")
+    rows = stage(rows.select("main", "doc_id", "component").distinct(), "minhash-open")
+    is_stray = F.col("component") != F.col("main")
+    sizes = rows.groupBy("main").agg(F.count("*").alias("members"), F.sum(is_stray.cast("long")).alias("strays"))
+    rows = rows.join(sizes.where("strays > 0"), "main").join(signatures, "doc_id")
     inner_blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     outer_blocks = F.ceil(F.col("strays") / BLOCK).cast("int")
     spread = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)).cast("int")
-    narrow = ["band", "doc_id", "component", "signature"]
+    narrow = ["main", "doc_id", "component", "signature"]
     inner = rows.select(
         *narrow,
         F.lit(False).alias("stray"),
-        F.lit(True).alias("inner"),
         F.pmod(spread, inner_blocks).alias("i"),
         F.explode(F.sequence(F.lit(0), outer_blocks - 1)).alias("o"),
     )
-    outer = rows.where("stray").select(
+    outer = rows.where(is_stray).select(
         *narrow,
         F.lit(True).alias("stray"),
-        F.lit(False).alias("inner"),
         F.explode(F.sequence(F.lit(0), inner_blocks - 1)).alias("i"),
         F.pmod(spread, outer_blocks).alias("o"),
     )
-    return inner.union(outer).groupBy("band", "i", "o").applyInArrow(_block_pairs(least, best_only), "a long, b long")
+    return inner.union(outer).join(texts, "doc_id").groupBy("main", "i", "o")
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
