@@ -1,6 +1,6 @@
 """Recurring lines by a tree of line templates, with DataFrame functions only.
 
-A line is cut into tokens at white space, and runs of digits in a token become one mark. The tree has a fixed depth:
+A line is cut into tokens at spaces, and runs of digits in a token become one mark. The tree has a fixed depth:
 token count, then the leading tokens, then the rest in four fields. A template keeps all of them, or generalises one
 of the four fields into a wildcard. A template that recurs across documents of different content is dropped from all
 documents but the first that has it.
@@ -19,41 +19,43 @@ FIELDS = 4
 MIN_DOCUMENTS = 5
 
 
-def _templates(tokens: Column) -> Column:
-    """Hashes of the templates of one line: without a wildcard, then with each field generalised."""
+def _fields(tokens: Column) -> Column:
+    """What the templates of one line are made of: token count, and hashes of the leading tokens and each field."""
     count = F.size(tokens)
-    lead = F.xxhash64(count, F.slice(tokens, 1, LEADING))
     width = F.ceil((count - LEADING) / FIELDS).cast("int")
     fields = [F.xxhash64(F.slice(tokens, width * i + LEADING + 1, width)) for i in range(FIELDS)]
-    whole = F.xxhash64(lead, *fields)
-    wild = [F.xxhash64(lead, F.lit(i), *fields[:i], *fields[i + 1 :]) for i in range(FIELDS)]
-    # A short line has no field that could vary and still leave most of it fixed.
-    return F.when(count < LEADING + FIELDS, F.array(whole)).otherwise(F.array(whole, *wild))
+    return F.struct(
+        count.alias("count"),
+        F.array_min(F.transform(tokens, lambda t: F.xxhash64(t))).alias("least"),
+        F.when(count >= MIN_TOKENS, F.array(F.xxhash64(count, F.slice(tokens, 1, LEADING)), *fields)).alias("parts"),
+    )
 
 
-def _tokens(line: Column) -> Column:
-    return F.split(F.trim(F.regexp_replace(line, "[0-9]+", "#")), "[ \\t\\r\\x0B\\f]+")
+def _templates(count: Column, parts: Column) -> Column:
+    """Hashes of the templates of one line: without a wildcard, then with each field generalised."""
+    lead, *fields = [parts[i] for i in range(FIELDS + 1)]
+    wild = [F.xxhash64(lead, F.lit(i), *fields[:i], *fields[i + 1 :]) for i in range(FIELDS)]
+    # A short line has no field that could vary and still leave most of it fixed.
+    return F.when(count < LEADING + FIELDS, F.array(F.xxhash64(parts))).otherwise(F.array(F.xxhash64(parts), *wild))
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, sketch, line, template): one row per document, distinct line and template of it.
+    """(doc_id, sketch, line, template): one row per line of a document and template of it.
 
     ``line`` is a hash of the line, ``sketch`` the smallest token hash of the document: near copies mostly share it.
     """
-    split = F.array_distinct(F.split("text", "\n"))
-    tokens = F.transform(split, lambda x: F.struct(F.xxhash64(x).alias("line"), _tokens(x).alias("tokens")))
-    parsed = docs.where("text IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", tokens.alias("parsed"))
-    hashed = F.transform(
-        F.col("parsed"),
-        lambda p: F.struct(
-            p["line"].alias("line"),
-            F.array_min(F.transform(p["tokens"], lambda t: F.xxhash64(t))).alias("least"),
-            F.when(F.size(p["tokens"]) >= MIN_TOKENS, _templates(p["tokens"])).alias("templates"),
-        ),
+    marked = F.when(F.col("text").rlike("[0-9]"), F.regexp_replace("text", "[0-9]+", "#")).otherwise(F.col("text"))
+    tokens = F.transform(F.split(marked, "\n"), lambda x: F.split(F.trim(x), " "))
+    parsed = docs.where("text IS NOT NULL AND doc_id IS NOT NULL").select(
+        "doc_id",
+        F.transform(F.split("text", "\n"), lambda x: F.xxhash64(x)).alias("line"),
+        F.transform(tokens, _fields).alias("fields"),
+    )
+    one = parsed.select("doc_id", F.array_min("fields.least").alias("sketch"), F.explode(F.arrays_zip("line", "fields")).alias("f"))
+    one = one.where("f.fields.parts IS NOT NULL")
+    return one.select(
+        "doc_id", "sketch", F.col("f.line").alias("line"), F.explode(_templates(F.col("f.fields.count"), F.col("f.fields.parts"))).alias("template")
     )
-    found = parsed.select("doc_id", hashed.alias("found"))
-    one = found.select("doc_id", F.array_min(F.col("found.least")).alias("sketch"), F.explode("found").alias("f"))
-    return one.select("doc_id", "sketch", F.col("f.line").alias("line"), F.explode("f.templates").alias("template"))
 
 
 def recurring(rows: DataFrame, min_documents: int) -> DataFrame:
