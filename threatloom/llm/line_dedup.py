@@ -26,7 +26,6 @@ def _fields(tokens: Column) -> Column:
     fields = [F.xxhash64(F.slice(tokens, width * i + LEADING + 1, width)) for i in range(FIELDS)]
     return F.struct(
         count.alias("count"),
-        F.array_min(F.transform(tokens, lambda t: F.xxhash64(t))).alias("least"),
         F.when(count >= MIN_TOKENS, F.array(F.xxhash64(count, F.slice(tokens, 1, LEADING)), *fields)).alias("parts"),
     )
 
@@ -42,7 +41,8 @@ def _templates(count: Column, parts: Column) -> Column:
 def lines(docs: DataFrame) -> DataFrame:
     """(doc_id, sketch, line, template): one row per line of a document and template of it.
 
-    ``line`` is a hash of the line, ``sketch`` the smallest token hash of the document: near copies mostly share it.
+    ``line`` is a hash of the line, ``sketch`` the smallest hash of a field in the document: near copies
+    mostly share it, other documents do not unless recurring lines are most of their text.
     """
     marked = F.when(F.col("text").rlike("[0-9]"), F.regexp_replace("text", "[0-9]+", "#")).otherwise(F.col("text"))
     tokens = F.transform(F.split(marked, "\n"), lambda x: F.split(F.trim(x), " "))
@@ -51,7 +51,8 @@ def lines(docs: DataFrame) -> DataFrame:
         F.transform(F.split("text", "\n"), lambda x: F.xxhash64(x)).alias("line"),
         F.transform(tokens, _fields).alias("fields"),
     )
-    one = parsed.select("doc_id", F.array_min("fields.least").alias("sketch"), F.explode(F.arrays_zip("line", "fields")).alias("f"))
+    parsed = parsed.withColumn("parts", F.filter("fields.parts", lambda p: p.isNotNull()))
+    one = parsed.select("doc_id", F.array_min(F.flatten("parts")).alias("sketch"), F.explode(F.arrays_zip("line", "fields")).alias("f"))
     one = one.where("f.fields.parts IS NOT NULL")
     return one.select(
         "doc_id", "sketch", F.col("f.line").alias("line"), F.explode(_templates(F.col("f.fields.count"), F.col("f.fields.parts"))).alias("template")
@@ -73,7 +74,7 @@ def drop_recurring_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) ->
 
     Lines end at a line feed. A line of fewer than MIN_TOKENS tokens is never a template and stays; so does a
     recurring line in the document with the smallest doc_id of one of its recurring templates, so one copy of each
-    remains. Copies and near copies of one text count once where they share their smallest token hash. A null text
+    remains. Copies and near copies of one text count once where they share their sketch. A null text
     stays null, an empty one empty; rows that share a doc_id lose the same lines; a null doc_id keeps its text. Other
     columns pass through, a ``lines_dropped`` of the input is replaced.
     """
