@@ -12,8 +12,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MOST_CHILDREN, LEAST_SHARE = 20, 0.05
 # Branches within so many standard deviations of their siblings' rate are merged.
 DEVIATIONS = 1.96
-# Weight of the host-independent rate in a template's purity, and the purity from which it is rejected.
-PRIOR_WEIGHT, REJECT_FROM = 10.0, 0.5
+# Weight of the host-independent rate in a template's purity, and the bad share over which it is rejected.
+PRIOR_WEIGHT, REJECT_OVER = 10.0, 0.5
 
 
 def _host_and_path(url: Column) -> tuple[Column, Column]:
@@ -42,7 +42,7 @@ def filter_urls(pages: DataFrame, labels: DataFrame, rules=RULES) -> DataFrame:
     do not. A rule that fits decides, the longest first. Else the page's template does: digits in a path segment are
     one mark; below a level with many children, rare ones become a wildcard; sibling templates whose bad share does
     not differ from their common share are merged; a template is blocked when its bad share, smoothed towards the
-    share of all labelled pages, reaches REJECT_FROM. Without labels nothing but the rules blocks.
+    share of all labelled pages, is over REJECT_OVER. Without labels nothing but the rules blocks.
 
     A null url, or one without ``://``, has an empty host and path. Pages are reduced to one row per host and lexical
     template before the tree is built, so a crowded host or template is a row per task in every shuffle but the last
@@ -62,7 +62,7 @@ def filter_urls(pages: DataFrame, labels: DataFrame, rules=RULES) -> DataFrame:
     purity = (F.col("bad") + PRIOR_WEIGHT * totals) / (F.col("labels") + PRIOR_WEIGHT)
     judged = templates.select("host", "shape", "template").join(pooled.select("host", "template", purity.alias("purity")), ["host", "template"])
     rule, verdict = _ruled(F.col("host"), F.col("path"), rules)
-    method = F.when(F.col("purity") >= REJECT_FROM, "block").otherwise("allow")
+    method = F.when(F.col("purity") > REJECT_OVER, "block").otherwise("allow")
     return parsed.join(judged, ["host", "shape"], "left").select(
         "page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, method).alias("verdict"), "template", "purity"
     )
