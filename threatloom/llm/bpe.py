@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from threatloom.llm.common import slices
 
 _SLICE = 4 << 20
-_CACHED_WORDS = 300_000
+_CACHED_WORDS, _CACHED_PAIRS = 200_000, 400_000
 # Fixed values of the vocabulary: how its files mark the last symbol of a word, and what separates tokens in text.
 _WORD_END = "</w>"
 _END_SHIFT = 0x10000
@@ -80,7 +80,7 @@ class WordPairs:
         """Whether both tokens survive side by side: no merge across their border comes before what formed them."""
         known = self.compatible.get((left, right))
         if known is None:
-            if len(self.compatible) > 2_000_000:
+            if len(self.compatible) >= _CACHED_PAIRS:
                 self.compatible.clear()
             known = self.compatible[left, right] = self._across(left, right) == (None, True)
         return known
