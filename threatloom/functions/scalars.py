@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # They must equal the ones used by existing tables and messages.
 SENTINEL_TIMESTAMP = "1970-01-01T00:00:00Z"
 ERROR_TAIL_CHARS = 1000
-CVE_IN_TEXT = r"CVE[-_ ](\d{4})[-_ ](\d{4,7})"
+CVE_IN_TEXT = r"CVE[-_ ](\d{4})[-_ ](\d{4,})"
 HTTP_STATUS_IN_TEXT = r"HTTP Error (\d+)"
 UNSAFE_SEGMENT_CHARS = r"[^A-Za-z0-9._-]+"
 BASIC_URL = r"^https?://[^\s/$.?#][^\s]*$"
@@ -178,6 +178,12 @@ def http_status(message: Column) -> Column:
     return non_empty(F.regexp_extract(message, HTTP_STATUS_IN_TEXT, 1)).try_cast("int")
 
 
+def padded(column: str, width: int) -> Column:
+    """A number as text with leading zeros up to ``width``; a longer one stays whole."""
+    text = F.col(column).cast("string")
+    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
+
+
 def cve_in_signature(signature: Column) -> Column:
     """CVE id written in an alert signature (``CVE-2021-44228``, ``CVE_2021_44228``), else null."""
     upper = F.upper(signature)

@@ -130,10 +130,10 @@ def score(matrix: DataFrame, model: DataFrame) -> DataFrame:
     The model has at most ``trees × (2 × sample − 1)`` nodes whatever the data size; that bound is checked
     before the nodes are shipped to the tasks.
     """
-    bound = TREES * 2 * SAMPLE * 10
-    nodes = model.limit(bound + 1).toPandas()
-    if len(nodes) > bound:
-        raise ValueError("model is larger than any forest this job trains")
+    found, last, sample = model.agg(F.count("*"), F.max("tree_id"), F.max("sample")).first()
+    if found and found > (last + 1) * (2 * sample - 1):
+        raise ValueError("model has more nodes than its trees and samples can make")
+    nodes = model.toPandas()
     shipped = matrix.sparkSession.sparkContext.broadcast(nodes)
 
     def add_score(batches):

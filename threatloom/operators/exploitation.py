@@ -245,14 +245,17 @@ def kev_rolling(kev: DataFrame, as_of: Column, days: int = 7, key: str = "cve_id
 def flow_features(events: DataFrame) -> DataFrame:
     """One feature row per flow: event count, and the fields of its most severe event.
 
+    A flow id is unique inside one replay run, so rows that carry a ``replay_run_id`` are grouped by both.
+
     A severity of 0 means no alert, 1 is the gravest; all parts are partial aggregates, so a flow with most
     of the events is reduced before the shuffle.
     """
     graveness = F.when(F.col("severity") > 0, F.col("severity"))
     lead = F.min(F.struct(graveness.isNull().alias("calm"), "severity", "category", "src_port", "dst_port"))
-    grouped = events.groupBy("flow_id").agg(F.count("*").alias("event_count"), lead.alias("lead"))
+    keys = [c for c in ("replay_run_id", "flow_id") if c in events.columns]
+    grouped = events.groupBy(*keys).agg(F.count("*").alias("event_count"), lead.alias("lead"))
     return grouped.select(
-        "flow_id", "event_count", "lead.category", "lead.severity", "lead.src_port", "lead.dst_port"
+        *keys, "event_count", "lead.category", "lead.severity", "lead.src_port", "lead.dst_port"
     )
 
 
@@ -272,4 +275,4 @@ def enrich_alerts(alerts: DataFrame, vulns: DataFrame) -> DataFrame:
     broadcasts it when its size is below the threshold.
     """
     context = vulns.select("cve_id", "vuln_priority_score", "cvss_v3_severity")
-    return alerts.withColumn("cve_id", S.cve_in_signature(F.col("signature"))).join(context, "cve_id", "left")
+    return lookup(alerts.withColumn("cve_id", S.cve_in_signature(F.col("signature"))), context, ["cve_id"])

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-LANES = 64
 _AS_JSON = (T.VariantType, T.MapType)
 
 
@@ -31,6 +30,11 @@ def flatten(df: DataFrame) -> DataFrame:
     return df.select(*[flat(f) for f in df.schema.fields])
 
 
+def told(df: DataFrame, ignored: tuple[str, ...] = ()) -> DataFrame:
+    """Records that say anything: a line that could not be read has only nulls."""
+    return df.where(F.coalesce(*[F.col(f"`{c}`").cast("string") for c in df.columns if c not in ignored]).isNotNull())
+
+
 def keep_one(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     """The first row per key in the given order.
 
@@ -56,14 +60,14 @@ def row_hash(df: DataFrame) -> Column:
 def lookup(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Left join to a side that is unique on ``keys``.
 
-    Rows with a null or empty key cannot match. There may be very many of them, so they are dealt over
-    lanes by content hash instead of meeting in one shuffle partition; the other side is all in lane 0.
+    Rows with a null or empty key cannot match. There may be very many of them, so each gets
+    a lane of its own by content hash instead of meeting in one shuffle partition; the other side is all in lane 0.
     That 0 is computed from the key: the optimizer would propagate a plain constant into the condition and
     shuffle by the key alone.
     """
     empty = F.lit(False)
     for key in keys:
         empty = empty | F.col(key).isNull() | (F.col(key).cast("string") == "")
-    lane = F.when(empty, F.lit(1) + F.pmod(row_hash(left), F.lit(LANES))).otherwise(F.lit(0).cast("bigint"))
+    lane = F.when(empty, F.lit(1) + F.pmod(row_hash(left), F.lit(1 << 62))).otherwise(F.lit(0).cast("bigint"))
     zero = F.pmod(F.xxhash64(*keys), F.lit(1).cast("bigint"))
     return left.withColumn("_lane", lane).join(right.withColumn("_lane", zero), [*keys, "_lane"], "left").drop("_lane")

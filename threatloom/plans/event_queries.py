@@ -40,7 +40,7 @@ def eve_lines(t: Tables) -> DataFrame:
         is_error,
         F.concat(
             F.lit('"alert":{"category":"c'), k, F.lit('","severity":'), k, F.lit(',"signature":"ET CVE-2021-'),
-            F.lpad(F.col("user_id").cast("string"), 6, "0"), F.lit('"},'),
+            S.padded("user_id", 6), F.lit('"},'),
         ),
     ).otherwise(F.when(is_click, F.lit('"alert":"none",')).otherwise(F.lit("")))
     user = F.col("user_id")
@@ -62,7 +62,7 @@ eve AS (
   SELECT event_id, 'suricata' AS source, kind AS event_type, stamp AS timestamp_utc, src_ip,
     CAST(CASE WHEN kind = 'http' THEN 0 ELSE CAST(k AS BIGINT) END AS BIGINT) AS src_port,
     '' AS dest_ip, CAST(0 AS BIGINT) AS dest_port, '' AS proto, '' AS app_proto,
-    CASE WHEN kind = 'alert' THEN 'ET CVE-2021-' || lpad(CAST(user_id AS VARCHAR), 6, '0') ELSE '' END AS signature,
+    CASE WHEN kind = 'alert' THEN 'ET CVE-2021-' || lpad(CAST(user_id AS VARCHAR), CAST(greatest(6, length(CAST(user_id AS VARCHAR))) AS INTEGER), '0') ELSE '' END AS signature,
     CAST(CASE WHEN kind = 'alert' THEN CAST(k AS BIGINT) ELSE 0 END AS BIGINT) AS severity,
     CASE WHEN kind = 'alert' THEN 'c' || k ELSE '' END AS category,
     CAST(event_id AS VARCHAR) AS flow_id, CAST(0 AS BIGINT) AS pcap_cnt,
@@ -71,7 +71,7 @@ eve AS (
     'raw/' || n_name AS relative_pcap_landing_path, 'run-' || n_nationkey AS replay_run_id, '2026-03-12' AS ingest_date,
     '{{' || CASE kind
         WHEN 'alert' THEN '"alert":{{"category":"c' || k || '","severity":' || k || ',"signature":"ET CVE-2021-'
-          || lpad(CAST(user_id AS VARCHAR), 6, '0') || '"}},'
+          || lpad(CAST(user_id AS VARCHAR), CAST(greatest(6, length(CAST(user_id AS VARCHAR))) AS INTEGER), '0') || '"}},'
         WHEN 'http' THEN '"alert":"none",' ELSE '' END
       || '"event_type":"' || kind || '","flow_id":' || event_id || ',"src_ip":"' || src_ip || '","src_port":'
       || CASE kind WHEN 'alert' THEN '" ' || k || ' "' WHEN 'http' THEN '"' || k || '.5"' ELSE k END
@@ -336,7 +336,7 @@ def q_network_events(t: Tables) -> DataFrame:
 
 
 @query("""
-WITH iocs AS (SELECT CAST(s_suppkey AS VARCHAR) AS value, s_name FROM supplier WHERE s_acctbal < 1000),
+WITH iocs AS (SELECT CAST(s_suppkey AS VARCHAR) AS value, s_name FROM supplier),
 offered AS (
   SELECT l_orderkey, l_linenumber, l_extendedprice, 'src' AS matched_side, CAST(l_suppkey AS VARCHAR) AS v FROM lineitem
   UNION ALL SELECT l_orderkey, l_linenumber, l_extendedprice, 'dst', CAST(l_partkey AS VARCHAR) FROM lineitem)
@@ -345,7 +345,7 @@ SELECT l_orderkey, l_linenumber, l_extendedprice, matched_side, value AS matched
 """)
 def q_ioc_ip(t: Tables) -> DataFrame:
     """Line items whose supplier or part number is an indicator, by either side."""
-    listed = t.supplier.where(F.col("s_acctbal") < 1000).select(
+    listed = t.supplier.select(
         F.lit("ip").alias("ioc_type"), F.col("s_suppkey").cast("string").alias("value"), F.col("s_name").alias("malware")
     )
     twice = listed.withColumn("source", F.lit("threatfox")).unionByName(listed.withColumn("source", F.lit("urlhaus")))
@@ -508,14 +508,14 @@ def _flows(t: Tables) -> DataFrame:
 
 
 RISK = EVE + """, vulns AS (
-  SELECT 'CVE-2021-' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS cve_id, c_acctbal AS vuln_priority_score, c_mktsegment AS cvss_v3_severity
-  FROM customer WHERE c_acctbal > 2000)
+  SELECT 'CVE-2021-' || lpad(CAST(c_custkey AS VARCHAR), CAST(greatest(6, length(CAST(c_custkey AS VARCHAR))) AS INTEGER), '0') AS cve_id, c_acctbal AS vuln_priority_score, c_mktsegment AS cvss_v3_severity
+  FROM customer)
 """
 
 
 def customer_vulns(t: Tables) -> DataFrame:
-    cve = F.concat(F.lit("CVE-2021-"), F.lpad(F.col("c_custkey").cast("string"), 6, "0"))
-    return t.customer.where(F.col("c_acctbal") > 2000).select(
+    cve = F.concat(F.lit("CVE-2021-"), S.padded("c_custkey", 6))
+    return t.customer.select(
         cve.alias("cve_id"), F.col("c_acctbal").alias("vuln_priority_score"), F.col("c_mktsegment").alias("cvss_v3_severity")
     )
 

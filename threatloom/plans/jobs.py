@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 from threatloom.functions import scalars as S
 from threatloom.functions.addresses import seed_ip
 from threatloom.operators import anomaly, catalog, enrichment, events, exploitation, lineage, trusted, writes
-from threatloom.operators.shaping import flatten, keep_one, stamp
+from threatloom.operators.shaping import flatten, keep_one, row_hash, stamp
 from threatloom.operators.upsert import merge_manifest, split_existing
 from threatloom.schemas import ARTIFACT_KEYS
 from threatloom.sources import feeds, files, lines
-from threatloom.streaming.alerts import current_state
+from threatloom.streaming.alerts import total_counts
 
 # Natural keys of the feed tables and where their landings lie.
 FEED_KEYS = {
@@ -81,7 +81,10 @@ def feed_records(lake: Lake, feed: str) -> DataFrame:
     if feed in ("circl_vulnlookup", "shodan_seeded"):
         answers = feeds.read_enrichment(spark, path, "cve_id" if feed == "circl_vulnlookup" else "ip")
         flat = flatten(answers.withColumnRenamed("ip", "ip_str"))
-        return flat.withColumn("ingest_date", F.lit(lake.ingest_date))
+        flat = flat.withColumn("ingest_date", F.lit(lake.ingest_date))
+        # Of several answers for one key the last in the order of their content stays, the same on every run.
+        named = F.col(key[0]).isNotNull()
+        return keep_one(flat.where(named), key, F.desc(row_hash(flat))).unionByName(flat.where(~named))
     if feed == "kev":
         rows = feeds.read_kev(spark, path)
     elif feed == "nvd":
@@ -290,11 +293,11 @@ def _replace_date(lake: Lake, df: DataFrame, path: str) -> None:
 def clean_warm(lake: Lake, state_path: str, run_id: str) -> None:
     """Clean the streamed window counts into the trusted zone."""
     job = lineage.Job(lake.spark, run_id, "trusted_zone", "warm_aggregates", "clean_warm")
-    state = job.count("read", current_state(lake.spark, state_path, ["window_start", "signature"]))
     key = ["window_start", "signature"]
+    state = job.count("read", total_counts(lake.spark, state_path, key))
     clean, _ = trusted.clean_warm_aggregates(state, key, ["alerts"], key)
     _, bad = trusted.clean_warm_aggregates(
-        current_state(lake.spark, state_path, key), key, ["alerts"], key
+        total_counts(lake.spark, state_path, key), key, ["alerts"], key
     )
     target = lake.path("trusted", "warm_aggregates")
     writes.write_snapshot(job.count("written", clean), target)

@@ -331,7 +331,7 @@ RULES = [("hot_gear", r"hot gear\.pcap$"), ("red", "^red "), ("any_widget", r".*
 WITH files AS (
   SELECT CAST(replace(p_brand, 'Brand#', '') AS BIGINT) AS scenario_number, p_name || '.pcap' AS artifact_name,
     CASE WHEN p_name = 'hot gear' THEN 0 WHEN p_name LIKE 'red %' THEN 1 WHEN p_name LIKE '%widget' THEN 2 END AS rule
-  FROM part WHERE p_type <> 'SMALL'),
+  FROM part),
 best AS (
   SELECT scenario_number, min((rule, artifact_name)) AS b FROM files WHERE rule IS NOT NULL GROUP BY scenario_number),
 chosen AS (
@@ -341,7 +341,7 @@ UNION ALL (SELECT 'first_successful', * FROM chosen ORDER BY scenario_number LIM
 """)
 def q_rule_selection(t: Tables) -> DataFrame:
     """Per brand the file chosen by the first rule that matches, in both profile modes."""
-    files = t.part.where(F.col("p_type") != "SMALL").select(
+    files = t.part.select(
         F.replace("p_brand", F.lit("Brand#")).cast("bigint").alias("scenario_number"),
         F.concat("p_name", F.lit(".pcap")).alias("artifact_name"),
     )

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from threatloom.functions import scalars as S
 from threatloom.plans.event_queries import customer_vulns
 from threatloom.plans.registry import Tables, query
 from threatloom.session import work_dir
@@ -15,26 +18,42 @@ def event_stream(t: Tables) -> DataFrame:
     return streams.read_files(t.spark, f"{t.folder}/events*.parquet", t.events.schema, "parquet")
 
 
+def _backwards(t: Tables, repeats: int = 1) -> DataFrame:
+    """The events landed in three files, the latest events first; each file is a micro-batch of its own.
+
+    ``ts`` is text, and unreadable in some rows; ``true_ts`` always has the time.
+    """
+    folder = work_dir(t.spark, "landed")
+    text = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    part = F.when(F.dayofmonth("ts") > 20, 0).when(F.dayofmonth("ts") > 10, 1).otherwise(2)
+    rows = t.events.select(
+        "event_id", "user_id", "event_type", F.when(F.col("event_id") % 100 != 7, text).otherwise("none").alias("ts"), text.alias("true_ts"), part.alias("part")
+    )
+    for i in [*range(3)] * repeats:
+        rows.where(F.col("part") == i).drop("part").coalesce(1).write.mode("append").parquet(folder)
+    return streams.read_files(t.spark, folder, rows.drop("part").schema, "parquet", files_per_trigger=1)
+
+
 def _run(start, stream: DataFrame, folder: str) -> str:
     sink = f"{folder}/sink"
-    start(stream, sink, f"{folder}/checkpoint", available_now=True).awaitTermination()
+    start(stream, path=sink, checkpoint=f"{folder}/checkpoint", available_now=True).awaitTermination()
     return sink
 
 
-SIGNATURE = "'ET CVE_2021_' || lpad(CAST(user_id AS VARCHAR), 6, '0')"
+SIGNATURE = "'ET CVE_2021_' || lpad(CAST(user_id AS VARCHAR), CAST(greatest(6, length(CAST(user_id AS VARCHAR))) AS INTEGER), '0')"
 
 
 @query(f"""
 WITH vulns AS (
-  SELECT 'CVE-2021-' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS cve_id, c_acctbal, c_mktsegment FROM customer WHERE c_acctbal > 2000),
+  SELECT 'CVE-2021-' || lpad(CAST(c_custkey AS VARCHAR), CAST(greatest(6, length(CAST(c_custkey AS VARCHAR))) AS INTEGER), '0') AS cve_id, c_acctbal, c_mktsegment FROM customer),
 alerts AS (SELECT event_id, CASE WHEN event_type = 'error' THEN {SIGNATURE} ELSE event_type END AS signature,
-  CASE WHEN event_type = 'error' THEN 'CVE-2021-' || lpad(CAST(user_id AS VARCHAR), 6, '0') END AS cve FROM events)
+  CASE WHEN event_type = 'error' THEN 'CVE-2021-' || lpad(CAST(user_id AS VARCHAR), CAST(greatest(6, length(CAST(user_id AS VARCHAR))) AS INTEGER), '0') END AS cve FROM events)
 SELECT event_id, signature, cve AS cve_id, c_acctbal AS vuln_priority_score, c_mktsegment AS cvss_v3_severity
 FROM alerts LEFT JOIN vulns ON cve_id = cve
 """)
 def q_stream_enrich(t: Tables) -> DataFrame:
     """Alerts enriched by the CVE in their signature as they arrive."""
-    named = F.concat(F.lit("ET CVE_2021_"), F.lpad(F.col("user_id").cast("string"), 6, "0"))
+    named = F.concat(F.lit("ET CVE_2021_"), S.padded("user_id", 6))
     alerts = event_stream(t).select(
         "event_id", F.when(F.col("event_type") == "error", named).otherwise(F.col("event_type")).alias("signature")
     )
@@ -43,15 +62,14 @@ def q_stream_enrich(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H') AS window_start, event_type AS signature, count(*) AS alerts
-FROM events GROUP BY ALL
+SELECT CASE WHEN event_id % 100 = 7 THEN '1970-01-01 00' ELSE strftime(date_trunc('hour', ts), '%Y-%m-%d %H') END AS window_start,
+  event_type AS signature, count(*) AS alerts FROM events GROUP BY ALL
 """)
 def q_stream_window(t: Tables) -> DataFrame:
-    """Alerts per hour and signature, counted continuously; the sink keeps the latest count of each window."""
-    alerts = streams.with_event_time(event_stream(t).withColumnRenamed("event_type", "signature"), "ts")
-    counted = streams.window_counts(alerts, "1 hour", ["signature"])
-    sink = _run(streams.update_to, counted, work_dir(t.spark, "windows"))
-    rows = streams.current_state(t.spark, sink, ["window_start", "signature"])
+    """Alerts per hour and signature, counted continuously, the latest first and some without a readable time."""
+    alerts = streams.with_event_time(_backwards(t).withColumnRenamed("event_type", "signature"), "ts")
+    sink = _run(partial(streams.counts_to, width="1 hour", dimensions=["signature"]), alerts, work_dir(t.spark, "windows"))
+    rows = streams.total_counts(t.spark, sink, ["window_start", "signature"])
     return rows.select(F.date_format("window_start", "yyyy-MM-dd HH").alias("window_start"), "signature", "alerts")
 
 
@@ -59,12 +77,11 @@ def q_stream_window(t: Tables) -> DataFrame:
 SELECT DISTINCT user_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS timestamp_utc FROM events
 """)
 def q_stream_dedup(t: Tables) -> DataFrame:
-    """Every event delivered twice, kept once."""
-    twice = event_stream(t).unionByName(event_stream(t))
-    stamped = streams.with_event_time(twice, "ts").withColumn("timestamp_utc", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
-    once = streams.drop_repeats(stamped, ["user_id", "timestamp_utc", "event_type"])
-    sink = _run(streams.append_to, once.select("user_id", "event_type", "timestamp_utc"), work_dir(t.spark, "dedup"))
-    return t.spark.read.parquet(sink)
+    """Every event delivered in two micro-batches, late ones last, kept once."""
+    keys = ["user_id", "event_type", "timestamp_utc"]
+    stamped = _backwards(t, repeats=2).select("user_id", "event_type", F.col("true_ts").alias("timestamp_utc"))
+    sink = _run(partial(streams.first_to, keys=keys, scope="user_id"), stamped, work_dir(t.spark, "dedup"))
+    return streams.stored_once(t.spark, sink)
 
 
 @query("""

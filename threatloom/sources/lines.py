@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threatloom.functions import scalars as S
+from threatloom.operators.shaping import told
 from threatloom.schemas import ALERT
 
 # Where line files are landed.
@@ -109,4 +110,4 @@ def read_alert_logs(spark: SparkSession, root: str) -> DataFrame:
         reader = spark.read.schema(schema).option("basePath", base)
         part = if_landed(spark, partial(reader.json, f"{root}/{pattern}"), schema)
         parts = part if parts is None else parts.unionByName(part)
-    return parts.select(*ALERT.names, "hour")
+    return told(parts.select(*ALERT.names, "hour"), ("ingest_date", "hour"))

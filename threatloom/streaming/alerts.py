@@ -7,16 +7,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from threatloom.functions import scalars as S
 from threatloom.operators.exploitation import enrich_alerts
-from threatloom.operators.shaping import keep_one
+from threatloom.operators.shaping import told
 from threatloom.operators.writes import complete_folders, envelope
 from threatloom.schemas import ALERT
 
-# Fixed value: the interval of the warm path. The watermark and the folder names are our choice.
+# Fixed value: the interval of the warm path. The folder names and the bounds of a trigger are our choice.
 MICRO_BATCH = "10 seconds"
-WATERMARK = "10 minutes"
 BATCH = "batch="
-STATE = "upto="
+OFFSETS_PER_TRIGGER, FILES_PER_TRIGGER = 5_000_000, 1_000
 
 
 def read_topic(spark: SparkSession, servers: str, topic: str, schema: T.StructType = ALERT) -> DataFrame:
@@ -26,19 +26,29 @@ def read_topic(spark: SparkSession, servers: str, topic: str, schema: T.StructTy
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
+        .option("maxOffsetsPerTrigger", OFFSETS_PER_TRIGGER)
         .load()
     )
-    return messages.select(F.from_json(F.col("value").cast("string"), schema).alias("r")).select("r.*")
+    return told(messages.select(F.from_json(F.col("value").cast("string"), schema).alias("r")).select("r.*"))
 
 
-def read_files(spark: SparkSession, path: str, schema: T.StructType, file_format: str = "json") -> DataFrame:
-    """The same records from landed files, as they arrive."""
-    return spark.readStream.schema(schema).format(file_format).load(path)
+def read_files(
+    spark: SparkSession, path: str, schema: T.StructType, file_format: str = "json", files_per_trigger: int = FILES_PER_TRIGGER
+) -> DataFrame:
+    """The same records from landed files, as they arrive; broken lines are skipped."""
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+    return told(reader.format(file_format).load(path))
 
 
-def with_event_time(stream: DataFrame, column: str, watermark: str = WATERMARK) -> DataFrame:
-    """Add ``ts`` from a text or zone-less time column and bound its lateness."""
-    return stream.withColumn("ts", F.col(column).try_cast("timestamp")).withWatermark("ts", watermark)
+def with_event_time(stream: DataFrame, column: str) -> DataFrame:
+    """Add ``ts`` from a text or zone-less time column.
+
+    Captures are replayed in any order, so no lateness is assumed: nothing here or below drops a late row. A row
+    without a readable time gets the sentinel time and the flag ``ts_malformed``.
+    """
+    ts = F.col(column).try_cast("timestamp")
+    sentinel = F.lit(S.SENTINEL_TIMESTAMP).cast("timestamp")
+    return stream.withColumns({"ts_malformed": ts.isNull(), "ts": F.coalesce(ts, sentinel)})
 
 
 def _start(writer, checkpoint: str, available_now: bool) -> StreamingQuery:
@@ -52,46 +62,69 @@ def append_to(stream: DataFrame, path: str, checkpoint: str, available_now: bool
     return _start(writer, checkpoint, available_now).start(path)
 
 
-def update_to(stream: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
-    """Write the changed rows of each micro-batch to ``batch=<id>``.
+def counts_to(
+    stream: DataFrame, width: str, dimensions: list[str], path: str, checkpoint: str, available_now: bool = False
+) -> StreamingQuery:
+    """Write each micro-batch's partial counts per window and dimension to ``batch=<id>``; they are summed on read.
 
-    A replayed batch overwrites its own folder, so a restart never doubles anything.
+    No state is held between micro-batches, so a window may receive rows at any time. A replayed micro-batch
+    overwrites its own folder, so a restart never doubles anything.
     """
 
     def write(rows: DataFrame, batch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{path}/{BATCH}{batch}")
+        window_counts(rows, width, dimensions).write.mode("overwrite").parquet(f"{path}/{BATCH}{batch}")
 
-    writer = stream.writeStream.outputMode("update").foreachBatch(write)
-    return _start(writer, checkpoint, available_now).start()
+    return _start(stream.writeStream.foreachBatch(write), checkpoint, available_now).start()
 
 
-def _newest_batch(spark: SparkSession, path: str) -> int:
-    """Number of the newest micro-batch that is written completely; batches are written one after another."""
-    return max((int(name.removeprefix(BATCH)) for name in complete_folders(spark, path, BATCH)), default=-1)
+def _written(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
+    """Rows of the completely written micro-batches; they are written one after another."""
+    newest = max((int(name.removeprefix(BATCH)) for name in complete_folders(spark, path, BATCH)), default=-1)
+    if before is not None:
+        newest = min(newest, before - 1)
+    if newest < 0:
+        return None
+    rows = spark.read.option("basePath", path).parquet(f"{path}/{BATCH}*")
+    return rows.where(F.col("batch") <= newest).drop("batch")
 
 
-def _versions(spark: SparkSession, path: str) -> DataFrame:
-    """All row versions with their ``batch``: the newest compacted state and the complete batches after it."""
-    batches = spark.read.option("basePath", path).parquet(f"{path}/{BATCH}*")
-    batches = batches.where(F.col("batch") <= _newest_batch(spark, path))
-    states = complete_folders(spark, f"{path}/state", STATE)
-    if not states:
-        return batches
-    upto = int(states[-1].removeprefix(STATE))
-    state = spark.read.parquet(f"{path}/state/{states[-1]}").withColumn("batch", F.lit(upto))
-    return state.unionByName(batches.where(F.col("batch") > upto))
+def total_counts(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """Counts per window and dimension over all micro-batches written by ``counts_to``."""
+    rows = _written(spark, path)
+    if rows is None:
+        raise ValueError(f"no counts under {path}")
+    return rows.groupBy(*keys).agg(F.sum("alerts").alias("alerts"))
 
 
-def current_state(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Latest version of each key written by ``update_to``."""
-    return keep_one(_versions(spark, path), keys, F.desc("batch")).drop("batch")
+def first_to(
+    stream: DataFrame, keys: list[str], path: str, checkpoint: str, scope: str | None = None, available_now: bool = False
+) -> StreamingQuery:
+    """Write each event once, whenever its repeats arrive: the rows of a micro-batch whose keys are not stored yet.
 
+    Earlier micro-batches are the state, so none is held in memory and none expires. ``scope`` names one of the keys,
+    such as the replay run, by which stored rows of other runs are left out of the comparison. A replayed micro-batch
+    is compared with those before it and overwrites its own folder. Null keys equal each other.
+    """
+
+    def write(rows: DataFrame, batch: int) -> None:
+        fresh = rows.dropDuplicates(keys)
+        stored = _written(rows.sparkSession, path, batch)
+        if stored is not None:
+            if scope:
+                stored = stored.join(fresh.select(scope).distinct(), scope, "left_semi")
+            same = [fresh[k].eqNullSafe(stored[k]) for k in keys]
+            fresh = fresh.join(stored.select(*keys), same, "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{path}/{BATCH}{batch}")
 
-def compact_state(spark: SparkSession, path: str, keys: list[str]) -> None:
-    """Write the current state once, so that readers need only later batches; older folders may then expire."""
-    upto = _newest_batch(spark, path)
-    rows = keep_one(_versions(spark, path).where(F.col("batch") <= upto), keys, F.desc("batch")).drop("batch")
-    rows.write.mode("overwrite").parquet(f"{path}/state/{STATE}{upto:012d}")
+    return _start(stream.writeStream.foreachBatch(write), checkpoint, available_now).start()
+
+
+def stored_once(spark: SparkSession, path: str) -> DataFrame:
+    """Events written by ``first_to``."""
+    rows = _written(spark, path)
+    if rows is None:
+        raise ValueError(f"no events under {path}")
+    return rows
 
 
 def warm_enrichment(alerts: DataFrame, vulns: DataFrame) -> DataFrame:
@@ -99,18 +132,13 @@ def warm_enrichment(alerts: DataFrame, vulns: DataFrame) -> DataFrame:
     return enrich_alerts(alerts, vulns)
 
 
-def window_counts(stream: DataFrame, width: str, dimensions: list[str]) -> DataFrame:
+def window_counts(rows: DataFrame, width: str, dimensions: list[str]) -> DataFrame:
     """Rows per tumbling window and dimension; with no dimension, alerts per window."""
     window = F.window("ts", width).alias("w")
-    counted = stream.groupBy(window, *dimensions).agg(F.count("*").alias("alerts"))
+    counted = rows.groupBy(window, *dimensions).agg(F.count("*").alias("alerts"))
     return counted.select(F.col("w.start").alias("window_start"), *dimensions, "alerts")
 
 
-def drop_repeats(stream: DataFrame, keys: list[str]) -> DataFrame:
-    """First occurrence of each event inside the watermark."""
-    return stream.dropDuplicatesWithinWatermark(keys)
-
-
 def pass_through(stream: DataFrame, topic: str) -> DataFrame:
     """Events as unchanged messages."""
     return envelope(stream, topic)
