@@ -1,4 +1,4 @@
-"""The operators over the supplied tables, and the SQL checks of those that SQL can express."""
+"""The operators over the supplied tables."""
 
 from __future__ import annotations
 
@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threatloom.llm import bpe, chat, decontaminate, embedding_dedup, language, line_dedup, minhash, secrets, token_counts, url_filter
+from threatloom.llm.checks import SQL  # noqa: F401
 from threatloom.llm.common import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -105,29 +105,3 @@ def op10_secrets(spark, folder):
     return found.select(
         "doc_id", count("assign"), count("access"), count("hex"), F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans")
     )
-
-
-def _words(table_name: str, key: str) -> str:
-    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    return rf"SELECT {key}, regexp_extract_all({lower}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM {table_name}"
-
-
-SQL["op7_decontaminate"] = f"""
-WITH d AS ({_words("documents", "doc_id")}),
-i AS ({_words("benchmark", "CAST(item_id AS VARCHAR) AS item_id")}),
-win AS (SELECT item_id, least(13, len(w)) AS n, k AS pos, array_to_string(w[k:k + least(13, len(w)) - 1], ' ') AS s
-  FROM i, unnest(range(1, len(w) - least(13, len(w)) + 2)) t(k) WHERE len(w) > 0),
-widths AS (SELECT DISTINCT n FROM win),
-docwin AS (SELECT doc_id, k, n, array_to_string(w[k:k + n - 1], ' ') AS s FROM d, widths, unnest(range(1, len(w) - n + 2)) t(k)),
-hits AS (SELECT DISTINCT doc_id, k, n, item_id, pos FROM docwin JOIN win USING (n, s)),
-places AS (SELECT doc_id, count(DISTINCT k + j) AS n_hit FROM hits, unnest(range(0, n)) u(j) GROUP BY doc_id),
-items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS s
-  FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id),
-runs AS (SELECT doc_id, n, k - row_number() OVER (PARTITION BY doc_id, item_id, k - pos ORDER BY k) AS run, item_id, k - pos AS gap FROM hits),
-longest AS (SELECT doc_id, max(words) AS longest_match
-  FROM (SELECT doc_id, count(*) + max(n) - 1 AS words FROM runs GROUP BY doc_id, item_id, gap, run) GROUP BY doc_id)
-SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-  sha256(coalesce(s, '')) AS items_sha256, CAST(coalesce(longest_match, 0) AS BIGINT) AS longest_match,
-  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN longest USING (doc_id)
-""".strip()
