@@ -13,17 +13,25 @@ from pyspark.sql import types as T
 from threatloom.operators.shaping import top_per_group
 
 FEATURES = ["category_code", "severity", "src_port", "dst_port", "event_count"]
-CATEGORY_BUCKETS = 1024
 TREES = 100
 SAMPLE = 256
 THRESHOLD = 0.5
+# Codes and draws are whole numbers of so many bits of an MD5 digest: exact as doubles, and any engine can repeat them.
+BITS = 48
+# A tree's candidates are cut to about this many times its sample before they are ranked.
+MARGIN = 4
 MODEL = "tree_id int, node_id int, feature int, threshold double, left int, right int, path double, sample int"
 
 
+def _digits(text: Column, part: int = 0) -> Column:
+    """A whole number of ``BITS`` bits: the given part of the text's MD5 digest."""
+    width = BITS // 4
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1 + part * width, width), 16, 10).cast("bigint")
+
+
 def feature_matrix(flows: DataFrame) -> DataFrame:
-    """Flow features as doubles; the category is hashed to a code, so no vocabulary is collected."""
-    code = F.pmod(F.xxhash64(F.coalesce("category", F.lit(""))), F.lit(CATEGORY_BUCKETS))
-    coded = flows.withColumn("category_code", code)
+    """Flow features as doubles. A category is coded by its digest: no vocabulary is collected and none are merged."""
+    coded = flows.withColumn("category_code", _digits(F.coalesce("category", F.lit(""))))
     return coded.withColumns({f: F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in FEATURES})
 
 
@@ -59,35 +67,35 @@ def grow_tree(points: np.ndarray, tree_id: int, seed: int) -> pd.DataFrame:
     return table.assign(sample=len(points))
 
 
-def _likely(rows: DataFrame, draw: Column, wanted: int, total: int) -> DataFrame:
-    """Rows that can be among the ``wanted`` smallest hashes of ``total``, by a wide margin."""
-    return rows.where(draw < -(2**63) + int(2**64 * 4 * wanted / total)) if total > 8 * wanted else rows
-
+def draws(matrix: DataFrame, trees: int = TREES, sample: int = SAMPLE, seed: int = 7) -> DataFrame:
+    """``(tree_id, k, rank)`` and features of the ``sample`` flows that each tree draws from all flows.
 
-def train(matrix: DataFrame, key: str = "flow_id", trees: int = TREES, sample: int = SAMPLE, seed: int = 7) -> DataFrame:
-    """Model nodes. Each tree gets ``sample`` rows drawn by seeded hash, the same on every run.
+    Every flow has a turn in every tree, ``(a + tree * b) mod 2^48``, with ``a`` and ``b`` from the digest of its
+    keys ``k`` and the seed; a tree takes the smallest turns, the same on every run. Turns are uniform, so only those
+    under ``MARGIN`` times the expected limit are kept before they are ranked (at 256 of 1,024 expected ones, 24
+    standard deviations off): turns are filtered where they are made, and what is ranked is bounded by trees and sample,
+    however many flows there are. ``matrix`` is read twice, so pass a stored table.
+    """
+    total = matrix.count()
+    limit = min(1 << BITS, -(-(1 << BITS) * MARGIN * sample // max(total, 1)))
+    keys = [F.col(c).cast("string") for c in ("replay_run_id", "flow_id") if c in matrix.columns]
+    rows = matrix.select(F.concat_ws("/", *keys).alias("k"), *FEATURES)
+    seeded = F.concat(F.col("k"), F.lit(f"#{seed}"))
+    rows = rows.withColumns({"a": _digits(seeded), "b": _digits(seeded, 1)})
+    dealt = rows.withColumn("tree_id", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    dealt = dealt.withColumn("turn", F.pmod(F.col("a") + F.col("tree_id") * F.col("b"), F.lit(1 << BITS)))
+    dealt = dealt.where(F.col("turn") < limit).drop("a", "b")
+    return top_per_group(dealt, ["tree_id"], sample, F.col("turn"), F.col("k"), *map(F.col, FEATURES)).drop("turn")
 
-    The draw first keeps the ``trees × sample`` rows of smallest hash (a bounded number, however many flows
-    there are), deals them to all trees and keeps each tree's ``sample`` smallest; with fewer flows than
-    that every tree draws from all of them. A group is one tree's sample, never more than ``sample`` rows.
 
-    Both draws sort only rows under a hash limit, about four times the wanted number, where there are many
-    more: else each task would send its own ``trees × sample`` best to the one that merges them. ``matrix``
-    is read twice here, so pass a stored table.
-    """
-    wanted, total = trees * sample, matrix.count()
-    draw = F.xxhash64("k", F.lit(seed))
-    rows = matrix.select(F.col(key).cast("string").alias("k"), *FEATURES)
-    pool = _likely(rows, draw, wanted, total).orderBy(draw, "k").limit(wanted).repartition(max(trees // 8, 1), "k")
-    dealt = pool.withColumn("tree_id", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    turn = F.xxhash64("k", "tree_id", F.lit(seed))
-    drawn = top_per_group(_likely(dealt, turn, sample, min(wanted, total)), ["tree_id"], sample, turn, F.col("k"))
+def train(matrix: DataFrame, trees: int = TREES, sample: int = SAMPLE, seed: int = 7) -> DataFrame:
+    """Model nodes, one tree per group; a group is one tree's draw, never more than ``sample`` rows."""
 
     def grow(rows: pd.DataFrame) -> pd.DataFrame:
         points = rows.sort_values("rank")[FEATURES].to_numpy(dtype=float)
         return grow_tree(points, int(rows["tree_id"].iloc[0]), seed)
 
-    return drawn.groupBy("tree_id").applyInPandas(grow, MODEL)
+    return draws(matrix, trees, sample, seed).groupBy("tree_id").applyInPandas(grow, MODEL)
 
 
 def save_model(model: DataFrame, root: str, training_date: str) -> str:

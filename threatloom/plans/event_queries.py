@@ -533,9 +533,16 @@ def q_risk_summary(t: Tables) -> DataFrame:
     return exploitation.risk_summary(enriched)
 
 
-@query()
-def q_anomaly(t: Tables) -> DataFrame:
-    """Isolation Forest over the flows of all line items: training draws by hash, scoring covers every flow."""
+ORDER_FLOWS = """
+WITH led AS (SELECT CAST(l_orderkey AS VARCHAR) AS flow_id, l_linenumber AS severity, l_returnflag || l_linestatus AS category,
+  l_suppkey AS src_port, count(*) OVER (PARTITION BY l_orderkey) AS event_count,
+  row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_returnflag || l_linestatus, l_suppkey, l_partkey) AS rn FROM lineitem),
+flows AS (SELECT * FROM led WHERE rn = 1)
+"""
+
+
+def order_features(t: Tables) -> DataFrame:
+    """Features of the flows of all line items, stored."""
     lines = t.lineitem.select(
         F.col("l_orderkey").cast("string").alias("flow_id"),
         F.col("l_linenumber").cast("bigint").alias("severity"),
@@ -545,10 +552,61 @@ def q_anomaly(t: Tables) -> DataFrame:
     )
     stored = work_dir(t.spark, "features")
     anomaly.feature_matrix(exploitation.flow_features(lines)).write.parquet(stored)
-    matrix = t.spark.read.parquet(stored)
+    return t.spark.read.parquet(stored)
+
+
+@query(
+    ORDER_FLOWS
+    + """, d AS (SELECT flow_id, md5(flow_id || '#7') AS m FROM flows),
+n AS (SELECT flow_id, CAST('0x' || substr(m, 1, 12) AS BIGINT) AS a, CAST('0x' || substr(m, 13, 12) AS BIGINT) AS b FROM d)
+SELECT tree_id, flow_id, row_number() OVER (PARTITION BY tree_id ORDER BY (a + tree_id * b) % 281474976710656, flow_id) AS rank
+FROM n, range(100) t(tree_id) QUALIFY rank <= 256
+"""
+)
+def q_anomaly_draw(t: Tables) -> DataFrame:
+    """The flows that each tree of the forest is grown from."""
+    return anomaly.draws(order_features(t)).select(
+        F.col("tree_id").cast("bigint").alias("tree_id"), F.col("k").alias("flow_id"), F.col("rank").cast("bigint").alias("rank")
+    )
+
+
+# Two small trees: by event count, then source port; by category code, then severity.
+SMALL_FOREST = [
+    (0, 0, 4, 3.0, 1, 2, 0.0, 256),
+    (0, 1, -1, 0.0, 1, 1, 1.5, 256),
+    (0, 2, 2, 50.0, 3, 4, 0.0, 256),
+    (0, 3, -1, 0.0, 3, 3, 4.0, 256),
+    (0, 4, -1, 0.0, 4, 4, 6.25, 256),
+    (1, 0, 0, 140737488355328.0, 1, 2, 0.0, 256),
+    (1, 1, -1, 0.0, 1, 1, 3.0, 256),
+    (1, 2, 1, 1.0, 3, 4, 0.0, 256),
+    (1, 3, -1, 0.0, 3, 3, 7.5, 256),
+    (1, 4, -1, 0.0, 4, 4, 2.0, 256),
+]
+
+
+@query(
+    ORDER_FLOWS
+    + """, paths AS (SELECT flow_id,
+  CASE WHEN event_count <= 3 THEN 1.5 WHEN src_port <= 50 THEN 4.0 ELSE 6.25 END AS one,
+  CASE WHEN CAST('0x' || substr(md5(category), 1, 12) AS BIGINT) <= 140737488355328 THEN 3.0 WHEN severity <= 1 THEN 7.5 ELSE 2.0 END AS other
+  FROM flows),
+norm AS (SELECT 2 * (ln(255) + CAST(0.5772156649015329 AS DOUBLE)) - 2 * CAST(255 AS DOUBLE) / 256 AS c)
+SELECT flow_id, round(pow(2, -(one + other) / 2 / c), 6) AS anomaly_score FROM paths, norm
+"""
+)
+def q_anomaly_score(t: Tables) -> DataFrame:
+    """Every flow under two given trees."""
+    model = t.spark.createDataFrame(SMALL_FOREST, anomaly.MODEL)
+    return anomaly.score(order_features(t), model).select("flow_id", F.round("anomaly_score", 6).alias("anomaly_score"))
+
+
+@query()
+def q_anomaly(t: Tables) -> DataFrame:
+    """Isolation Forest over the flows of all line items: training draws by hash, scoring covers every flow."""
+    matrix = order_features(t)
     path = anomaly.save_model(anomaly.train(matrix), work_dir(t.spark, "model"), "2026-03-12")
     scored = anomaly.score(matrix, t.spark.read.parquet(path))
     return anomaly.anomalies(scored).select(
         "flow_id", "event_count", "severity", "src_port", "dst_port", F.round("anomaly_score", 6).alias("anomaly_score")
     )
-
