@@ -84,6 +84,22 @@ def test_commented_csv(spark, lake_dir):
     assert none.count() == 0
 
 
+def test_commented_csv_of_many_formats(spark, lake_dir):
+    for i in range(120):
+        lake_dir.put(f"m/{i}.csv", f'# id, extra{i},url,url\n"{i}","x, ""{i}""",u{i},second,beyond\n')
+    lake_dir.put("m/short.csv", "# id,url,note\n# id,note,url\n900,n\n")
+    df = feeds.read_commented_csv(spark, f"{lake_dir.root}/m")
+    assert df.columns[0] == "id" and len(df.columns) == 120 + 3 + 2
+    found = {r["id"]: r for r in df.collect()}
+    assert len(found) == 121
+    assert all(found[str(i)]["url"] == f"u{i}" and found[str(i)][f"extra{i}"] == f'x, "{i}"' for i in range(120))
+    assert found["900"]["note"] == "n" and found["900"]["url"] is None and found["900"]["extra3"] is None
+
+
+def test_uris_of_s3_connectors_are_known_to_arrow():
+    assert [files._uri(f"{s}://b/a b.pcap") for s in ("s3a", "s3n", "s3", "file")] == ["s3://b/a b.pcap"] * 3 + ["file://b/a b.pcap"]
+
+
 def test_threatfox(spark, lake_dir):
     data = [
         {"id": 1, "ioc_type": " ip:port ", "tags": ["b", "a"]},

@@ -18,7 +18,6 @@ from threatloom.sources.lines import objects_only, read_lines
 REFUSED_STATUS = ["unauthor", "forbidden", "auth"]
 PAGE_IN_PATH = r".*page=(\d+)"
 CSV_HEADER_START = "id,"
-MAX_FORMATS = 100
 
 
 def read_pages(spark: SparkSession, path: str | list[str], items: str, *values: str) -> DataFrame:
@@ -130,8 +129,9 @@ def threatfox_records(items: DataFrame) -> DataFrame:
 def read_commented_csv(spark: SparkSession, path) -> DataFrame:
     """CSV whose header is the last ``# id,…`` comment of each file; every column is text.
 
-    The distinct header lines are read first: one per feed format, not per row or file, which is checked.
-    Rows are then parsed once for each of them.
+    The columns are those named in any file's header, in header order; their names are all that is read ahead. Each
+    line is then cut once, and its values are placed by the header of its own file, however many formats there are.
+    A name that a header repeats has its first value; values beyond the header are left out.
     """
     lines = read_lines(spark, path)
     comment = F.regexp_replace("line", "^#+", "")
@@ -140,25 +140,20 @@ def read_commented_csv(spark: SparkSession, path) -> DataFrame:
         lines.where(F.col("line").startswith("#") & header.startswith(CSV_HEADER_START))
         .groupBy("file_path")
         .agg(F.max_by(header, "seq").alias("header"))
+        .select("file_path", F.transform(F.split("header", ","), S.strip).alias("names"))
     )
-    data = lines.where(~F.col("line").startswith("#")).join(headers, "file_path")
+    listed = headers.select("names").distinct().select(F.posexplode("names").alias("pos", "name"))
+    named = listed.groupBy("name").agg(F.min("pos").alias("pos"), F.max("pos").alias("last")).orderBy("pos", "name").collect()
+    names = [r["name"] for r in named]
+    if not names:
+        return lines.select(F.col("line").alias("id"), "file_path", "seq").where(F.lit(False))
     options = {"quote": '"', "escape": '"', "nullValue": "\u0000", "emptyValue": ""}
-    result = None
-    formats = headers.select("header").distinct().orderBy("header").limit(MAX_FORMATS + 1).collect()
-    if len(formats) > MAX_FORMATS:
-        raise ValueError(f"more than {MAX_FORMATS} different header lines")
-    for (text,) in formats:
-        names = [n.strip() for n in text.split(",")]
-        schema = ", ".join(f"`{n}` string" for n in names)
-        part = (
-            data.where(F.col("header") == text)
-            .select(F.from_csv("line", F.lit(schema), options).alias("r"), "file_path", "seq")
-            .select("r.*", "file_path", "seq")
-        )
-        result = part if result is None else result.unionByName(part, allowMissingColumns=True)
-    if result is None:
-        return data.select(F.col("line").alias("id"), "file_path", "seq").where(F.lit(False))
-    return result
+    cells = [f"c{i}" for i in range(1 + max(r["last"] for r in named))]
+    cut = F.from_csv("line", F.lit(", ".join(f"{c} string" for c in cells)), options)
+    data = lines.where(~F.col("line").startswith("#")).join(headers, "file_path").withColumn("r", cut)
+    values = F.array(*[F.col(f"r.{c}") for c in cells])
+    placed = [F.get(values, F.array_position("names", name) - 1).alias(name) for name in names]
+    return data.select(*placed, "file_path", "seq")
 
 
 def csv_row_count(spark: SparkSession, path) -> DataFrame:

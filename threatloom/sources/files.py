@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,11 @@ CHUNK_BYTES = 1024 * 1024
 MAX_RULES = 1000
 
 
+def _uri(path: str) -> str:
+    """A URI as Arrow knows it: the Hadoop names of S3 connectors are one scheme there."""
+    return re.sub(r"^s3[an]://", "s3://", path)
+
+
 def _hash_files(batches):
     """SHA-256 of each path, one chunk in memory at a time, from whatever filesystem the URI names."""
     from pyarrow import fs
@@ -22,7 +28,7 @@ def _hash_files(batches):
     for batch in batches:
         digests = []
         for path in batch["path"]:
-            filesystem, name = fs.FileSystem.from_uri(path)
+            filesystem, name = fs.FileSystem.from_uri(_uri(path))
             digest = hashlib.sha256()
             with filesystem.open_input_stream(name) as stream:
                 while chunk := stream.read(CHUNK_BYTES):
