@@ -262,6 +262,15 @@ def test_recurring_lines(session, docs):
     assert line_dedup.drop_recurring_lines(docs).where("lines_dropped > 0").count() == 0
 
 
+def test_a_line_that_is_most_of_its_documents_recurs(session):
+    passage = " ".join(f"boiler{chr(97 + j)}" for j in range(40))
+    rows = [(i, f"only title{chr(97 + i)} of this page\n{passage}") for i in range(12)]
+    copies = [(100 + i, "the same line in copies\nand a second line in copies") for i in range(12)]
+    found = {r.doc_id: r.text for r in line_dedup.drop_recurring_lines(session.createDataFrame(rows + copies, "doc_id long, text string")).collect()}
+    assert found[0] == rows[0][1] and all(found[i] == rows[i][1].split("\n")[0] for i in range(1, 12))
+    assert all(found[i] == text for i, text in copies)
+
+
 def test_url_rules_and_templates(session):
     urls = [None, "no scheme", "http://A.Example.NET/en/x", "http://net?q", "https://b.example.com/de/1#t", "ftp://fr.org/fr/", "http://x.org/fr"]
     pages = [(i, u, "h") for i, u in enumerate(urls)]

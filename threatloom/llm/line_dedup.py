@@ -39,10 +39,9 @@ def _templates(count: Column, parts: Column) -> Column:
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, sketch, line, template): one row per line of a document and template of it.
+    """(doc_id, content, line, template): one row per line of a document and template of it.
 
-    ``line`` is a hash of the line, ``sketch`` the smallest hash of a field in the document: near copies
-    mostly share it, other documents do not unless recurring lines are most of their text.
+    ``line`` is a hash of the line, ``content`` one of the set of all lines with a template: only copies share it.
     """
     marked = F.when(F.col("text").rlike("[0-9]"), F.regexp_replace("text", "[0-9]+", "#")).otherwise(F.col("text"))
     tokens = F.transform(F.split(marked, "\n"), lambda x: F.split(F.trim(x), " "))
@@ -52,20 +51,21 @@ def lines(docs: DataFrame) -> DataFrame:
         F.transform(tokens, _fields).alias("fields"),
     )
     parsed = parsed.withColumn("parts", F.filter("fields.parts", lambda p: p.isNotNull()))
-    one = parsed.select("doc_id", F.array_min(F.flatten("parts")).alias("sketch"), F.explode(F.arrays_zip("line", "fields")).alias("f"))
+    content = F.xxhash64(F.array_sort(F.array_distinct(F.transform("parts", lambda p: F.xxhash64(p)))))
+    one = parsed.select("doc_id", content.alias("content"), F.explode(F.arrays_zip("line", "fields")).alias("f"))
     one = one.where("f.fields.parts IS NOT NULL")
     return one.select(
-        "doc_id", "sketch", F.col("f.line").alias("line"), F.explode(_templates(F.col("f.fields.count"), F.col("f.fields.parts"))).alias("template")
+        "doc_id", "content", F.col("f.line").alias("line"), F.explode(_templates(F.col("f.fields.count"), F.col("f.fields.parts"))).alias("template")
     )
 
 
 def recurring(rows: DataFrame, min_documents: int) -> DataFrame:
-    """(template, first_id) of the templates found under at least ``min_documents`` sketches.
+    """(template, first_id) of the templates found in at least ``min_documents`` different contents.
 
     Counted in two aggregations that both start in the map tasks, so a template in every document is one row a task.
     """
-    by_sketch = rows.groupBy("template", "sketch").agg(F.min("doc_id").alias("first_id"))
-    counted = by_sketch.groupBy("template").agg(F.count("*").alias("documents"), F.min("first_id").alias("first_id"))
+    by_content = rows.groupBy("template", "content").agg(F.min("doc_id").alias("first_id"))
+    counted = by_content.groupBy("template").agg(F.count("*").alias("documents"), F.min("first_id").alias("first_id"))
     return counted.where(F.col("documents") >= min_documents).select("template", "first_id")
 
 
@@ -74,9 +74,9 @@ def drop_recurring_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) ->
 
     Lines end at a line feed. A line of fewer than MIN_TOKENS tokens is never a template and stays; so does a
     recurring line in the document with the smallest doc_id of one of its recurring templates, so one copy of each
-    remains. Copies and near copies of one text count once where they share their sketch. A null text
-    stays null, an empty one empty; rows that share a doc_id lose the same lines; a null doc_id keeps its text. Other
-    columns pass through, a ``lines_dropped`` of the input is replaced.
+    remains. Copies (the same set of lines, but for digits) count once, near copies each. A null text stays null, an
+    empty one empty; rows that share a doc_id lose the same lines; a null doc_id keeps its text. Other columns pass
+    through, a ``lines_dropped`` of the input is replaced.
     """
     rows = stage(lines(docs.select("doc_id", "text")), "lines")
     hits = rows.join(recurring(rows, min_documents), "template")
