@@ -271,6 +271,21 @@ def test_a_line_that_is_most_of_its_documents_recurs(session):
     assert all(found[i] == text for i, text in copies)
 
 
+def test_short_lines_and_lines_without_spaces_recur(session):
+    def dropped(lines, n):
+        own = [f"own {' '.join(f'x{chr(97 + i % 26)}{chr(97 + i // 26)}{chr(97 + j)}' for j in range(8))}" for i in range(n)]
+        rows = [(i, "\n".join([own[i], "", *(x(i) if callable(x) else x for x in lines)])) for i in range(n)]
+        found = line_dedup.drop_recurring_lines(session.createDataFrame(rows, "doc_id long, text string")).collect()
+        return {r.lines_dropped for r in found if r.doc_id}, {r.lines_dropped for r in found if r.doc_id == 0}
+
+    for tokens, floor in ((4, 5), (3, 5), (2, 40), (1, 80)):
+        line = " ".join(["alpha", "beta", "gamma", "delta"][:tokens])
+        assert dropped([line, lambda i: f"v{i}"], floor) == ({1}, {0}) and dropped([line], floor - 1) == ({0}, {0})
+    assert dropped([lambda i: ("All\trights \u00a0reserved.", " All rights reserved.\r")[i % 2]], 5) == ({1}, {0})
+    tabs, han = "one\ttwo\tthree\u00a0four\u3000five six", "".join(chr(0x4E00 + 7 * i) for i in range(40))
+    assert dropped([tabs, han, lambda i: f"{han}{chr(0x5E00 + i)}{han[::-1]}"], 5) == ({3}, {0})
+
+
 def test_url_rules_and_templates(session):
     urls = [None, "no scheme", "http://A.Example.NET/en/x", "http://net?q", "https://b.example.com/de/1#t", "ftp://fr.org/fr/", "http://x.org/fr"]
     pages = [(i, u, "h") for i, u in enumerate(urls)]
