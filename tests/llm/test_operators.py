@@ -286,6 +286,16 @@ def test_short_lines_and_lines_without_spaces_recur(session):
     assert dropped([tabs, han, lambda i: f"{han}{chr(0x5E00 + i)}{han[::-1]}"], 5) == ({3}, {0})
 
 
+def test_long_lines_recur_from_two_documents(session):
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(50)]
+    long, middling = " ".join(words), " ".join(words[:49])
+    rows = [(0, f"first own line of text\n{long}\n{middling}"), (1, f"a second own line of text\n{middling}\n{long}"), (2, long), (3, long)]
+    found = {r.doc_id: r.text for r in line_dedup.drop_recurring_lines(session.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {0: rows[0][1], 1: f"a second own line of text\n{middling}", 2: "", 3: ""}
+    copies = session.createDataFrame([(i, f"{long}\n{middling}") for i in range(3)], "doc_id long, text string")
+    assert line_dedup.drop_recurring_lines(copies).where("lines_dropped > 0").count() == 0
+
+
 def test_url_rules_and_templates(session):
     urls = [None, "no scheme", "http://A.Example.NET/en/x", "http://net?q", "https://b.example.com/de/1#t", "ftp://fr.org/fr/", "http://x.org/fr"]
     pages = [(i, u, "h") for i, u in enumerate(urls)]

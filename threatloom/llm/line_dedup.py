@@ -18,14 +18,16 @@ MIN_TOKENS = 5
 LEADING = 2
 FIELDS = 4
 MIN_DOCUMENTS = 5
+# Lines of so many tokens do not recur by chance: from so many documents on.
+LONG_TOKENS, LONG_DOCUMENTS = 50, 2
 # Lines of one or two tokens recur by chance: so many times as many documents.
 CHANCE = {1: 16, 2: 8}
 # White space besides the space and the line feed.
 WHITE = "\\t\\x0B\\f\\r\\x1C-\\x1F\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000"
 # A line of more bytes a token has no white space to cut at: a script without spaces, an address, a block of code.
 TOKEN_BYTES = 30
-# The template's lowest bits hold the token count of a short line, or 0.
-COUNT_BITS = 7
+# The template's lowest bits hold the token count of a short line, LONG of a long one, else 0.
+COUNT_BITS = LONG = 7
 
 
 def _tokens(line: Column) -> Column:
@@ -56,15 +58,16 @@ def _templates(count: Column, parts: Column) -> Column:
     wild = [F.xxhash64(lead, F.lit(i), *fields[:i], *fields[i + 1 :]) for i in range(FIELDS)]
     # A short line has no field that could vary and still leave most of it fixed.
     found = F.when(count < LEADING + FIELDS, F.array(F.xxhash64(parts))).otherwise(F.array(F.xxhash64(parts), *wild))
-    short = F.when(count < MIN_TOKENS, count).otherwise(0).cast("long")
-    return F.transform(found, lambda t: t.bitwiseAND(F.lit(~COUNT_BITS)).bitwiseOR(short))
+    kind = F.when(count < MIN_TOKENS, count).when(count >= LONG_TOKENS, LONG).otherwise(0).cast("long")
+    return F.transform(found, lambda t: t.bitwiseAND(F.lit(~COUNT_BITS)).bitwiseOR(kind))
 
 
 def _floor(template: Column, min_documents: int) -> Column:
     """Documents that a template recurs from."""
-    count, floor = template.bitwiseAND(F.lit(COUNT_BITS)), F.lit(min_documents)
+    kind = template.bitwiseAND(F.lit(COUNT_BITS))
+    floor = F.when(kind == LONG, min(min_documents, LONG_DOCUMENTS)).otherwise(min_documents)
     for tokens, times in CHANCE.items():
-        floor = F.when(count == tokens, min_documents * times).otherwise(floor)
+        floor = F.when(kind == tokens, min_documents * times).otherwise(floor)
     return floor
 
 
@@ -104,10 +107,10 @@ def recurring(rows: DataFrame, min_documents: int) -> DataFrame:
 def drop_recurring_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
     """All columns of ``docs`` (doc_id, text, ...) with recurring lines taken out of ``text``, plus ``lines_dropped``.
 
-    Lines end at a line feed; a blank line stays. A line recurs from ``min_documents`` documents on, one of one or two
-    tokens from CHANCE times as many; one of fewer than MIN_TOKENS tokens is compared with its digits. It stays in
-    the document with the smallest doc_id of one of its recurring templates, so one copy of each
-    remains. Copies (the same set of lines, but for digits) count once, near copies each. A null text stays null, an
+    Lines end at a line feed; a blank line stays. A line recurs from ``min_documents`` documents on, one of LONG_TOKENS
+    tokens or more from LONG_DOCUMENTS, one of one or two tokens from CHANCE times ``min_documents``; one of fewer than
+    MIN_TOKENS tokens is compared with its digits. It stays in the document with the smallest doc_id of one of its
+    recurring templates, so one copy of each remains. Copies (the same set of lines, but for digits) count once, near copies each. A null text stays null, an
     empty one empty; rows that share a doc_id lose the same lines; a null doc_id keeps its text. Other columns pass
     through, a ``lines_dropped`` of the input is replaced.
     """
