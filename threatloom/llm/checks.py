@@ -138,3 +138,29 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM documents LEFT JOIN summed USING (doc_id)
 """.strip()
+
+# The checksum over the digits of an id, bit by bit: per byte one exclusive or, then eight shifts (marked -1).
+_CRC32 = """xor(list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split({0}::VARCHAR, ''),
+  lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+  lambda s, x: CASE WHEN x >= 0 THEN xor(s, x) WHEN s & 1 = 1 THEN xor(s >> 1, 3988292384) ELSE s >> 1 END), 4294967295)"""
+
+SQL["op11_periodic_runs"] = rf"""
+WITH d AS (SELECT doc_id, {_CRC32.format("doc_id")} AS h, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT *, len(w) AS n, h // 10 AS g FROM d),
+a AS (SELECT *, CASE WHEN n > 0 AND h % 10 = 0 THEN g % n END AS a FROM g),
+p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM a),
+made AS (SELECT doc_id, n, CASE WHEN a IS NULL THEN w ELSE list_transform(range(0, n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) END AS w FROM p),
+words AS (SELECT doc_id, n, i, w[i + 1] AS word FROM made, unnest(range(0, n)) t(i)),
+pairs AS (SELECT x.doc_id, y.i - x.i AS q, x.i FROM words x JOIN words y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+stretches AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs) GROUP BY doc_id, q, island
+  HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT * FROM stretches r WHERE NOT EXISTS (SELECT 1 FROM stretches s WHERE s.doc_id = r.doc_id AND s.q < r.q AND s.start <= r.start AND s.start + s.length >= r.start + r.length)),
+summed AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || q || chr(10), '' ORDER BY start, q) AS s FROM runs GROUP BY doc_id),
+best AS (SELECT doc_id, start, length, q FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length::DOUBLE / q DESC, start, q) AS place FROM runs) WHERE place = 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + q, start + length)) AS i FROM runs),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS s FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, q AS period, 1000 * length // q AS exponent_milli,
+  sha256(coalesce(summed.s, '')) AS runs_sha256, sha256(coalesce(kept.s, '')) AS collapsed_sha256
+FROM d LEFT JOIN summed USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
+""".strip()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threatloom.llm import bpe, chat, decontaminate, embedding_dedup, language, line_dedup, minhash, secrets, token_counts, url_filter
+from threatloom.llm import bpe, chat, decontaminate, embedding_dedup, language, line_dedup, minhash, periodic, secrets, token_counts, url_filter
 from threatloom.llm.checks import SQL  # noqa: F401
 from threatloom.llm.common import prepare
 
@@ -105,3 +105,28 @@ def op10_secrets(spark, folder):
     return found.select(
         "doc_id", count("assign"), count("access"), count("hex"), F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans")
     )
+
+
+@query
+def op11_periodic_runs(spark, folder):
+    """Runs of the texts, a tenth of which is made periodic first: from word a on, the p words there repeat."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    chosen = docs.where("h % 10 = 0").withColumn("words", words).withColumn("n", F.size("words"))
+    shaped = chosen.withColumns({"g": F.expr("h div 10"), "a": F.expr("cast((h div 10) % n as int)")}).withColumn("p", F.expr("cast(1 + (n - a) div (3 + g % 8) as int)"))
+    again = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.expr("cast(1 + (n - a) div p as int)")))
+    periodic_words = F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(again, F.lit(1), F.col("n") - F.col("a")))
+    made = shaped.select("doc_id", F.when(F.col("n") > 0, F.array_join(periodic_words, " ")).otherwise(F.col("text")).alias("text"))
+    found = periodic.detect(docs.where("h % 10 <> 0 OR h IS NULL").select("doc_id", "text").unionByName(made))
+    best = F.col("best")
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
