@@ -164,3 +164,24 @@ SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, q AS period, 1000 *
   sha256(coalesce(summed.s, '')) AS runs_sha256, sha256(coalesce(kept.s, '')) AS collapsed_sha256
 FROM d LEFT JOIN summed USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
 """.strip()
+
+SQL["op12_source_divergence"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS row_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+words AS (SELECT row_id, lang, source, unnest(w) AS term FROM d),
+vocabulary AS (SELECT lang, term FROM words GROUP BY lang, term HAVING count(DISTINCT row_id) >= 30),
+sizes AS (SELECT lang, count(*) AS v FROM vocabulary GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM d),
+counted AS (SELECT lang, source, term, count(*) AS n FROM words JOIN vocabulary USING (lang, term) GROUP BY lang, source, term),
+full_counts AS (SELECT g.lang, g.source, v.term, CAST(coalesce(n, 0) AS HUGEINT) AS n
+  FROM groups g JOIN vocabulary v USING (lang) LEFT JOIN counted c ON c.lang = g.lang AND c.source = g.source AND c.term = v.term),
+shares AS (SELECT lang, source, term, n, 1 + (1000000000 * (n + 5)) // (sum(n) OVER (PARTITION BY lang, source) + 5 * v) AS p FROM full_counts JOIN sizes USING (lang)),
+whole AS (SELECT lang, term, sum(n) AS n FROM full_counts GROUP BY lang, term),
+usual AS (SELECT lang, term, 1 + (1000000000 * (n + 5)) // (sum(n) OVER (PARTITION BY lang) + 5 * v) AS q FROM whole JOIN sizes USING (lang)),
+found AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+    coalesce((SELECT sum(abs(x.p - y.p)) FROM shares x JOIN shares y USING (lang, term) WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM shares JOIN usual USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS place FROM found)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(place AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR place <= 50
+""".strip()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threatloom.llm import bpe, chat, decontaminate, embedding_dedup, language, line_dedup, minhash, periodic, secrets, token_counts, url_filter
+from threatloom.llm import bpe, chat, decontaminate, divergence, embedding_dedup, language, line_dedup, minhash, periodic, secrets, token_counts, url_filter
 from threatloom.llm.checks import SQL  # noqa: F401
 from threatloom.llm.common import prepare
 
@@ -130,3 +130,8 @@ def op11_periodic_runs(spark, folder):
         F.sha2(F.array_join(listed, "").cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op12_source_divergence(spark, folder):
+    return divergence.audit(table(spark, folder, "documents"))
