@@ -97,6 +97,8 @@ def _occurrences(words: np.ndarray, starts: np.ndarray, block: int, distinct: in
         bound = 1
         for p, root in PRIMES:
             some = equal.any(axis=1)
+            if not some.any():
+                break
             equal[some] &= _mismatches(words, own[some], block, p, root) == 0
             bound *= p
             if bound > largest:
