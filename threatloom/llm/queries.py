@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threatloom.llm import bpe, chat, decontaminate, divergence, embedding_dedup, language, line_dedup, minhash, periodic, secrets, token_counts, url_filter
+from threatloom.llm import bpe, chat, decontaminate, divergence, embedding_dedup, language, line_dedup, minhash, neighbours, periodic, secrets, token_counts, url_filter
 from threatloom.llm.checks import SQL  # noqa: F401
 from threatloom.llm.common import prepare
 
@@ -135,3 +135,8 @@ def op11_periodic_runs(spark, folder):
 @query
 def op12_source_divergence(spark, folder):
     return divergence.audit(table(spark, folder, "documents"))
+
+
+@query
+def op13_nearest(spark, folder):
+    return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
