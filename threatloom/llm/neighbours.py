@@ -5,8 +5,8 @@ bucket. A query visits its own bucket and then perturbed ones, a step up or down
 estimated chance of success: by the sum of squared distances to the steps' borders. What the visited buckets of all
 tables hold is ranked by exact distance on the original vectors.
 
-Number of projections, step and number of visits are measured, not assumed: the cheapest choice that finds nearly all
-true neighbours of a bounded set of sample queries, whose neighbours are known from one pass over all vectors.
+Numbers of projections, tables and visits and the step are measured, not assumed: the cheapest choice that finds nearly
+all true neighbours of a bounded set of sample queries, whose neighbours are known from one pass over all vectors.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from threatloom.operators.shaping import top_per_group
 SAMPLE, SAMPLE_QUERIES = 8192, 64
 RECALL = 0.97
 TABLES, MOST_VISITS = 4, 64
-PROJECTIONS, STEPS = (1, 2, 3, 4, 6, 8, 10, 12, 16, 20, 24), (0.25, 0.5, 1.0, 2.0, 3.0)
+PROJECTIONS, STEPS = (4, 6, 8, 10, 12, 16, 20, 24), (0.25, 0.5, 1.0, 2.0, 3.0)
 # What one visit costs, in distances: a bucket to look up and a query to ship there.
 VISIT_COST = 32
 # A bucket with more vectors or more visitors is compared in blocks.
@@ -87,14 +87,14 @@ def perturbations(projections: int, most: int) -> np.ndarray:
     return member
 
 
-def family(dim: int, projections: int, step: float) -> dict:
-    """One table of hash functions per entry of ``lines``, as plain arrays; without projections there is one bucket."""
+def family(dim: int, projections: int, step: float, tables: int = TABLES) -> dict:
+    """Tables of hash functions, as plain arrays; without projections a table has one bucket."""
     draw = np.random.default_rng([dim, projections])
     return {
-        "lines": draw.normal(size=(TABLES if projections else 1, dim, projections)),
-        "shift": draw.random((TABLES if projections else 1, projections)),
+        "lines": draw.normal(size=(TABLES, dim, projections))[:tables],
+        "shift": draw.random((TABLES, projections))[:tables],
         "step": step,
-        "code": draw.integers(-(1 << 62), 1 << 62, (TABLES if projections else 1, projections)) | 1,
+        "code": draw.integers(-(1 << 62), 1 << 62, (TABLES, projections))[:tables] | 1,
         "sets": perturbations(projections, 4 * MOST_VISITS) if projections else np.zeros((1, 0), dtype=np.int64),
         "visits": 1,
     }
@@ -188,10 +188,11 @@ def _all_closest(shared, most: int, kind: str):
 def _cheapest(queries: np.ndarray, truth: list[np.ndarray], sample: np.ndarray, vectors: int) -> dict:
     """The hash family and number of visits that find enough of ``truth`` (the true neighbours per query) at least cost."""
     dim = queries.shape[1]
-    best = (float(vectors + VISIT_COST), 0, 1.0, 1)
     neighbours = np.concatenate(truth)
     asker = np.repeat(np.arange(len(queries)), [len(t) for t in truth])
-    spread = float((sample - sample.mean(axis=0)).std()) or 1.0
+    # Spread of a Gaussian projection.
+    spread = float(np.sqrt(sample.var(axis=0).sum())) or 1.0
+    choices = []
     for projections in PROJECTIONS:
         for factor in STEPS:
             hashes = family(dim, projections, factor * spread)
@@ -199,19 +200,19 @@ def _cheapest(queries: np.ndarray, truth: list[np.ndarray], sample: np.ndarray,
             homes, rest = buckets(neighbours, hashes), buckets(sample, hashes)
             when = np.full(len(neighbours), MOST_VISITS)
             scanned = np.zeros(visits.shape[2])
-            for t in range(visits.shape[1]):
+            for t in range(TABLES):
                 hit = visits[asker, t] == homes[:, t, None]
                 when = np.where(hit.any(axis=1), np.minimum(when, hit.argmax(axis=1)), when)
                 known, times = np.unique(rest[:, t], return_counts=True)
                 at = np.minimum(np.searchsorted(known, visits[:, t]), len(known) - 1)
                 scanned += np.where(known[at] == visits[:, t], times[at], 0).mean(axis=0).cumsum()
-            recall = (when[:, None] <= np.arange(len(scanned))).mean(axis=0)
-            enough = np.flatnonzero(recall >= RECALL)
-            if len(enough):
-                n = int(enough[0]) + 1
-                cost = float(scanned[n - 1]) / len(sample) * vectors + VISIT_COST * TABLES * n
-                best = min(best, (cost, projections, factor * spread, n))
-    return family(dim, best[1], best[2]) | {"visits": best[3]}
+                recall = (when[:, None] <= np.arange(len(scanned))).mean(axis=0)
+                n = int(np.argmax(np.minimum(recall, RECALL))) + 1
+                cost = float(scanned[n - 1]) / len(sample) * vectors + VISIT_COST * (t + 1) * n
+                if t:  # two tables at least
+                    choices.append((max(0.0, RECALL - float(recall[n - 1])), cost, projections, factor * spread, t + 1, n))
+    _, _, projections, step, tables, visits = min(choices)
+    return family(dim, projections, step, tables) | {"visits": visits}
 
 
 def fit(classes: DataFrame, asked: DataFrame, most: int, kind: str) -> dict[int, dict]:
@@ -250,7 +251,7 @@ def _hashed(shared, kind: str, probing: bool):
             raw = batch.column(batch.schema.get_field_index("vector")).to_pylist()
             out: list[list[dict]] = [[] for _ in dims]
             for dim in set(dims):
-                hashes = shared.value.get(dim) or family(dim, 0, 1.0)
+                hashes = shared.value.get(dim) or family(dim, 0, 1.0, 1)
                 own = [r for r, d in enumerate(dims) if d == dim]
                 vectors = _matrix([raw[r] for r in own], kind)
                 keys = visited(vectors, hashes, hashes["visits"]) if probing else buckets(vectors, hashes)[:, :, None]
