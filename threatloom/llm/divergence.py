@@ -62,7 +62,8 @@ def count_terms(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> tuple[Da
     groups = stage(filled.groupBy("lang", "source").agg(F.count("*").alias("documents")), "divergence-groups")
     languages = groups.groupBy("lang").agg(F.sum("documents").alias("documents")).where(F.col("documents") >= min_documents)
     names = [r.lang for r in languages.select("lang").sort("lang").collect()]
-    numbered = spark.createDataFrame(list(enumerate(names)), "language int, lang string")
+    # Stored, so that Spark knows how small it is and need not shuffle the texts for the join.
+    numbered = stage(spark.createDataFrame(list(enumerate(names)), "language int, lang string").coalesce(1), "divergence-languages")
     held = F.concat(terms(F.col("text")), F.array(F.lit(_ALWAYS)))
     path = work_dir(spark, "divergence-terms")
     # Dealt into folders by language, so that each vectorizer reads its own documents only.
