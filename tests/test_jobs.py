@@ -73,7 +73,7 @@ def test_whole_lake(spark, lake, lake_dir):
     assert size == 1 and rows(jobs.check_captures(lake), "integrity_fail") == [(True,)]
     flow = {**FLOW, "timestamp": "soon", "flow_id": 7}
     log = [ALERT, ALERT, flow, {"event_type": "flow", "timestamp": "t"}]
-    log = [{**e, "src_ip": "10.0.0.1"} for e in log]  # the indicator that was landed
+    log = [*[{**e, "src_ip": "10.0.0.1"} for e in log[:3]], log[3]]  # the indicator that was landed; the last has no source
     log[0] = {**log[0], "alert": {**ALERT["alert"], "signature": "ET CVE-2021-0001"}}
     log[1] = log[0]
     eve = f"unstructured/pcap_replay/source=ctu13/scenario=42/artifact_sha256={entry['sha256']}/ingest_date={DATE}/eve.jsonl"

@@ -51,9 +51,7 @@ def test_upsert_laws(spark, target, source):
     t = spark.createDataFrame(list(target.items()), "k int, a string")
     s = spark.createDataFrame(list(source.items()), "k int, a string")
     once = upsert.upsert(t, s, ["k"])
-    untouched, changed = upsert.upsert_parts(t, s, ["k"])
-    assert rows(untouched.unionByName(changed)) == rows(once)
-    assert dict(rows(changed)) == source
+    assert rows(upsert.upsert_known(t, s, t.join(s, "k", "left_semi"), ["k"])) == rows(once)
     assert dict(rows(once)) == {**target, **source}
     assert rows(upsert.upsert(once, s, ["k"])) == rows(once)
 
@@ -86,6 +84,131 @@ def test_write_or_merge(spark, tmp_path):
         writes.write_or_merge(first, path, [])
 
 
+def files_of(path):
+    return {str(f.relative_to(path)): f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+
+
+def test_a_merge_rewrites_the_touched_partitions_only(spark, tmp_path):
+    path = tmp_path / "t"
+    schema = "k int, v string, own string, ingest_date string"
+    whole = frame(spark, schema, *[(i, "a", "x", f"2026-01-0{1 + i % 5}") for i in range(50)])
+    assert writes.write_or_merge(whole, str(path), ["k"], ["ingest_date"]) == 50
+    before = files_of(path)
+    writes.write_or_merge(frame(spark, "k int, v string, ingest_date string", (7, "b", "2026-01-03")), str(path), ["k"], ["ingest_date"])
+    after = files_of(path)
+    assert {f for f in before.keys() | after.keys() if before.get(f) != after.get(f)} == {f for f in before.keys() | after.keys() if "01-03" in f}
+    got = {r["k"]: (r["v"], r["own"], r["ingest_date"]) for r in read_table(spark, str(path)).collect()}
+    assert len(got) == 50 and got[7] == ("b", "x", "2026-01-03") and got[8] == ("a", "x", "2026-01-04")
+    # A row that moves touches the partition it leaves and the one it goes to; a new key touches its own alone.
+    before = files_of(path)
+    moved = frame(spark, "k int, v string, ingest_date string", (0, "c", "2026-02-01"), (99, "d", None))
+    writes.write_or_merge(moved, str(path), ["k"], ["ingest_date"])
+    after = files_of(path)
+    changed = {f.split("/")[0] for f in before.keys() | after.keys() if before.get(f) != after.get(f)}
+    assert changed == {"ingest_date=2026-01-01", "ingest_date=2026-02-01", "ingest_date=__HIVE_DEFAULT_PARTITION__"}
+    got = {r["k"]: (r["v"], r["own"], r["ingest_date"]) for r in read_table(spark, str(path)).collect()}
+    assert len(got) == 51 and got[0] == ("c", "x", "2026-02-01") and got[99] == ("d", None, None)
+
+
+def test_a_partition_whose_rows_all_move_is_empty(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "k int, v string, ingest_date string"
+    writes.write_or_merge(frame(spark, schema, (1, "a", "2026-01-01"), (2, "b", "2026-01-02")), path, ["k"], ["ingest_date"])
+    writes.write_or_merge(frame(spark, schema, (1, "c", "2026-01-02")), path, ["k"], ["ingest_date"])
+    assert rows(read_table(spark, path), "k", "v", "ingest_date") == [(1, "c", "2026-01-02"), (2, "b", "2026-01-02")]
+    writes.write_or_merge(frame(spark, schema, (1, "d", "2026-01-01")), path, ["k"], ["ingest_date"])
+    assert rows(read_table(spark, path), "k", "v", "ingest_date") == [(1, "d", "2026-01-01"), (2, "b", "2026-01-02")]
+
+
+def test_new_columns_reach_every_partition(spark, tmp_path):
+    path = str(tmp_path / "t")
+    writes.write_or_merge(frame(spark, "k int, v int, ingest_date string", (1, 1, "2026-01-01"), (2, 2, "2026-01-02")), path, ["k"], ["ingest_date"])
+    writes.write_or_merge(frame(spark, "k int, v long, w string, ingest_date string", (2, 1 << 40, "n", "2026-01-02")), path, ["k"], ["ingest_date"])
+    assert rows(read_table(spark, path), "k", "v", "w") == [(1, 1, None), (2, 1 << 40, "n")]
+
+
+def test_two_partition_columns_with_odd_values(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "k string, v int, kind string, ingest_date string"
+    first = [("a", 1, "x/y", "2026-01-01"), ("b", 2, "p q=%", "2026-01-01"), (None, 3, "", "2026-01-02"), ("d", 4, "07", "2026-01-02")]
+    writes.write_or_merge(frame(spark, schema, *first), path, ["k"], ["kind", "ingest_date"])
+    writes.write_or_merge(frame(spark, schema, ("b", 5, "p q=%", "2026-01-01"), (None, 6, None, "2026-01-02"), ("d", 7, "x/y", "2026-01-01")), path, ["k"], ["kind", "ingest_date"])
+    assert sorted(r["v"] for r in read_table(spark, path).collect()) == [1, 3, 5, 6, 7]
+
+
+def test_a_changed_base_stops_the_merge(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    schema = "k int, v string, ingest_date string"
+    writes.write_or_merge(frame(spark, schema, (1, "a", "2026-01-01"), (2, "b", "2026-01-02")), path, ["k"], ["ingest_date"])
+    true_hint = writes.balanced
+
+    def meanwhile(df, partition_by):
+        monkeypatch.setattr(writes, "balanced", true_hint)
+        writes.append(frame(spark, schema, (3, "other", "2026-01-01")), path, ["ingest_date"])
+        return true_hint(df, partition_by)
+
+    monkeypatch.setattr(writes, "balanced", meanwhile)
+    with pytest.raises(writes.ChangedTable):
+        writes.write_or_merge(frame(spark, schema, (1, "mine", "2026-01-01")), path, ["k"], ["ingest_date"])
+    assert rows(read_table(spark, path), "k", "v") == [(1, "a"), (2, "b"), (3, "other")]
+    writes.write_or_merge(frame(spark, schema, (1, "mine", "2026-01-01")), path, ["k"], ["ingest_date"])
+    assert rows(read_table(spark, path), "k", "v") == [(1, "mine"), (2, "b"), (3, "other")]
+
+
+def test_a_merge_is_completed_after_its_driver_was_lost(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    schema = "k int, v string, ingest_date string"
+    writes.write_or_merge(frame(spark, schema, (1, "a", "2026-01-01"), (2, "b", "2026-01-02")), path, ["k"], ["ingest_date"])
+
+    def lost(*_):
+        raise SystemError("driver lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(writes, "_put_in_force", lost)
+        with pytest.raises(SystemError):
+            writes.write_or_merge(frame(spark, schema, (1, "c", "2026-01-02")), path, ["k"], ["ingest_date"])
+    assert rows(read_table(spark, path), "k", "v", "ingest_date") == [(1, "c", "2026-01-02"), (2, "b", "2026-01-02")]
+    assert not list((tmp_path / "t").glob("_merge-*"))
+
+
+def test_a_merge_reads_keys_first_and_then_touched_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "k int, v string, ingest_date string"
+    writes.write_or_merge(frame(spark, schema, *[(i, "a", f"2026-01-0{1 + i % 3}") for i in range(30)]), path, ["k"], ["ingest_date"])
+    target = spark.read.parquet(path)
+    known = upsert.upsert_known(target, frame(spark, schema, (1, "b", "2026-01-01")), frame(spark, "k int", (1,)), ["k"])
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[0].count("FileScan parquet") == 1
+
+
+def test_rejects_are_split_in_one_pass(spark, tmp_path):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(len(batch))
+            yield batch
+
+    source = frame(spark, "k int, v string", (1, "a"), (2, None), (3, ""), (4, "b")).mapInPandas(counted, "k int, v string")
+    split = writes.split_rejects(source, ["v"])
+    assert (split.read, split.refused) == (4, 2)
+    for _ in range(2):
+        assert rows(split.clean) == [(1, "a"), (4, "b")] and rows(split.rejected) == [(2, None, "v"), (3, "", "v")]
+    assert reads.value == 4
+    none = writes.split_rejects(frame(spark, "k int, v string"), ["k", "v"])
+    assert none[2:] == (0, 0) and none.clean.count() == none.rejected.count() == 0
+
+
+def test_a_failed_replacement_leaves_the_partition(spark, tmp_path):
+    path = str(tmp_path / "t")
+    day = frame(spark, "v int, ingest_date string", (1, "2026-01-01"), (2, "2026-01-02"))
+    writes.append(day, path, ["ingest_date"])
+    broken = day.withColumn("v", F.when(F.col("v") > 0, F.raise_error(F.lit("no"))).cast("int"))
+    with pytest.raises(Exception, match="no"):
+        writes.replace_partition(broken, path, "ingest_date", "2026-01-01")
+    assert rows(read_table(spark, path), "v") == [(1,), (2,)]
+
+
 def test_unfinished_snapshot_is_ignored(spark, tmp_path):
     path = str(tmp_path / "t")
     writes.write_snapshot(frame(spark, "k int", (1,)), path)
@@ -345,7 +468,7 @@ def test_clean_kev(spark):
         spark, "cveID string, vulnerabilityName string, dateAdded string, dueDate string, retrieved_at_utc string",
         ("CVE-1", "old", "2026-03-01", "bad", "1"), ("CVE-1", "new", "2026-03-02", "2026-04-01", "2"), ("CVE-2", None, "x", "y", "1"),
     )
-    good, bad = trusted.clean(raw.withColumnRenamed("cveID", "cve_id"), "kev")
+    good, bad, _, _ = trusted.clean(raw.withColumnRenamed("cveID", "cve_id"), "kev")
     assert [(r["vulnerability_name"], str(r["date_added"]), str(r["due_date"])) for r in good.collect()] == [("new", "2026-03-02", "2026-04-01")]
     assert rows(bad, "cve_id", "_reject_reason") == [("CVE-2", "vulnerability_name")]
 
@@ -355,7 +478,7 @@ def test_clean_epss(spark):
         spark, "cve string, epss string, percentile string, date string, retrieved_at_utc string",
         ("A", "0.5", "1", "d1", "1"), ("B", "1.5", "x", "d1", "1"), ("C", "n/a", None, "d1", "1"), ("D", "0.1", None, "", "1"),
     )
-    good, bad = trusted.clean(raw, "epss")
+    good, bad, _, _ = trusted.clean(raw, "epss")
     assert rows(good, "cve", "epss", "percentile", "_quality_warn") == [
         ("A", 0.5, 1.0, False), ("B", 1.5, None, True), ("C", None, None, False),
     ]
@@ -378,7 +501,7 @@ def test_event_checks(spark):
         ("r1", "1", "2026-03-12T08:15:01.000000+0000", "alert", "a"), ("r1", "1", "2026-03-12T08:15:01.000000+0000", "alert", "a"),
         ("r2", "1", "2026-03-12T08:15:01.000000+0000", "alert", "a"), ("r1", "2", "soon", "alert", "a"), ("r1", "3", "", "alert", "a"),
     )
-    good, bad = trusted.check_events(raw)
+    good, bad, _, _ = trusted.check_events(raw)
     kept = trusted.dedup_events(good)
     assert rows(kept.select("replay_run_id", "flow_id", "_ts_malformed", F.col("event_ts").cast("string"))) == [
         ("r1", "1", False, "2026-03-12 08:15:01"), ("r1", "2", True, "1970-01-01 00:00:00"), ("r2", "1", False, "2026-03-12 08:15:01"),

@@ -33,14 +33,19 @@ class Job:
         self.started = datetime.now(UTC)
         self.seen = {role: Observation() for role in ("read", "written", "rejected")}
         self.used: set[str] = set()
+        self.known: dict[str, int] = {}
 
     def count(self, role: str, df: DataFrame) -> DataFrame:
         """Pass ``df`` through, counting its rows as ``read``, ``written`` or ``rejected``."""
         self.used.add(role)
         return df.observe(self.seen[role], F.count(F.lit(1)).alias("rows"))
 
+    def told(self, **rows: int) -> None:
+        """Counts that an earlier step of the job has made, by role."""
+        self.known |= rows
+
     def rows(self, role: str) -> int:
-        return self.seen[role].get["rows"] if role in self.used else 0
+        return self.seen[role].get["rows"] if role in self.used else self.known.get(role, 0)
 
     def record(self, source_paths: list[str], target_path: str) -> DataFrame:
         row = (

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from threatloom.functions import scalars as S
 from threatloom.operators.shaping import keep_one, row_hash
-from threatloom.operators.writes import split_rejects
+from threatloom.operators.writes import Split, split_rejects
 from threatloom.schemas import TRUSTED
 
 
@@ -61,16 +61,17 @@ def dedup(df: DataFrame, keys: list[str], recency: str = "retrieved_at_utc") ->
     return keep_one(df, keys, F.col(recency).desc_nulls_last(), row_hash(df))
 
 
-def clean(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
-    """``(clean, rejected)`` rows of one feed table by its declared key, mandatory fields and casts."""
+def clean(df: DataFrame, table: str) -> Split:
+    """Clean and rejected rows of one feed table by its declared key, mandatory fields and casts; one pass over ``df``."""
     rules = TRUSTED[table]
-    good, bad = split_rejects(align(df), rules["mandatory"])
+    split = split_rejects(align(df), rules["mandatory"])
+    good = split.clean
     good = cast_columns(dedup(good, rules["key"]), rules["casts"])
     if table == "epss":
         good = warn_outside(good, "epss", 0.0, 1.0)
     if table == "urlhaus":
         good = warn_bad_url(good)
-    return good, bad
+    return split._replace(clean=good)
 
 
 def flatten_cvss(records: DataFrame) -> DataFrame:
@@ -108,20 +109,18 @@ def circl_profile(rows: DataFrame) -> DataFrame:
     ).drop("payload")
 
 
-def check_events(events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Events with type, time and source; an unreadable time becomes the sentinel and is flagged."""
+def check_events(events: DataFrame) -> Split:
+    """Events with type, time and source; an unreadable time becomes the sentinel and is flagged. One pass over ``events``."""
     texts = {f.name: F.make_valid_utf8(f.name) for f in events.schema if isinstance(f.dataType, T.StringType)}
-    good, bad = split_rejects(events.withColumns(texts), ["event_type", "timestamp_utc", "src_ip"])
+    split = split_rejects(events.withColumns(texts), ["event_type", "timestamp_utc", "src_ip"])
     parsed = S.strip(F.col("timestamp_utc")).try_cast("timestamp")
-    return (
-        good.withColumns(
-            {
-                "event_ts": F.coalesce(parsed, F.lit(S.SENTINEL_TIMESTAMP).cast("timestamp")),
-                "_ts_malformed": parsed.isNull(),
-            }
-        ),
-        bad,
+    good = split.clean.withColumns(
+        {
+            "event_ts": F.coalesce(parsed, F.lit(S.SENTINEL_TIMESTAMP).cast("timestamp")),
+            "_ts_malformed": parsed.isNull(),
+        }
     )
+    return split._replace(clean=good)
 
 
 def dedup_events(events: DataFrame, *order: Column) -> DataFrame:
@@ -132,11 +131,11 @@ def dedup_events(events: DataFrame, *order: Column) -> DataFrame:
 
 def clean_warm_aggregates(
     rows: DataFrame, key: list[str], counts: list[str], dimensions: list[str], *order: Column
-) -> tuple[DataFrame, DataFrame]:
+) -> Split:
     """Window aggregates: counts must be whole numbers, dimensions present, one row per window key."""
     typed = rows.withColumns({c: S.text_int(F.col(c).cast("string")) for c in counts})
-    good, bad = split_rejects(typed, [*dimensions, *counts])
-    return keep_one(good, key, *(order or (row_hash(good),))), bad
+    split = split_rejects(typed, [*dimensions, *counts])
+    return split._replace(clean=keep_one(split.clean, key, *(order or (row_hash(split.clean),))))
 
 
 def quality_report(vulns: DataFrame) -> DataFrame:

@@ -61,16 +61,13 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     return kept.unionByName(_unmatched_source(target, source, new, keys), allowMissingColumns=True)
 
 
-def upsert_parts(target: DataFrame, source: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """The same result as ``(untouched, changed)`` rows.
-
-    A writer can pass the untouched rows through in the layout they have and arrange only the changed ones.
-    """
+def upsert_known(target: DataFrame, source: DataFrame, matched: DataFrame, keys: list[str]) -> DataFrame:
+    """The same result where the ``matched`` keys are known already: the target is read once."""
     new = _keyed_source(source, keys)
-    untouched = target.join(new.select(*keys), keys, "left_anti")
-    updated = target.join(new, keys).select(*_merged_columns(target, source))
-    added = _unmatched_source(target, source, new, keys)
-    return untouched, updated.unionByName(added, allowMissingColumns=True)
+    kept = target.join(new, keys, "left").select(*_merged_columns(target, source))
+    added = new.join(matched.select(*keys).distinct(), keys, "left_anti").select("_new.*")
+    added = added.unionByName(source.where(~_has_key(keys)))
+    return kept.unionByName(added, allowMissingColumns=True)
 
 
 def merge_manifest(entries: DataFrame) -> DataFrame:

@@ -3,16 +3,22 @@
 from __future__ import annotations
 
 import uuid
+from typing import NamedTuple
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from threatloom.functions import scalars as S
-from threatloom.operators.upsert import upsert_parts
+from threatloom.operators.upsert import upsert, upsert_known
 from threatloom.session import work_dir
 from threatloom.sources.lines import MANIFEST_PATH
 
 SNAPSHOT = "snapshot="
+# Fixed value: how Spark names the folder of a null or empty partition value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+# Merged partitions wait in such a folder of the table, which readers do not see; the marker says that they are in force.
+MERGE, IN_FORCE = "_merge-", "_IN_FORCE"
 
 
 def _filesystem(spark: SparkSession, path: str):
@@ -61,12 +67,122 @@ def write_snapshot(df: DataFrame, path: str, partition_by: list[str] | None = No
     return target
 
 
+def table_root(spark: SparkSession, path: str) -> str:
+    """Where the files of a table lie: its newest complete snapshot, or the folder itself."""
+    return current_snapshot(spark, path) or path
+
+
+class ChangedTable(RuntimeError):
+    """Another job has changed the partitions of a merge while it ran; the merge has changed nothing."""
+
+
+def _partition_folders(spark: SparkSession, root: str, depth: int) -> list[str]:
+    """Partition folders ``a=1/b=2`` below ``root``, ``depth`` levels deep."""
+    files, _, hadoop = _filesystem(spark, root)
+    found = [""]
+    for _ in range(depth):
+        below = []
+        for folder in found:
+            names = [s.getPath().getName() for s in files.listStatus(hadoop.Path(f"{root}/{folder}")) if s.isDirectory()]
+            below += [f"{folder}/{n}".strip("/") for n in names if "=" in n and not n.startswith(("_", "."))]
+        found = below
+    return found
+
+
+def _content(spark: SparkSession, root: str, folders: list[str]) -> list[tuple]:
+    """What tells whether partitions have changed: their files with sizes and times."""
+    files, _, hadoop = _filesystem(spark, root)
+    found = []
+    for folder in folders:
+        where = hadoop.Path(f"{root}/{folder}")
+        if files.exists(where):
+            found += [(folder, s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in files.listStatus(where)]
+    return sorted(found)
+
+
+def _values_of(folder: str) -> tuple[str | None, ...]:
+    values = [unquote(part.split("=", 1)[1]) for part in folder.split("/")]
+    return tuple(None if v == NO_VALUE else v for v in values)
+
+
+def _put_in_force(spark: SparkSession, root: str, waiting: str) -> None:
+    """Move the partitions of a finished merge to their places. Whatever is left of them is moved by the next call."""
+    files, _, hadoop = _filesystem(spark, root)
+    depth = int(waiting.split("-")[1])
+    for folder in _partition_folders(spark, f"{root}/{waiting}", depth):
+        place = hadoop.Path(f"{root}/{folder}")
+        files.delete(place, True)
+        files.mkdirs(place.getParent())
+        if not files.rename(hadoop.Path(f"{root}/{waiting}/{folder}"), place):
+            raise RuntimeError(f"cannot move {waiting}/{folder} to its place in {root}")
+    files.delete(hadoop.Path(f"{root}/{waiting}"), True)
+
+
+def finish_merges(spark: SparkSession, root: str) -> None:
+    """Complete a merge whose driver was lost while its partitions were moved."""
+    files, where, hadoop = _filesystem(spark, root)
+    if files.exists(where):
+        for name in [s.getPath().getName() for s in files.listStatus(where)]:
+            if name.startswith(MERGE) and files.exists(hadoop.Path(f"{root}/{name}/{IN_FORCE}")):
+                _put_in_force(spark, root, name)
+
+
+def _merge_partitions(source: DataFrame, root: str, keys: list[str], partition_by: list[str]) -> None:
+    """Merge a stored batch into the partitions that it touches: those of its rows and those of the rows it updates.
+
+    The target is read twice: its key columns, to find matches and their partitions, and then the touched partitions.
+    Spark joins the keys by broadcast of a small batch, or else by shuffle with a Bloom filter of the batch on the scan.
+    New partitions are written beside the old ones and moved when all are complete; if the old ones have changed in
+    the meantime, nothing is moved. A batch that brings new columns or types touches every partition, so all files of
+    a table keep one schema. On the driver are folder names only, as in Spark's own listing.
+    """
+    spark = source.sparkSession
+    finish_merges(spark, root)
+    depth = len(partition_by)
+    existing = _partition_folders(spark, root, depth)
+    target = spark.read.option("basePath", root).parquet(root)
+    casts = {name: F.col(name).cast(source.schema[name].dataType) for name in partition_by}
+    key_columns = {k: F.col(k).cast(target.schema[k].dataType) for k in keys if k not in partition_by}
+    folder = F.array_join(F.slice(F.split("_metadata.file_path", "/"), -1 - depth, depth), "/")
+    placed = target.select(*[casts.get(k, F.col(k)).alias(k) for k in keys], folder.alias("_folder"))
+    present = F.lit(True)
+    for key in keys:
+        present = present & F.col(key).isNotNull()
+    batch_keys = source.withColumns(key_columns).where(present).select(*keys).distinct()
+    stored = work_dir(spark, "matched")
+    placed.join(batch_keys, keys, "left_semi").write.parquet(stored)
+    matched = spark.read.schema(placed.schema).parquet(stored)
+    touched = {unquote(r["_folder"]) for r in matched.select("_folder").distinct().collect()}
+    own = source.select(*[F.col(c).cast("string") for c in partition_by]).distinct().collect()
+    values = {tuple(v or None for v in r) for r in own}
+    touched |= {f for f in existing if _values_of(f) in values}
+    empty = spark.createDataFrame([], target.schema)
+    plain = [c for c in target.columns if c not in partition_by]
+    kinds = upsert_known(empty.withColumns(casts), source, batch_keys.limit(0), keys).schema
+    if {(f.name, f.dataType.simpleString()) for f in kinds if f.name not in partition_by} != {(c, target.schema[c].dataType.simpleString()) for c in plain}:
+        touched = set(existing)
+    before = _content(spark, root, sorted(touched))
+    base = spark.read.schema(target.schema).option("basePath", root).parquet(*[f"{root}/{f}" for f in sorted(touched)]) if touched else empty
+    merged = upsert_known(base.withColumns(casts), source, matched, keys)
+    waiting = f"{MERGE}{depth}-{uuid.uuid4().hex}"
+    balanced(merged, partition_by).write.partitionBy(*partition_by).parquet(f"{root}/{waiting}")
+    files, _, hadoop = _filesystem(spark, root)
+    for name in touched - set(_partition_folders(spark, f"{root}/{waiting}", depth)):
+        files.mkdirs(hadoop.Path(f"{root}/{waiting}/{name}"))  # all its rows have moved
+    if _content(spark, root, sorted(touched)) != before:
+        files.delete(hadoop.Path(f"{root}/{waiting}"), True)
+        raise ChangedTable(f"{root} was changed while a batch was merged into it; run the merge again")
+    files.create(hadoop.Path(f"{root}/{waiting}/{IN_FORCE}")).close()
+    _put_in_force(spark, root, waiting)
+
+
 def write_or_merge(
     source: DataFrame, path: str, merge_keys: list[str] | None, partition_by: list[str] | None = None
 ) -> int:
     """Upsert (keys given) or append (``None``) one batch; creates the table on first use.
 
-    Returns the batch size. An empty batch writes nothing. The first write keeps duplicate keys.
+    Returns the batch size. An empty batch writes nothing. The first write keeps duplicate keys. A partitioned table
+    has only the partitions rewritten that the batch touches; one without partitions is one, so it is rewritten whole.
 
     A batch to merge is stored in the shared work folder first: the merge reads it several times, and must
     neither scan and parse the landing again nor see other values (ids made by ``uuid``) when it does.
@@ -81,17 +197,15 @@ def write_or_merge(
     if not size:
         return 0
     source = spark.read.schema(source.schema).parquet(batch)
-    existing = current_snapshot(spark, path)
-    if existing is None:
-        write_snapshot(balanced(source, partition_by), path, partition_by)
+    if not table_exists(spark, path):
+        if partition_by:
+            balanced(source, partition_by).write.partitionBy(*partition_by).parquet(path)
+        else:
+            write_snapshot(source, path)
+    elif partition_by:
+        _merge_partitions(source, table_root(spark, path), merge_keys, partition_by)
     else:
-        target = spark.read.parquet(existing)
-        for name in partition_by or []:
-            target = target.withColumn(name, F.col(name).cast(source.schema[name].dataType))
-        # Only changed rows can move to another partition; the others are copied as they lie, unshuffled.
-        untouched, changed = upsert_parts(target, source, merge_keys)
-        whole = untouched.unionByName(balanced(changed, partition_by), allowMissingColumns=True)
-        write_snapshot(whole, path, partition_by)
+        write_snapshot(upsert(spark.read.parquet(table_root(spark, path)), source, merge_keys), path)
     return size
 
 
@@ -115,18 +229,48 @@ def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> Non
 
 
 def replace_partition(df: DataFrame, path: str, column: str, value: str) -> None:
-    """Clear one partition and write it anew, also when there is nothing to write."""
-    df.drop(column).write.mode("overwrite").parquet(f"{path}/{column}={value}")
+    """Write one partition anew, also when there is nothing to write.
+
+    The new files are complete before the old ones go: Spark writes them beside the partition and swaps at the commit.
+    """
+    seen = Observation()
+    rows = df.drop(column).observe(seen, F.count(F.lit(1)).alias("rows")).withColumn(column, F.lit(value))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+    if not seen.get["rows"]:
+        df.drop(column).limit(0).write.mode("overwrite").parquet(f"{path}/{column}={value}")
 
 
-def split_rejects(df: DataFrame, mandatory: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows with all mandatory fields, and the others with the names of the missing ones."""
+def _marked(df: DataFrame, mandatory: list[str]) -> DataFrame:
     missing = F.concat_ws(
         ",", *[F.when(F.col(c).isNull() | (F.col(c).cast("string") == ""), F.lit(c)) for c in mandatory]
     )
-    marked = df.withColumn("_reject_reason", missing)
-    clean = marked.where(F.col("_reject_reason") == "").drop("_reject_reason")
-    return clean, marked.where(F.col("_reject_reason") != "")
+    return df.withColumn("_reject_reason", missing)
+
+
+class Split(NamedTuple):
+    """Rows with all mandatory fields, the others with the names of the missing ones, and how many there are."""
+
+    clean: DataFrame
+    rejected: DataFrame
+    read: int
+    refused: int
+
+
+def split_rejects(df: DataFrame, mandatory: list[str]) -> Split:
+    """Set rows without a mandatory field aside, in one pass over ``df``.
+
+    One write to the shared work folder, partitioned by a reject flag, counts the rows and stores them; each side is
+    then a scan of its own rows alone, however often it is read, and the source is not read or parsed again.
+    """
+    spark, seen = df.sparkSession, Observation()
+    refused = F.col("_reject_reason") != ""
+    marked = _marked(df, mandatory).withColumn("_refused", refused)
+    counts = [F.count(F.lit(1)).alias("read"), F.count_if("_refused").alias("refused")]
+    folder = work_dir(spark, "split")
+    marked.observe(seen, *counts).write.partitionBy("_refused").parquet(folder)
+    stored = spark.read.schema(marked.schema).parquet(folder)
+    clean = stored.where(~F.col("_refused")).drop("_refused", "_reject_reason")
+    return Split(clean, stored.where("_refused").drop("_refused"), seen.get["read"], seen.get["refused"])
 
 
 def sorted_json(df: DataFrame, names: list[str] | None = None) -> Column:

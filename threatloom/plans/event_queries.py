@@ -249,7 +249,7 @@ def q_trusted_clean(t: Tables) -> DataFrame:
         text.alias("scoreText"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("retrieved_at_utc"),
     )
-    good, bad = writes.split_rejects(trusted.align(raw), ["score_text"])
+    good, bad, _, _ = writes.split_rejects(trusted.align(raw), ["score_text"])
     good = trusted.cast_columns(trusted.dedup(good, ["user_id", "event_type"]), {"score_text": "double"})
     good = trusted.warn_not_in(
         trusted.warn_outside(good, "score_text", 0.0, 100.0), "event_type", ["view", "click", "signup", "purchase"]
@@ -286,7 +286,7 @@ def q_event_quality(t: Tables) -> DataFrame:
         F.col("l_partkey").alias("part_key"),
         F.col("l_extendedprice").alias("price"),
     )
-    good, bad = trusted.check_events(shaped)
+    good, bad, _, _ = trusted.check_events(shaped)
     good = trusted.dedup_events(good, F.col("part_key"), F.col("src_ip"), F.col("price"))
     good = good.withColumns({"event_date": F.date_format("event_ts", "yyyy-MM-dd"), "_reject_reason": F.lit("")})
     columns = [
@@ -309,7 +309,7 @@ def q_warm_clean(t: Tables) -> DataFrame:
         F.col("n").cast("string")
     )
     rows = counted.select("day", "event_type", text.alias("alerts"))
-    good, bad = trusted.clean_warm_aggregates(
+    good, bad, _, _ = trusted.clean_warm_aggregates(
         rows.unionByName(rows), ["day", "event_type"], ["alerts"], ["day", "event_type"]
     )
     return good.withColumn("_reject_reason", F.lit("")).unionByName(bad)

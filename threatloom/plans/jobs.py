@@ -260,11 +260,11 @@ def clean_feed(lake: Lake, feed: str, run_id: str) -> None:
         rows = trusted.circl_profile(rows)
     if feed == "kev":
         rows = rows.withColumnRenamed("cveID", "cve_id")
-    clean, _ = trusted.clean(job.count("read", rows), feed)
-    _, bad = trusted.clean(rows, feed)
+    split = trusted.clean(rows, feed)
+    job.told(read=split.read, rejected=split.refused)
     target = lake.path("trusted", feed)
-    writes.write_snapshot(job.count("written", clean), target)
-    writes.write_snapshot(job.count("rejected", bad), lake.path("trusted", "rejected", feed))
+    writes.write_snapshot(job.count("written", split.clean), target)
+    writes.write_snapshot(split.rejected, lake.path("trusted", "rejected", feed))
     job.finish([lake.path("silver", feed)], target, lake.path("exploitation", "lineage"))
 
 
@@ -276,13 +276,12 @@ def clean_events(lake: Lake, run_id: str) -> None:
     for name in ("suricata_events", "ids_alerts"):
         job = lineage.Job(lake.spark, run_id, "trusted_zone", name, "clean_events")
         rows = lake.table("silver", name, lake.ingest_date)
-        good, _ = trusted.check_events(job.count("read", rows))
-        _, bad = trusted.check_events(rows)
-        if name == "suricata_events":
-            good = trusted.dedup_events(good)
+        split = trusted.check_events(rows)
+        job.told(read=split.read, rejected=split.refused)
+        good = trusted.dedup_events(split.clean) if name == "suricata_events" else split.clean
         target = lake.path("trusted", name)
         _replace_date(lake, job.count("written", good), target)
-        _replace_date(lake, job.count("rejected", bad), lake.path("trusted", "rejected", name))
+        _replace_date(lake, split.rejected, lake.path("trusted", "rejected", name))
         job.finish([lake.path("silver", name)], target, lake.path("exploitation", "lineage"))
 
 
@@ -294,14 +293,11 @@ def clean_warm(lake: Lake, state_path: str, run_id: str) -> None:
     """Clean the streamed window counts into the trusted zone."""
     job = lineage.Job(lake.spark, run_id, "trusted_zone", "warm_aggregates", "clean_warm")
     key = ["window_start", "signature"]
-    state = job.count("read", total_counts(lake.spark, state_path, key))
-    clean, _ = trusted.clean_warm_aggregates(state, key, ["alerts"], key)
-    _, bad = trusted.clean_warm_aggregates(
-        total_counts(lake.spark, state_path, key), key, ["alerts"], key
-    )
+    split = trusted.clean_warm_aggregates(total_counts(lake.spark, state_path, key), key, ["alerts"], key)
+    job.told(read=split.read, rejected=split.refused)
     target = lake.path("trusted", "warm_aggregates")
-    writes.write_snapshot(job.count("written", clean), target)
-    writes.write_snapshot(job.count("rejected", bad), lake.path("trusted", "rejected", "warm_aggregates"))
+    writes.write_snapshot(job.count("written", split.clean), target)
+    writes.write_snapshot(split.rejected, lake.path("trusted", "rejected", "warm_aggregates"))
     job.finish([state_path], target, lake.path("exploitation", "lineage"))
 
 

@@ -455,10 +455,10 @@ def q_lineage(t: Tables) -> DataFrame:
     target, log = work_dir(t.spark, "lines"), work_dir(t.spark, "lineage")
     rate = F.when(F.col("l_discount") > 0, F.col("l_discount")).alias("rate")
     lines = t.lineitem.select("l_orderkey", "l_linenumber", rate)
-    clean, rejected = writes.split_rejects(job.count("read", lines), ["rate"])
-    job.count("written", clean).write.parquet(f"{target}/clean")
-    _, rejected = writes.split_rejects(lines, ["rate"])
-    job.count("rejected", rejected).write.parquet(f"{target}/rejected")
+    split = writes.split_rejects(lines, ["rate"])
+    job.told(read=split.read, rejected=split.refused)
+    job.count("written", split.clean).write.parquet(f"{target}/clean")
+    split.rejected.write.parquet(f"{target}/rejected")
     job.finish([f"{t.folder}/lineitem.parquet"], target, log)
     return t.spark.read.parquet(log).select(
         "rows_read", "rows_written", "rows_rejected", "transformation_name", "run_id"

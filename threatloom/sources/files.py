@@ -11,9 +11,7 @@ from pyspark.sql import functions as F
 
 from threatloom.functions import scalars as S
 
-INLINE_HASH_BYTES = 64 * 1024 * 1024
 CHUNK_BYTES = 1024 * 1024
-MAX_RULES = 1000
 
 
 def _uri(path: str) -> str:
@@ -37,25 +35,22 @@ def _hash_files(batches):
         yield pd.DataFrame({"path": batch["path"], "size_bytes": batch["size_bytes"], "sha256": digests})
 
 
-def read_artifacts(spark: SparkSession, path, glob: str = "*", inline_bytes: int = INLINE_HASH_BYTES) -> DataFrame:
+def read_artifacts(spark: SparkSession, path, glob: str = "*") -> DataFrame:
     """Path, size, SHA-256 and hive parts of landed files.
 
-    Small files hash in the JVM. Larger ones are listed without their content (the length filter and the
-    column selection reach the scan) and stream-hashed in Arrow tasks, so no file has to fit in memory.
+    Spark lists the files (the column selection reaches the scan, so no content is read there); every file, whatever
+    its size, is hashed by one stream of chunks in the task that got it, so no file has to fit in memory. Empty files are
+    not listed by Spark. Schemes are those of Arrow: local files, ``s3``, ``gs``, ``abfs`` and, with libhdfs, ``hdfs``;
+    another one stops the job.
     """
-    files = (
+    listed = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob)
         .load(path)
+        .select("path", F.col("length").alias("size_bytes"))
     )
-    small = files.where(F.col("length") <= inline_bytes).select(
-        "path", F.col("length").alias("size_bytes"), S.sha256(F.col("content")).alias("sha256")
-    )
-    large = files.where(F.col("length") > inline_bytes).select("path", F.col("length").alias("size_bytes"))
-    hashed = small.unionByName(
-        large.mapInPandas(_hash_files, "path string, size_bytes bigint, sha256 string")
-    )
+    hashed = listed.mapInPandas(_hash_files, "path string, size_bytes bigint, sha256 string")
     return hashed.select(
         "*",
         *[S.path_part(F.col("path"), part).alias(part) for part in ("source", "scenario", "ingest_date")],
@@ -85,21 +80,20 @@ def read_selection_rules(spark: SparkSession, path: str) -> DataFrame:
 
 
 def profile_rules(rules: DataFrame, profile: str) -> list[tuple[str, str]]:
-    """Ordered rules of one profile: hand-written configuration, so its size is checked, not assumed."""
-    chosen = rules.where(F.col("profile") == profile).orderBy("rule_index").select("label", "pattern")
-    rows = chosen.limit(MAX_RULES + 1).collect()
+    """Ordered rules of one profile, all of them: they are a hand-written configuration file, never data."""
+    rows = rules.where(F.col("profile") == profile).orderBy("rule_index").select("label", "pattern").collect()
     if not rows:
         raise ValueError(f"unknown profile '{profile}'")
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"profile '{profile}' has more than {MAX_RULES} rules")
     return [(r["label"], r["pattern"]) for r in rows]
 
 
 def read_table(spark: SparkSession, path: str, ingest_date: str | None = None) -> DataFrame:
     """A stored table: the newest complete snapshot if it is kept as snapshots, else the folder itself."""
-    from threatloom.operators.writes import current_snapshot
+    from threatloom.operators.writes import finish_merges, table_root
 
-    table = spark.read.parquet(current_snapshot(spark, path) or path)
+    root = table_root(spark, path)
+    finish_merges(spark, root)
+    table = spark.read.parquet(root)
     if "ingest_date" in table.columns:
         table = table.withColumn("ingest_date", F.col("ingest_date").cast("string"))
         if ingest_date:
