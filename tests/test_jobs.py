@@ -17,6 +17,7 @@ from threatloom.operators import anomaly, catalog, exploitation, writes
 from threatloom.operators.events import SUCCEEDED
 from threatloom.plans import jobs
 from threatloom.schemas import ALERT as ALERT_SCHEMA
+from threatloom.schemas import EVENT as EVENT_SCHEMA
 from threatloom.sources import files
 from threatloom.streaming import alerts as streams
 
@@ -216,10 +217,9 @@ def test_streams_keep_captures_in_any_order(spark, lake_dir, tmp_path):
         alerts = streams.with_event_time(streams.read_files(spark, f"{lake_dir.root}/in", ALERT_SCHEMA), "timestamp_utc")
         for start, sink in ((streams.counts_to, "w"), (streams.first_to, "d")):
             args = ("1 day", []) if sink == "w" else (["replay_run_id", "src_ip", "timestamp_utc"],)
-            more = {"scope": "replay_run_id"} if sink == "d" else {}
-            start(alerts, *args, path=str(tmp_path / sink), checkpoint=str(tmp_path / f"{sink}c"), available_now=True, **more).awaitTermination()
+            start(alerts, *args, path=str(tmp_path / sink), checkpoint=str(tmp_path / f"{sink}c"), available_now=True).awaitTermination()
         counts = streams.total_counts(spark, str(tmp_path / "w"), ["window_start"])
-        return rows(counts.select(F.date_format("window_start", "MM-dd"), "alerts")), streams.stored_once(spark, str(tmp_path / "d")).count()
+        return rows(counts.select(F.date_format("window_start", "MM-dd"), "alerts")), spark.read.parquet(str(tmp_path / "d")).count()
 
     lake_dir.put("in/1.json", "\n".join([*(line(17, n) for n in range(5)), "{broken", "not json"]))
     assert run() == ([("08-17", 5)], 5)
@@ -228,6 +228,47 @@ def test_streams_keep_captures_in_any_order(spark, lake_dir, tmp_path):
     assert run() == ([("01-01", 1), ("08-10", 7), ("08-17", 6)], 13)
 
 
+def test_stream_dedup_keeps_its_state_in_spark(spark, tmp_path):
+    """Repeats in one micro-batch, in a later one and with null keys; a micro-batch reads only what has arrived."""
+    schema = "k string, n int, own string"
+
+    def run(*new):
+        spark.createDataFrame(new, schema).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = streams.read_files(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema, "parquet")
+        query = streams.first_to(stream, ["k", "n"], str(tmp_path / "out"), str(tmp_path / "c"), available_now=True)
+        query.awaitTermination()
+        return query.recentProgress, rows(spark.read.parquet(str(tmp_path / "out")), "k", "n")
+
+    assert run(("a", 1, "x"), ("a", 1, "x"), (None, 2, "y"))[1] == [("a", 1), (None, 2)]
+    progress, stored = run(("a", 1, "z"), (None, 2, "y"), ("b", None, "y"))
+    assert stored == [("a", 1), ("b", None), (None, 2)]
+    assert sum(p["numInputRows"] for p in progress) == 3
+    state = [s for p in progress for s in p["stateOperators"]]
+    assert max(s["numRowsTotal"] for s in state) == 3
+    assert any("rocksdb" in m.lower() for s in state for m in s["customMetrics"])
+
+
+def test_the_lake_starts_its_streams(spark, lake, lake_dir):
+    alert = {"timestamp_utc": "2026-03-12T08:15:01Z", "src_ip": "1.1.1.1", "signature": "ET CVE-2021-0001", "severity": 1}
+    lake_dir.put(f"stream/ids_alerts/ingest_date={DATE}/hour=08/a.jsonl", json.dumps({**alert, "source": "synthetic"}))
+    lake_dir.put(f"stream/ids_alerts/source=suricata/ingest_date={DATE}/hour=08/b.jsonl", json.dumps({**alert, "source": "suricata"}) + "\n{broken")
+    stored = [{"replay_run_id": "r1", "flow_id": "1", "timestamp_utc": "t", "event_type": "flow", "src_ip": "2.2.2.2"}] * 2
+    spark.createDataFrame([tuple(r.get(f.name) for f in EVENT_SCHEMA) for r in stored], EVENT_SCHEMA).withColumn("ingest_date", F.lit(DATE)).write.partitionBy("ingest_date").parquet(lake.path("silver", "suricata_events"))
+    vulns = spark.createDataFrame([("CVE-2021-0001", 0.5, "HIGH")], "cve_id string, vuln_priority_score double, cvss_v3_severity string")
+    writes.write_snapshot(vulns, lake.path("exploitation", "vuln_enriched"))
+    for _ in range(2):  # a restart goes on from the checkpoint
+        for name in jobs.STREAMS:
+            jobs.start_stream(lake, name, available_now=True).awaitTermination()
+    enriched = spark.read.parquet(lake.path("exploitation", "warm_enriched"))
+    assert rows(enriched, "source", "cve_id", "vuln_priority_score", "ingest_date") == [
+        ("suricata", "CVE-2021-0001", 0.5, DATE), ("synthetic", "CVE-2021-0001", 0.5, DATE),
+    ]
+    assert spark.read.parquet(lake.path("hot", "suricata_events")).count() == 2
+    assert rows(spark.read.parquet(lake.path("warm", "suricata_events")), "src_ip", "ingest_date") == [("2.2.2.2", DATE)]
+    jobs.clean_warm(lake, lake.path("warm", "stream_aggregates"), "r1")
+    assert rows(lake.table("trusted", "warm_aggregates"), "signature", "alerts") == [("ET CVE-2021-0001", 2)]
+
+
 def test_forest_scores_agree_with_walking_the_trees(spark):
     rng = np.random.default_rng(3)
     points = np.vstack([rng.normal(100, 5, (400, 5)), [[9000.0, 9.0, 60000.0, 1.0, 5000.0]]])

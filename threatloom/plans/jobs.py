@@ -12,15 +12,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from threatloom.functions import scalars as S
 from threatloom.functions.addresses import seed_ip
 from threatloom.operators import anomaly, catalog, enrichment, events, exploitation, lineage, trusted, writes
 from threatloom.operators.shaping import flatten, keep_one, row_hash, stamp
 from threatloom.operators.upsert import merge_manifest, split_existing
-from threatloom.schemas import ARTIFACT_KEYS
+from threatloom.schemas import ALERT, ARTIFACT_KEYS, EVENT
 from threatloom.sources import feeds, files, lines
-from threatloom.streaming.alerts import total_counts
+from threatloom.streaming import alerts as streams
 
 # Natural keys of the feed tables and where their landings lie.
 FEED_KEYS = {
@@ -293,7 +294,7 @@ def clean_warm(lake: Lake, state_path: str, run_id: str) -> None:
     """Clean the streamed window counts into the trusted zone."""
     job = lineage.Job(lake.spark, run_id, "trusted_zone", "warm_aggregates", "clean_warm")
     key = ["window_start", "signature"]
-    split = trusted.clean_warm_aggregates(total_counts(lake.spark, state_path, key), key, ["alerts"], key)
+    split = trusted.clean_warm_aggregates(streams.total_counts(lake.spark, state_path, key), key, ["alerts"], key)
     job.told(read=split.read, rejected=split.refused)
     target = lake.path("trusted", "warm_aggregates")
     writes.write_snapshot(job.count("written", split.clean), target)
@@ -398,3 +399,59 @@ def build_gold(lake: Lake, name: str, run_id: str) -> int:
         writes.write_snapshot(rows, target)
     job.finish([lake.path("trusted")], target, lake.path("exploitation", "lineage"))
     return job.rows("written")
+
+
+# -- streams ----------------------------------------------------------------------------------------
+
+# Columns that tell a repeat of an event inside one replay run.
+EVENT_IDENTITY = ["replay_run_id", "flow_id", "timestamp_utc", "event_type"]
+
+
+def alert_stream(lake: Lake, servers: str | None = None) -> DataFrame:
+    """Alerts of all producers: the Kafka topic where servers are named, else the landed alert logs of both layouts."""
+    if servers:
+        return streams.read_topic(lake.spark, servers, events.ALERTS_TOPIC)
+    return streams.read_files(lake.spark, lake.path("stream", "ids_alerts"), ALERT)
+
+
+def event_stream(lake: Lake, servers: str | None = None) -> DataFrame:
+    """Normalized events: the Kafka topic where servers are named, else the stored event table as it grows."""
+    if servers:
+        return streams.read_topic(lake.spark, servers, events.EVENTS_TOPIC, EVENT)
+    return streams.read_files(lake.spark, lake.path("silver", "suricata_events"), EVENT, "parquet")
+
+
+def _enrich(lake: Lake, servers: str | None, **run) -> StreamingQuery:
+    vulns = lake.table("exploitation", "vuln_enriched")
+    return streams.append_to(streams.warm_enrichment(alert_stream(lake, servers), vulns), **run)
+
+
+def _count(lake: Lake, servers: str | None, **run) -> StreamingQuery:
+    timed = streams.with_event_time(alert_stream(lake, servers), "timestamp_utc")
+    return streams.counts_to(timed, "1 minute", ["signature"], **run)
+
+
+def _forward(lake: Lake, servers: str | None, **run) -> StreamingQuery:
+    return streams.append_to(streams.pass_through(event_stream(lake, servers), events.EVENTS_TOPIC), **run)
+
+
+def _once(lake: Lake, servers: str | None, **run) -> StreamingQuery:
+    return streams.first_to(event_stream(lake, servers), EVENT_IDENTITY, **run)
+
+
+# Name of each stream, how it is started, and where it writes.
+STREAMS: dict[str, tuple[Callable[..., StreamingQuery], str]] = {
+    "warm_enriched": (_enrich, "exploitation/warm_enriched"),
+    "stream_aggregates": (_count, "warm/stream_aggregates"),
+    "hot_events": (_forward, "hot/suricata_events"),
+    "events_once": (_once, "warm/suricata_events"),
+}
+
+
+def start_stream(lake: Lake, name: str, servers: str | None = None, available_now: bool = False) -> StreamingQuery:
+    """Start one stream of the lake; its checkpoint lies in the lake, so a restart goes on where it stopped.
+
+    ``available_now`` works off what has arrived and ends, for schedules; otherwise a micro-batch runs every 10 seconds.
+    """
+    start, target = STREAMS[name]
+    return start(lake, servers, path=lake.path(target), checkpoint=lake.path("checkpoints", name), available_now=available_now)

@@ -18,10 +18,17 @@ def event_stream(t: Tables) -> DataFrame:
     return streams.read_files(t.spark, f"{t.folder}/events*.parquet", t.events.schema, "parquet")
 
 
-def _backwards(t: Tables, repeats: int = 1) -> DataFrame:
-    """The events landed in three files, the latest events first; each file is a micro-batch of its own.
+def _run(start, stream: DataFrame, folder: str) -> str:
+    sink = f"{folder}/sink"
+    start(stream, path=sink, checkpoint=f"{folder}/checkpoint", available_now=True).awaitTermination()
+    return sink
+
+
+def _run_backwards(t: Tables, deliveries: list[list[int]], shape, start) -> str:
+    """Events landed third by third, the latest first; after each delivery the stream goes on from its checkpoint.
 
-    ``ts`` is text, and unreadable in some rows; ``true_ts`` always has the time.
+    ``ts`` is text, and unreadable in some rows; ``true_ts`` always has the time. A delivery lands whole thirds of the
+    table, in as many files as Spark writes, and is one micro-batch.
     """
     folder = work_dir(t.spark, "landed")
     text = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
@@ -29,14 +36,12 @@ def _backwards(t: Tables, repeats: int = 1) -> DataFrame:
     rows = t.events.select(
         "event_id", "user_id", "event_type", F.when(F.col("event_id") % 100 != 7, text).otherwise("none").alias("ts"), text.alias("true_ts"), part.alias("part")
     )
-    for i in [*range(3)] * repeats:
-        rows.where(F.col("part") == i).drop("part").coalesce(1).write.mode("append").parquet(folder)
-    return streams.read_files(t.spark, folder, rows.drop("part").schema, "parquet", files_per_trigger=1)
-
-
-def _run(start, stream: DataFrame, folder: str) -> str:
-    sink = f"{folder}/sink"
-    start(stream, path=sink, checkpoint=f"{folder}/checkpoint", available_now=True).awaitTermination()
+    sink = ""
+    for parts in deliveries:
+        for i in parts:
+            rows.where(F.col("part") == i).drop("part").write.mode("append").parquet(f"{folder}/events")
+        stream = streams.read_files(t.spark, f"{folder}/events", rows.drop("part").schema, "parquet")
+        sink = _run(start, shape(stream), folder)
     return sink
 
 
@@ -67,8 +72,10 @@ SELECT CASE WHEN event_id % 100 = 7 THEN '1970-01-01 00' ELSE strftime(date_trun
 """)
 def q_stream_window(t: Tables) -> DataFrame:
     """Alerts per hour and signature, counted continuously, the latest first and some without a readable time."""
-    alerts = streams.with_event_time(_backwards(t).withColumnRenamed("event_type", "signature"), "ts")
-    sink = _run(partial(streams.counts_to, width="1 hour", dimensions=["signature"]), alerts, work_dir(t.spark, "windows"))
+    count = partial(streams.counts_to, width="1 hour", dimensions=["signature"])
+    sink = _run_backwards(
+        t, [[0], [1], [2]], lambda s: streams.with_event_time(s.withColumnRenamed("event_type", "signature"), "ts"), count
+    )
     rows = streams.total_counts(t.spark, sink, ["window_start", "signature"])
     return rows.select(F.date_format("window_start", "yyyy-MM-dd HH").alias("window_start"), "signature", "alerts")
 
@@ -77,11 +84,10 @@ def q_stream_window(t: Tables) -> DataFrame:
 SELECT DISTINCT user_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS timestamp_utc FROM events
 """)
 def q_stream_dedup(t: Tables) -> DataFrame:
-    """Every event delivered in two micro-batches, late ones last, kept once."""
+    """Every event delivered twice, in one micro-batch or in two, late ones last, kept once."""
     keys = ["user_id", "event_type", "timestamp_utc"]
-    stamped = _backwards(t, repeats=2).select("user_id", "event_type", F.col("true_ts").alias("timestamp_utc"))
-    sink = _run(partial(streams.first_to, keys=keys, scope="user_id"), stamped, work_dir(t.spark, "dedup"))
-    return streams.stored_once(t.spark, sink)
+    shape = lambda s: s.select("user_id", "event_type", F.col("true_ts").alias("timestamp_utc"))
+    return t.spark.read.parquet(_run_backwards(t, [[0], [1, 1], [2, 0, 2]], shape, partial(streams.first_to, keys=keys)))
 
 
 @query("""

@@ -17,6 +17,9 @@ from threatloom.schemas import ALERT
 MICRO_BATCH = "10 seconds"
 BATCH = "batch="
 OFFSETS_PER_TRIGGER, FILES_PER_TRIGGER = 5_000_000, 1_000
+# How long after its arrival an event is remembered, and where: on the executors' disks, not in their heaps.
+REMEMBERED = "7 days"
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def read_topic(spark: SparkSession, servers: str, topic: str, schema: T.StructType = ALERT) -> DataFrame:
@@ -35,9 +38,16 @@ def read_topic(spark: SparkSession, servers: str, topic: str, schema: T.StructTy
 def read_files(
     spark: SparkSession, path: str, schema: T.StructType, file_format: str = "json", files_per_trigger: int = FILES_PER_TRIGGER
 ) -> DataFrame:
-    """The same records from landed files, as they arrive; broken lines are skipped."""
+    """The same records from files landed anywhere below ``path``, as they arrive; broken lines are skipped.
+
+    Producers use different folder layouts, so of folder names only a load date is taken, where the record has none.
+    """
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-    return told(reader.format(file_format).load(path))
+    rows = told(reader.option("recursiveFileLookup", True).format(file_format).load(path))
+    if "ingest_date" not in schema.names:
+        return rows
+    of_path = S.non_empty(S.path_part(F.col("_metadata.file_path"), "ingest_date"))
+    return rows.withColumn("ingest_date", F.coalesce("ingest_date", of_path))
 
 
 def with_event_time(stream: DataFrame, column: str) -> DataFrame:
@@ -77,54 +87,28 @@ def counts_to(
     return _start(stream.writeStream.foreachBatch(write), checkpoint, available_now).start()
 
 
-def _written(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
-    """Rows of the completely written micro-batches; they are written one after another."""
+def total_counts(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """Counts per window and dimension over all completely written micro-batches of ``counts_to``."""
     newest = max((int(name.removeprefix(BATCH)) for name in complete_folders(spark, path, BATCH)), default=-1)
-    if before is not None:
-        newest = min(newest, before - 1)
     if newest < 0:
-        return None
-    rows = spark.read.option("basePath", path).parquet(f"{path}/{BATCH}*")
-    return rows.where(F.col("batch") <= newest).drop("batch")
-
-
-def total_counts(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Counts per window and dimension over all micro-batches written by ``counts_to``."""
-    rows = _written(spark, path)
-    if rows is None:
         raise ValueError(f"no counts under {path}")
+    rows = spark.read.option("basePath", path).parquet(f"{path}/{BATCH}*").where(F.col("batch") <= newest)
     return rows.groupBy(*keys).agg(F.sum("alerts").alias("alerts"))
 
 
 def first_to(
-    stream: DataFrame, keys: list[str], path: str, checkpoint: str, scope: str | None = None, available_now: bool = False
+    stream: DataFrame, keys: list[str], path: str, checkpoint: str, within: str = REMEMBERED, available_now: bool = False
 ) -> StreamingQuery:
-    """Write each event once, whenever its repeats arrive: the rows of a micro-batch whose keys are not stored yet.
+    """Append each event once: the first row per key that arrives, whatever its event time.
 
-    Earlier micro-batches are the state, so none is held in memory and none expires. ``scope`` names one of the keys,
-    such as the replay run, by which stored rows of other runs are left out of the comparison. A replayed micro-batch
-    is compared with those before it and overwrites its own folder. Null keys equal each other.
+    Spark's keyed state remembers the keys. It is bounded by arrival, not by event time: a key is forgotten ``within``
+    after its row arrived, so captures may be replayed in any order and no row is late. A repeat that arrives later
+    still is stored again; the trusted zone drops it (``dedup_events``). A micro-batch reads its own rows and the state,
+    never what was written before; state and rows are committed together. Null keys equal each other.
     """
-
-    def write(rows: DataFrame, batch: int) -> None:
-        fresh = rows.dropDuplicates(keys)
-        stored = _written(rows.sparkSession, path, batch)
-        if stored is not None:
-            if scope:
-                stored = stored.join(fresh.select(scope).distinct(), scope, "left_semi")
-            same = [fresh[k].eqNullSafe(stored[k]) for k in keys]
-            fresh = fresh.join(stored.select(*keys), same, "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{path}/{BATCH}{batch}")
-
-    return _start(stream.writeStream.foreachBatch(write), checkpoint, available_now).start()
-
-
-def stored_once(spark: SparkSession, path: str) -> DataFrame:
-    """Events written by ``first_to``."""
-    rows = _written(spark, path)
-    if rows is None:
-        raise ValueError(f"no events under {path}")
-    return rows
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    arriving = stream.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", within)
+    return append_to(arriving.dropDuplicatesWithinWatermark(keys).drop("_arrived"), path, checkpoint, available_now)
 
 
 def warm_enrichment(alerts: DataFrame, vulns: DataFrame) -> DataFrame:
