@@ -26,8 +26,20 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def terms(text: Column) -> Column:
-    """Runs of letters (A-Z as a-z) and characters beyond ASCII."""
-    return F.regexp_extract_all(F.translate(text, _UPPER, _LOWER), F.lit(TERM), F.lit(0))
+    """Runs of letters (A-Z as a-z) and characters beyond ASCII.
+
+    ``lower`` is quick but knows all of Unicode, so it serves plain ASCII only; ``translate`` goes letter by letter and
+    is kept for the terms that need it.
+    """
+
+    def plain(x: Column) -> Column:
+        return F.octet_length(x) == F.length(x)
+
+    def found(x: Column) -> Column:
+        return F.regexp_extract_all(x, F.lit(TERM), F.lit(0))
+
+    lowered = F.transform(found(text), lambda t: F.when(plain(t), F.lower(t)).otherwise(F.translate(t, _UPPER, _LOWER)))
+    return F.when(plain(text), found(F.lower(text))).otherwise(lowered)
 
 
 def _shares(count: Column, total: Column, terms_kept: Column) -> Column:
@@ -66,8 +78,10 @@ def count_terms(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> tuple[Da
     numbered = stage(spark.createDataFrame(list(enumerate(names)), "language int, lang string").coalesce(1), "divergence-languages")
     held = F.concat(terms(F.col("text")), F.array(F.lit(_ALWAYS)))
     path = work_dir(spark, "divergence-terms")
-    # Dealt into folders by language, so that each vectorizer reads its own documents only.
-    filled.join(numbered, "lang").select("language", "source", held.alias("held")).write.partitionBy("language").parquet(path)
+    # Dealt into folders by language, so that each vectorizer reads its own documents only. The texts are sorted for
+    # that, not their terms, which take more room.
+    dealt = filled.join(numbered, "lang").select("language", "source", "text").sortWithinPartitions("language")
+    dealt.select("language", "source", held.alias("held")).write.partitionBy("language").parquet(path)
     words, counts = work_dir(spark, "divergence-vocabulary"), work_dir(spark, "divergence-counts")
     for number, name in enumerate(names):
         own = spark.read.schema("source string, held array<string>").parquet(f"{path}/language={number}")
