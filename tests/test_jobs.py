@@ -59,8 +59,8 @@ def test_whole_lake(spark, lake, lake_dir):
         assert jobs.load_feed(lake, feed) == size  # a rerun merges onto itself
         assert lake.table("silver", feed).count() == size
     assert rows(lake.table("silver", "shodan_seeded"), "ip_str", "payload") == [("10.0.0.1", '{"ports":[80]}')]
-    metrics = rows(jobs.feed_metrics(lake, "epss"), "artifact_name", "record_count", "ingest_date")
-    assert metrics == [("epss_page=000.json", 1, DATE), ("epss_page=001.json", 1, DATE)]
+    metrics = rows(jobs.feed_metrics(lake, "epss"), "artifact_name", "record_count", "ingest_date", "url")
+    assert metrics == [("epss_page=000.json", 1, DATE, None), ("epss_page=001.json", 1, DATE, None)]
     assert [r["cve"] for r in jobs.lookup_candidates(lake).collect()] == ["CVE-2021-0001"]
     assert [r["ip"] for r in jobs.seed_addresses(lake, ["::1", "10.0.0.1"]).collect()] == ["10.0.0.1", "::1"]
 
@@ -71,6 +71,7 @@ def test_whole_lake(spark, lake, lake_dir):
              "sha256": "5f1c6b5f0a8f8e0e"}
     lake_dir.put(f"metadata/manifests/ingest_date={DATE}/{jobs.ARTIFACT_MANIFEST}.jsonl", json.dumps(entry) + "\n")
     built, size = jobs.catalog_captures(lake)
+    assert rows(files.read_in_order(spark, jobs.list_captures(lake)), "position", "artifact_name") == [(0, "a.pcap")]
     assert size == 1 and rows(jobs.check_captures(lake), "integrity_fail") == [(True,)]
     flow = {**FLOW, "timestamp": "soon", "flow_id": 7}
     log = [ALERT, ALERT, flow, {"event_type": "flow", "timestamp": "t"}]
@@ -151,6 +152,49 @@ def test_lookup_report(spark, lake):
     assert rows(report, "cve_id", "found", "error") == [("CVE-2021-0001", True, None), ("CVE-2021-0002", False, "no response")]
 
 
+def test_lookup_failures_have_their_cause(spark, lake, lake_dir):
+    failed = [
+        {"cve_id": "CVE-2021-0002", "request_url": "https://l/CVE-2021-0002", "status_code": 404, "error": "HTTP Error 404: Not Found"},
+        {"cve_id": "CVE-2021-0003", "request_url": "u", "status_code": None, "error": "Invalid JSON response: x"},
+        {"cve_id": "CVE-2021-0004", "request_url": "u", "status_code": None, "error": "HTTP Error 503: Busy"},
+        {"cve_id": "CVE-2021-0001", "request_url": "u", "status_code": 500, "error": "first try"},
+        {"request_url": "u"}, 7,
+    ]
+    lake_dir.put(f"semi_structured/circl_vulnlookup/ingest_date={DATE}/circl_cve_details.jsonl.meta.json", json.dumps({"failed_requests": failed}, indent=1))
+    wanted = spark.createDataFrame([(f"CVE-2021-000{i}",) for i in range(1, 6)], "cve_id string")
+    report = jobs.lookup_report(lake, wanted, "circl_vulnlookup", "https://l")
+    assert rows(report, "cve_id", "found", "status_code", "error") == [
+        ("CVE-2021-0001", True, None, None), ("CVE-2021-0002", False, 404, "HTTP Error 404: Not Found"),
+        ("CVE-2021-0003", False, None, "Invalid JSON response: x"), ("CVE-2021-0004", False, 503, "HTTP Error 503: Busy"),
+        ("CVE-2021-0005", False, None, "no response"),
+    ]
+    assert jobs.load_feed(lake, "circl_vulnlookup") == 1
+
+
+def test_metrics_tell_what_the_sidecars_tell(spark, lake, lake_dir):
+    page = f"structured/epss/ingest_date={DATE}/epss_page=000.json"
+    sidecar = {"source_id": "epss", "source_url": "https://s", "request_url": "https://s?offset=0", "retrieved_at_utc": "t1", "relative_landing_path": page, "sha256": "other", "page_index": 0, "offset": 0, "results_per_page": 1, "total_results": 2, "record_count": 1}
+    lake_dir.put(f"{page}.meta.json", json.dumps(sidecar))
+    lake_dir.put(f"structured/epss/ingest_date={DATE}/epss_page=001.json.meta.json", json.dumps({"source_id": "epss", "source_url": "https://s", "page_index": 1}))
+    got = rows(jobs.feed_metrics(lake, "epss"), "relative_landing_path", "source", "url", "retrieved_at_utc", "page_index", "total_results", "record_count", "recorded_differently")
+    assert got == [
+        (page, "epss", "https://s?offset=0", "t1", 0, 2, 1, True),
+        (page.replace("000", "001"), "epss", "https://s", None, 1, None, 1, False),
+    ]
+    assert jobs.load_feed(lake, "epss") == 2  # a sidecar beside the pages is no page
+
+
+def test_a_list_landed_as_csv_is_measured_but_not_counted(spark, lake_dir):
+    lake = jobs.Lake(spark, lake_dir.root, DATE, "now")
+    lake_dir.put(f"structured/kev/ingest_date={DATE}/kev_latest.csv", "cveID,vendorProject\nCVE-1,x\n")
+    lake_dir.put(f"semi_structured/urlhaus/ingest_date={DATE}/urlhaus_recent.csv", URLHAUS)
+    assert jobs.load_feed(lake, "kev") == 0
+    assert rows(jobs.feed_metrics(lake, "kev"), "artifact_name", "record_count") == [("kev_latest.csv", None)]
+    assert rows(jobs.feed_metrics(lake, "urlhaus"), "artifact_name", "record_count") == [("urlhaus_recent.csv", 2)]
+    lake_dir.put(f"structured/kev/ingest_date={DATE}/kev_latest.json", '{"vulnerabilities": []}')
+    assert rows(jobs.feed_metrics(lake, "kev"), "artifact_name", "record_count") == [("kev_latest.csv", None), ("kev_latest.json", 0)]
+
+
 def test_workers_need_no_copy_of_the_package(tmp_path):
     """From another folder, with the package known to the driver only."""
     script = f"""

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from threatloom.operators import catalog, enrichment, events, exploitation, shaping, trusted, upsert, writes
-from threatloom.sources.files import read_table
+from threatloom.schemas import TRUSTED_COLUMNS
+from threatloom.sources.files import read_in_order, read_table
 
 
 def frame(spark, schema, *data):
@@ -546,7 +547,7 @@ def test_correlations_of_all_kinds(spark):
         spark, "n int, src_ip string, dst_ip string, event_payload_json string",
         *[(i, "10.0.0.1" if i == 0 else "9.9.9.9", "10.0.0.1" if i == 0 else "", json.dumps(p)) for i, p in enumerate(payloads)],
     )
-    found = exploitation.ioc_correlations(log, iocs)
+    found = exploitation.ioc_correlations(log, iocs, ["n"])
     assert rows(found, "n", "matched_side", "ioc_type", "matched_value", "sources", "malware") == [
         (0, "dst", "ip", "10.0.0.1", ["threatfox", "urlhaus"], ["Mal"]),
         (0, "src", "ip", "10.0.0.1", ["threatfox", "urlhaus"], ["Mal"]),
@@ -558,6 +559,47 @@ def test_correlations_of_all_kinds(spark):
     assert "NestedLoop" not in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_correlation_leaves_the_payload_behind(spark, tmp_path):
+    """Large sides on purpose: the offers are shuffled without the payload, and read it in one scan."""
+    schema = "n int, src_ip string, dst_ip string, event_payload_json string"
+    frame(spark, schema, (1, "a", "b", "{}"), (2, "c", "a", '{"tls":{"sni":"x"}}')).write.parquet(str(tmp_path / "log"))
+    log = spark.read.parquet(str(tmp_path / "log"))
+    offers = exploitation.offered_values(log, ["n"])
+    assert rows(offers) == [(1, "dst", "ip", "b"), (1, "src", "ip", "a"), (2, "dst", "ip", "a"), (2, "payload", "domain", "x"), (2, "src", "ip", "c")]
+    plan = offers.repartition("matched_value")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    exchanged = next(line for line in plan.splitlines() if "Exchange hashpartitioning" in line)
+    assert "payload" not in exchanged and offers.columns == ["n", "matched_side", "ioc_type", "matched_value"]
+
+
+def test_catalog_is_stored_in_order(spark, tmp_path):
+    schema = "source_id string, scenario_number bigint, artifact_name string, ingest_date string, sha256 string"
+    data = [("b", 1, "x", "2026-01-01", "h"), ("a", 2, "x", "2026-01-02", "h"), ("a", None, "z", "2026-01-01", "h"), ("a", 2, "x", "2026-01-01", "h"), ("a", 2, "b", "2026-01-03", "h")]
+    data += [("c", i % 7 or None, f"n{i % 13}", f"2026-02-{1 + i % 28:02d}", str(i)) for i in range(500)]
+    path = str(tmp_path / "t")
+    catalog.in_catalog_order(frame(spark, schema, *data)).write.parquet(path)
+    got = [tuple(r)[:5] for r in read_in_order(spark, path).orderBy("position").collect()]
+    key = lambda r: (r[0], -1 if r[1] is None else r[1], r[2], r[3], r[4])
+    assert got == sorted(data, key=key)
+    assert sorted(r["position"] for r in read_in_order(spark, path).collect()) == list(range(505))
+
+
+def test_declared_columns(spark):
+    raw = frame(
+        spark, "cveID string, vulnerabilityName string, dateAdded string, retrieved_at_utc string, surplus int, odd struct<a:int>",
+        ("CVE-1", "n", "2026-03-01", "1", 5, (1,)), ("CVE-2", None, "2026-03-01", "1", None, None),
+    )
+    split = trusted.clean(raw, "kev")
+    assert split.clean.columns == [f.name for f in TRUSTED_COLUMNS["kev"]] + ["_extra"]
+    assert [(f.name, f.dataType) for f in split.clean.schema][:-1] == [(f.name, f.dataType) for f in TRUSTED_COLUMNS["kev"]]
+    got = split.clean.first()
+    assert (got["cve_id"], str(got["date_added"]), got["notes"], got["cwes"], json.loads(got["_extra"])) == ("CVE-1", "2026-03-01", None, None, {"odd": {"a": 1}, "surplus": 5})
+    assert rows(split.rejected, "cve_id", "surplus") == [("CVE-2", None)]
+    for table, columns in TRUSTED_COLUMNS.items():
+        bare = frame(spark, "cve string, date string, cve_id string, id string, vulnerability_name string, retrieved_at_utc string, url string", ("c", "d", "i", "n", "v", "t", "http://u"))
+        assert trusted.clean(bare, table).clean.select(*[f.name for f in columns]).count() == 1
+
+
 def test_rolling_window_and_risk(spark):
     kev = frame(spark, "cve_id string, date_added string", ("A", "2026-03-06"), ("B", "2026-03-12"), ("C", "2026-03-05"), ("D", "2026-03-13"))
     kev = kev.withColumn("date_added", F.col("date_added").cast("date"))

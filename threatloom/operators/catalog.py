@@ -118,6 +118,12 @@ def catalog_order():
     return [F.col("source_id"), scenario, F.col("artifact_name"), F.col("ingest_date")]
 
 
+def in_catalog_order(catalog: DataFrame) -> DataFrame:
+    """The catalog dealt and sorted by source, scenario (none first), name and date: written, its files are in order."""
+    order = [*catalog_order(), F.col("sha256")]
+    return catalog.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def replay_candidates(
     catalog: DataFrame, max_artifacts: int, allow_decompress: bool, max_bytes: int | None = None
 ) -> DataFrame:

@@ -45,10 +45,12 @@ def distinct_in_order(parts: DataFrame) -> DataFrame:
 def lookup_results(candidates: DataFrame, responses: DataFrame, key: str, base_url: str) -> DataFrame:
     """One row per candidate: found with its payload, or failed with request, HTTP status and error.
 
-    ``responses`` are landed answers, unique per key, with a JSON text ``payload`` or an ``error`` message;
-    a candidate without any answer has failed too.
+    ``responses`` are landed answers, unique per key, with a JSON text ``payload`` or an ``error`` message, and perhaps a
+    ``status_code``, else taken from the message; a candidate without any answer has failed too.
     """
-    joined = candidates.join(responses.select(key, "payload", "error"), key, "left")
+    known = F.col("status_code") if "status_code" in responses.columns else F.lit(None).cast("int")
+    answers = responses.select(key, "payload", "error", known.cast("int").alias("_status"))
+    joined = candidates.join(answers, key, "left")
     valid = F.try_parse_json("payload").isNotNull()
     error = F.coalesce(
         F.col("error"), F.when(F.col("payload").isNull(), F.lit("no response")), F.lit("Invalid JSON response")
@@ -58,7 +60,7 @@ def lookup_results(candidates: DataFrame, responses: DataFrame, key: str, base_u
         F.concat(F.lit(base_url + "/"), F.col(key)).alias("request_url"),
         F.coalesce(valid, F.lit(False)).alias("found"),
         F.when(valid, F.col("payload")).alias("payload"),
-        F.when(~valid, S.http_status(error)).alias("status_code"),
+        F.when(F.coalesce(~valid, F.lit(True)), F.coalesce("_status", S.http_status(error))).alias("status_code"),
         F.when(~valid, error).alias("error"),
     )
 

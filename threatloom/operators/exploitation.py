@@ -158,34 +158,43 @@ def correlate_ip(events: DataFrame, iocs: DataFrame, src: str = "src_ip", dst: s
     return offered.join(addresses, "matched_value")
 
 
-def observed_names(events: DataFrame, payload: str = "event_payload_json") -> DataFrame:
-    """Hosts and URLs an event mentions, as ``(…, ioc_type, matched_value)``."""
-    doc = F.col("_doc")
+def _offers(src: str, dst: str, doc: Column) -> Column:
+    """What an event can be matched by: its two addresses, and the hosts and URLs its payload mentions."""
     host, target = S.json_text(doc, "$.http.hostname"), S.json_text(doc, "$.http.url")
     url = F.when(target.rlike("^https?://"), target).when(
         host.isNotNull() & target.isNotNull(), F.concat(F.lit("http://"), host, target)
     )
     domains = [host, S.json_text(doc, "$.dns.rrname"), S.json_text(doc, "$.tls.sni")]
-    names = F.array(
-        F.struct(F.lit("url").alias("t"), url.alias("v")),
-        *[F.struct(F.lit("domain").alias("t"), F.lower(d).alias("v")) for d in domains],
+    offered = [("src", "ip", F.col(src)), ("dst", "ip", F.col(dst)), ("payload", "url", url)]
+    offered += [("payload", "domain", F.lower(d)) for d in domains]
+    return F.array_distinct(
+        F.array(*[F.struct(F.lit(side).alias("side"), F.lit(kind).alias("t"), v.alias("v")) for side, kind, v in offered])
     )
-    opened = S.parsed(events.withColumn("_text", F.col(payload)), "_text", "_doc")
-    seen = opened.withColumn("_n", F.explode(F.array_distinct(names))).where(F.col("_n.v").isNotNull())
-    return seen.select(*events.columns, F.col("_n.t").alias("ioc_type"), F.col("_n.v").alias("matched_value"))
 
 
-def correlate_names(observed: DataFrame, iocs: DataFrame) -> DataFrame:
-    """Observed hosts and URLs equal to a domain or URL indicator."""
-    names = iocs.where(F.col("ioc_type").isin("domain", "url")).withColumnRenamed("value", "matched_value")
-    return observed.join(names, ["ioc_type", "matched_value"])
+def offered_values(
+    events: DataFrame, key: list[str], src: str = "src_ip", dst: str = "dst_ip", payload: str = "event_payload_json"
+) -> DataFrame:
+    """``(*key, matched_side, ioc_type, matched_value)``: all that events offer, in one scan and one parse of the log.
+
+    Only the key and the offered text leave the scan; the payload stays behind.
+    """
+    narrow = events.select(*key, F.col(src).alias("_src"), F.col(dst).alias("_dst"), F.col(payload).alias("_text"))
+    opened = S.parsed(narrow, "_text", "_doc")
+    each = opened.select(*key, F.explode(_offers("_src", "_dst", F.col("_doc"))).alias("o")).where(F.col("o.v").isNotNull())
+    return each.select(*key, F.col("o.side").alias("matched_side"), F.col("o.t").alias("ioc_type"), F.col("o.v").alias("matched_value"))
 
 
-def ioc_correlations(events: DataFrame, iocs: DataFrame) -> DataFrame:
-    """All matches of network events with indicators: by address on either side, by host, by URL."""
-    unique = one_per_indicator(iocs)
-    by_name = correlate_names(observed_names(events), unique).withColumn("matched_side", F.lit("payload"))
-    return correlate_ip(events, unique).unionByName(by_name)
+def ioc_correlations(events: DataFrame, iocs: DataFrame, key: list[str]) -> DataFrame:
+    """All matches of network events with indicators: by address on either side, by host, by URL.
+
+    ``key`` names the columns that tell the rows of the log apart. Offers are matched without the rows they come from;
+    the rows are then fetched by key for the matches only, so a log of large payloads is not shuffled to be searched.
+    A value that very many events offer meets one indicator row, so its partition can be split.
+    """
+    unique = one_per_indicator(iocs).withColumnRenamed("value", "matched_value")
+    matched = offered_values(events, key).join(unique, ["ioc_type", "matched_value"])
+    return events.join(matched, key)
 
 
 def resolve_entities(mentions: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from threatloom.functions import scalars as S
 from threatloom.operators.shaping import keep_one, row_hash
 from threatloom.operators.writes import Split, split_rejects
-from threatloom.schemas import TRUSTED
+from threatloom.schemas import TRUSTED, TRUSTED_COLUMNS
 
 
 def snake_case(name: str) -> str:
@@ -33,6 +33,15 @@ def align(df: DataFrame, schema: T.StructType | None = None) -> DataFrame:
     )
 
 
+def declared(df: DataFrame, columns: list[T.StructField]) -> DataFrame:
+    """Exactly the declared columns, and ``_extra``: absent ones are typed nulls, unknown ones are kept aside as JSON."""
+    names = {f.name for f in columns}
+    unknown = sorted(c for c in df.columns if c not in names)
+    extra = F.to_json(F.struct(*[F.col(f"`{c}`") for c in unknown])) if unknown else F.lit(None).cast("string")
+    kept = align(df.withColumn("_extra", F.nullif(extra, F.lit("{}"))), T.StructType([*columns, T.StructField("_extra", T.StringType())]))
+    return kept
+
+
 def cast_columns(df: DataFrame, casts: dict[str, str]) -> DataFrame:
     """Text to dates and numbers; text that does not fit becomes null."""
     return df.withColumns({c: S.strip(F.col(c).cast("string")).try_cast(t) for c, t in casts.items() if c in df.columns})
@@ -62,16 +71,20 @@ def dedup(df: DataFrame, keys: list[str], recency: str = "retrieved_at_utc") ->
 
 
 def clean(df: DataFrame, table: str) -> Split:
-    """Clean and rejected rows of one feed table by its declared key, mandatory fields and casts; one pass over ``df``."""
+    """Clean and rejected rows of one feed table by its declared columns, key, mandatory fields and casts.
+
+    One pass over ``df``. Clean rows have the declared columns whatever the feed has; rejected ones stay as they came.
+    """
     rules = TRUSTED[table]
     split = split_rejects(align(df), rules["mandatory"])
-    good = split.clean
-    good = cast_columns(dedup(good, rules["key"]), rules["casts"])
+    columns = TRUSTED_COLUMNS[table]
+    good = cast_columns(dedup(split.clean, rules["key"]), rules["casts"])
+    good = declared(good, [f for f in columns if f.name != "_quality_warn"])
     if table == "epss":
         good = warn_outside(good, "epss", 0.0, 1.0)
     if table == "urlhaus":
         good = warn_bad_url(good)
-    return split._replace(clean=good)
+    return split._replace(clean=good.select(*[f.name for f in columns], "_extra"))
 
 
 def flatten_cvss(records: DataFrame) -> DataFrame:

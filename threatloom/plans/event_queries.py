@@ -385,7 +385,7 @@ def q_ioc_host(t: Tables) -> DataFrame:
         F.concat(F.lit("family-"), F.right(host, F.lit(3))).alias("malware_printable"),
     )
     urlhaus = t.pages.where(F.col("url").startswith("http:")).select("url")
-    matched = exploitation.ioc_correlations(requests, exploitation.indicators(threatfox, urlhaus))
+    matched = exploitation.ioc_correlations(requests, exploitation.indicators(threatfox, urlhaus), ["page_id"])
     return matched.select(
         "page_id", "ioc_type", "matched_value", F.array_join("sources", ",").alias("sources"),
         F.array_join("malware", ",").alias("malware"),

@@ -19,7 +19,7 @@ from threatloom.functions.addresses import seed_ip
 from threatloom.operators import anomaly, catalog, enrichment, events, exploitation, lineage, trusted, writes
 from threatloom.operators.shaping import flatten, keep_one, row_hash, stamp
 from threatloom.operators.upsert import merge_manifest, split_existing
-from threatloom.schemas import ALERT, ARTIFACT_KEYS, EVENT
+from threatloom.schemas import ALERT, ARTIFACT_KEYS, EVENT, KEV_FIELDS
 from threatloom.sources import feeds, files, lines
 from threatloom.streaming import alerts as streams
 
@@ -87,7 +87,9 @@ def feed_records(lake: Lake, feed: str) -> DataFrame:
         named = F.col(key[0]).isNotNull()
         return keep_one(flat.where(named), key, F.desc(row_hash(flat))).unionByName(flat.where(~named))
     if feed == "kev":
-        rows = feeds.read_kev(spark, path)
+        # A day may have been landed as CSV only, which has no rows to store.
+        kev = ", ".join([*[f"{c} string" for c in KEV_FIELDS], "cwes array<string>, raw_json string, file_path string, page bigint, pos int"])
+        rows = lines.if_landed(spark, lambda: feeds.read_kev(spark, path), kev)
     elif feed == "nvd":
         rows = feeds.read_nvd(spark, path)
         rows = rows.withColumn("metrics_json", F.to_json(F.try_variant_get("cve", "$.metrics", "variant"))).drop("cve")
@@ -113,16 +115,39 @@ def load_feed(lake: Lake, feed: str) -> int:
 
 
 def feed_metrics(lake: Lake, feed: str) -> DataFrame:
-    """Size, hash and record count of the landed files of one feed."""
-    path = lake.landed(feed)
+    """Measured size and hash of each landed file of one feed, its record count, and what its sidecar tells.
+
+    A vulnerability list landed as CSV is measured, but its rows are not read: its count is null.
+    """
+    spark, path = lake.spark, lake.landed(feed)
+    folder = path.rsplit("/", 1)[0]
+    pattern = "*.{json,csv}" if feed == "kev" else path.rsplit("/", 1)[1]
     if feed == "urlhaus":
-        counted = lines.read_lines(lake.spark, path).where(~F.col("line").startswith("#"))
+        counted = feeds.csv_rows(spark, path)
     elif feed in ("circl_vulnlookup", "shodan_seeded"):
-        counted = lines.read_lines(lake.spark, path)
+        counted = lines.read_lines(spark, path)
     else:
         field = "vulnerabilities" if feed in ("kev", "nvd") else "data"
-        counted = feeds.explode_items(feeds.read_pages(lake.spark, path, field), field)
-    return lineage.ingest_metrics(files.read_artifacts(lake.spark, path), counted)
+        counted = lines.if_landed(
+            spark, lambda: feeds.explode_items(feeds.read_pages(spark, path, field), field), "file_path string"
+        )
+    found = files.read_artifacts(spark, folder, pattern).where(~F.col("path").endswith(files.SIDECAR_SUFFIX))
+    found = found.withColumn("relative_landing_path", files.relative_path(F.col("path"), lake.root))
+    # Told by the sidecar: relative_landing_path; where it tells none, the sidecar's own place.
+    sidecars = landed_sidecars(lake, folder)
+    measured = lineage.ingest_metrics(found, counted, F.col("artifact_name").endswith(".csv") if feed == "kev" else None)
+    counts = measured.select("relative_landing_path", "record_count")
+    return lineage.sidecar_metrics(measured, sidecars).drop("record_count").join(counts, "relative_landing_path")
+
+
+def landed_sidecars(lake: Lake, folder: str) -> DataFrame:
+    """Sidecars beside the landed files of a folder, if there are any."""
+    schema = ", ".join(
+        [*[f"{c} string" for c in files.SIDECAR_TEXTS], *[f"{c} bigint" for c in files.SIDECAR_NUMBERS], "sidecar variant", "sidecar_path string"]
+    )
+    rows = lines.if_landed(lake.spark, lambda: files.read_sidecars(lake.spark, f"{folder}/*{files.SIDECAR_SUFFIX}"), schema)
+    beside = files.relative_path(F.regexp_replace("sidecar_path", r"\.meta\.json$", ""), lake.root)
+    return rows.withColumn("relative_landing_path", F.coalesce(S.non_empty(F.col("relative_landing_path")), beside))
 
 
 def lookup_candidates(lake: Lake, n: int = 200) -> DataFrame:
@@ -133,26 +158,42 @@ def lookup_candidates(lake: Lake, n: int = 200) -> DataFrame:
     return top
 
 
-def seed_addresses(lake: Lake, configured: list[str], n: int = 50) -> DataFrame:
-    """The addresses to look up next: those of the indicator feed, then the configured ones."""
+def seeds_of(lake: Lake, items: DataFrame, configured: list[str], n: int) -> DataFrame:
+    """Addresses in scanned indicator elements, in landing order, then the configured ones."""
     from threatloom.functions.addresses import normalize_ip
 
-    items = feeds.read_threatfox(lake.spark, lake.landed("threatfox")).where(S.is_object(F.col("item")))
     order = F.struct(F.col("page").alias("a"), F.col("pos").cast("bigint").alias("b"))
-    feed = items.select(seed_ip(F.col("item")).alias("ip"), order.alias("ord"))
+    feed = items.where(S.is_object(F.col("item"))).select(seed_ip(F.col("item")).alias("ip"), order.alias("ord"))
     listed = lake.spark.createDataFrame(
         [(text, 0, i) for i, text in enumerate(configured)], "text string, a bigint, b bigint"
     ).select(normalize_ip(F.col("text")).alias("ip"), F.struct("a", "b").alias("ord"))
     return enrichment.seeds(feed, listed, n)
 
 
+def seed_addresses(lake: Lake, configured: list[str], n: int = 50) -> DataFrame:
+    """The addresses to look up next: those of the landed indicator feed, then the configured ones.
+
+    A refused query stops the job before any address is used.
+    """
+    return seeds_of(lake, feeds.read_threatfox(lake.spark, lake.landed("threatfox")), configured, n)
+
+
 def lookup_report(lake: Lake, candidates: DataFrame, feed: str, base_url: str) -> DataFrame:
-    """One row per wanted CVE or host: its landed answer, or why there is none."""
-    key = "cve_id" if feed == "circl_vulnlookup" else "ip"
-    answers = feeds.read_enrichment(lake.spark, lake.landed(feed), key).select(
-        key, F.to_json("payload").alias("payload"), F.lit(None).cast("string").alias("error")
+    """One row per wanted CVE or host: its landed answer, or why there is none.
+
+    Failures and their causes are those that the sidecar of the answers lists; an answer wins over a failure.
+    """
+    spark, key = lake.spark, "cve_id" if feed == "circl_vulnlookup" else "ip"
+    answers = feeds.read_enrichment(spark, lake.landed(feed), key).select(
+        key, F.to_json("payload").alias("payload"), F.lit(None).cast("string").alias("error"), F.lit(None).cast("int").alias("status_code")
     )
-    return enrichment.lookup_results(candidates, keep_one(answers, [key], F.col("payload")), key, base_url)
+    folder = lake.landed(feed).rsplit("/", 1)[0]
+    failures = lines.if_landed(
+        spark, lambda: feeds.read_failures(spark, f"{folder}/*{files.SIDECAR_SUFFIX}", key),
+        f"{key} string, request_url string, status_code int, error string",
+    ).select(key, F.lit(None).cast("string").alias("payload"), "error", "status_code")
+    both = answers.unionByName(failures)
+    return enrichment.lookup_results(candidates, keep_one(both, [key], F.col("payload").asc_nulls_last(), F.col("error")), key, base_url)
 
 
 def current_manifest(lake: Lake, source_id: str, ingest_date: str | None = None) -> DataFrame:
@@ -209,6 +250,11 @@ def catalog_captures(lake: Lake, ingest_date: str | None = None) -> tuple[DataFr
     return rows, size
 
 
+def list_captures(lake: Lake) -> str:
+    """Store the whole capture catalog in catalog order, for listings; returns the folder of the newest one."""
+    return writes.write_snapshot(catalog.in_catalog_order(lake.table("silver", "pcap_artifacts")), lake.path("trusted", "pcap_catalog"))
+
+
 def record_replays(
     lake: Lake,
     attempts: DataFrame,
@@ -347,7 +393,9 @@ def build_network_events(lake: Lake) -> DataFrame:
 
 def build_correlations(lake: Lake) -> DataFrame:
     iocs = exploitation.indicators(lake.table("trusted", "threatfox"), lake.table("trusted", "urlhaus"))
-    return exploitation.ioc_correlations(lake.table("exploitation", "network_events", lake.ingest_date), iocs)
+    log = lake.table("exploitation", "network_events", lake.ingest_date)
+    keyed = log.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    return exploitation.ioc_correlations(keyed, iocs, ["_file", "_row"]).drop("_file", "_row")
 
 
 def build_flow_features(lake: Lake) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from threatloom.functions import scalars as S
 from threatloom.operators import catalog, enrichment, lineage, shaping, upsert, writes
 from threatloom.plans.registry import Tables, query
 from threatloom.session import work_dir
-from threatloom.sources.files import read_artifacts, read_table
+from threatloom.sources.files import profile_rules, read_artifacts, read_selection_rules, read_table
 from threatloom.sources.lines import read_manifest
 
 IPV4_TOKEN = r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+"
@@ -345,7 +347,12 @@ def q_rule_selection(t: Tables) -> DataFrame:
         F.replace("p_brand", F.lit("Brand#")).cast("bigint").alias("scenario_number"),
         F.concat("p_name", F.lit(".pcap")).alias("artifact_name"),
     )
-    selected = catalog.select_artifacts(files, RULES, ["scenario_number"])
+    listed = ", ".join(json.dumps({"label": label, "pattern": pattern}) for label, pattern in RULES)
+    config = f'{{"profiles": {{"other": {{"mode": "all", "selection_rules": []}}, "main": {{"mode": "all", "selection_rules": [{listed}]}}}}}}'
+    folder = work_dir(t.spark, "rules")
+    t.region.limit(1).select(F.lit(config).alias("value")).write.text(folder)
+    rules = profile_rules(read_selection_rules(t.spark, folder), "main")
+    selected = catalog.select_artifacts(files, rules, ["scenario_number"])
     modes = [
         catalog.apply_mode(selected, mode).select(F.lit(mode).alias("mode"), "*") for mode in ("all", "first_successful")
     ]

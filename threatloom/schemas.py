@@ -100,6 +100,29 @@ LINEAGE = T.StructType(
     ]
 )
 
+_LOADED = ["ingest_date", "retrieved_at_utc"]
+_TEXTS = T.ArrayType(T.StringType())
+
+# Declared columns of each trusted table; what a feed has besides goes into ``_extra`` as JSON.
+TRUSTED_COLUMNS = {
+    "kev": _table(
+        ["cve_id", "vendor_project", "product", "vulnerability_name", "short_description", "required_action",
+         "known_ransomware_campaign_use", "notes", "raw_json", *_LOADED],
+        date_added=T.DateType(), due_date=T.DateType(), cwes=_TEXTS,
+    ),
+    "epss": _table(["cve", "date", *_LOADED], epss=_DOUBLE, percentile=_DOUBLE, _quality_warn=_BOOL),
+    "nvd": _table(
+        ["cve_id", "published", "last_modified", "vuln_status", "description_en", "cvss_v3_vector", "cvss_v3_severity", *_LOADED],
+        cvss_v3_score=_DOUBLE,
+    ),
+    "circl_vulnlookup": _table(["cve_id", "source_id", "request_url", *_LOADED], cwe_ids=_TEXTS, reference_count=_LONG),
+    "urlhaus": _table(
+        ["id", "dateadded", "url", "url_status", "last_online", "threat", "tags", "urlhaus_link", "reporter", *_LOADED],
+        _quality_warn=_BOOL,
+    ),
+    "threatfox": _table([*THREATFOX_FIELDS, "raw_json", *_LOADED]),
+}
+
 # Natural key, mandatory fields and casts of each trusted table.
 TRUSTED = {
     "kev": {

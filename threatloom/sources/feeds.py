@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from threatloom.functions import scalars as S
 from threatloom.schemas import EPSS_FIELDS, KEV_FIELDS, THREATFOX_FIELDS
+from threatloom.sources.files import read_sidecars
 from threatloom.sources.lines import objects_only, read_lines
 
 # Words in a query status that mean the feed refused us, and the page number in paths.
@@ -156,10 +157,14 @@ def read_commented_csv(spark: SparkSession, path) -> DataFrame:
     return data.select(*placed, "file_path", "seq")
 
 
+def csv_rows(spark: SparkSession, path) -> DataFrame:
+    """Non-blank, non-comment lines."""
+    return read_lines(spark, path).where(~F.col("line").startswith("#"))
+
+
 def csv_row_count(spark: SparkSession, path) -> DataFrame:
     """Non-blank, non-comment lines per file."""
-    lines = read_lines(spark, path).where(~F.col("line").startswith("#"))
-    return lines.groupBy("file_path").agg(F.count("*").alias("record_count"))
+    return csv_rows(spark, path).groupBy("file_path").agg(F.count("*").alias("record_count"))
 
 
 def read_enrichment(spark: SparkSession, path, key: str) -> DataFrame:
@@ -173,3 +178,16 @@ def read_enrichment(spark: SparkSession, path, key: str) -> DataFrame:
         S.json_text(F.col("doc"), "$.retrieved_at_utc").alias("retrieved_at_utc"),
         F.try_variant_get("doc", "$.payload", "variant").alias("payload"),
     )
+
+
+def read_failures(spark: SparkSession, path, key: str) -> DataFrame:
+    """``(key, request_url, status_code, error)`` of the failed requests that the sidecars of lookups list."""
+    failed = S.json_items(F.col("sidecar"), "$.failed_requests")
+    each = read_sidecars(spark, path).select(F.explode(failed).alias("f"))
+    doc = F.col("f")
+    return each.select(
+        S.json_text(doc, f"$.{key}").alias(key),
+        S.json_text(doc, "$.request_url").alias("request_url"),
+        S.safe_int(doc, "$.status_code").cast("int").alias("status_code"),
+        S.json_text(doc, "$.error").alias("error"),
+    ).where(F.col(key).isNotNull())

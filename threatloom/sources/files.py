@@ -6,7 +6,7 @@ import hashlib
 import re
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from threatloom.functions import scalars as S
@@ -87,6 +87,43 @@ def profile_rules(rules: DataFrame, profile: str) -> list[tuple[str, str]]:
     return [(r["label"], r["pattern"]) for r in rows]
 
 
+def read_in_order(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of a Parquet folder with ``position``, their place in the order in which they were written, from 0.
+
+    The files of one write are numbered in order; places inside a file come from its row index, so no row is sorted.
+    """
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    sizes = rows.groupBy("_file").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))  # one row per file
+    return rows.join(starts, "_file").withColumn("position", F.col("_start") + F.col("_row")).drop("_file", "_row", "_start")
+
+
+# What a sidecar tells of its artifact, as text and as numbers.
+SIDECAR_TEXTS = ["source_id", "source_url", "request_url", "retrieved_at_utc", "landing_path", "relative_landing_path", "sha256"]
+SIDECAR_NUMBERS = ["size_bytes", "page_index", "offset", "results_per_page", "total_results", "record_count"]
+SIDECAR_SUFFIX = ".meta.json"
+
+
+def read_sidecars(spark: SparkSession, path) -> DataFrame:
+    """One row per sidecar file: its fields, and ``sidecar`` with all of it as VARIANT; one that is no object is skipped."""
+    text = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("sidecar_path"))
+    rows = S.parsed(text, "value", "sidecar").where(S.is_object(F.col("sidecar")))
+    doc = F.col("sidecar")
+    return rows.select(
+        *[S.json_text(doc, f"$.{name}").alias(name) for name in SIDECAR_TEXTS],
+        *[S.safe_int(doc, f"$.{name}").alias(name) for name in SIDECAR_NUMBERS],
+        "sidecar",
+        "sidecar_path",
+    )
+
+
+def relative_path(path: Column, root: str) -> Column:
+    """A path below ``root`` without it, whatever scheme either is written with."""
+    bare = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:", "", root).strip("/")
+    return F.substring_index(path, f"{bare}/", -1)
+
+
 def read_table(spark: SparkSession, path: str, ingest_date: str | None = None) -> DataFrame:
     """A stored table: the newest complete snapshot if it is kept as snapshots, else the folder itself."""
     from threatloom.operators.writes import finish_merges, table_root
