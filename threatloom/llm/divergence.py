@@ -7,6 +7,10 @@ a term that neither source has adds the same to every pair, so it is counted and
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,31 +19,32 @@ from threatloom.llm.common import stage
 from threatloom.operators.shaping import top_per_group
 from threatloom.session import work_dir
 
-# Fixed values of the contract: what a term is, smoothing, and the unit of shares.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+# Fixed values of the contract: smoothing, and the unit of shares.
 SMOOTHING, UNIT = 5, 1_000_000_000
 MIN_DOCUMENTS, TOP_TERMS = 30, 50
 LARGEST_VOCABULARY = 2**31 - 1
 # Stands in every document, so that a vocabulary is never empty; no term can hold this character.
 _ALWAYS = "\0"
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def terms(text: Column) -> Column:
-    """Runs of letters (A-Z as a-z) and characters beyond ASCII.
+# What each byte of a text becomes: a-z and bytes beyond ASCII stay, A-Z are lowered, all others separate terms.
+_BYTES = bytes(c if 97 <= c <= 122 or c > 127 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 
-    ``lower`` is quick but knows all of Unicode, so it serves plain ASCII only; ``translate`` goes letter by letter and
-    is kept for the terms that need it.
-    """
 
-    def plain(x: Column) -> Column:
-        return F.octet_length(x) == F.length(x)
+def split_terms(texts: pa.Array) -> pa.Array:
+    """Terms of each text, runs of letters (A-Z as a-z) and characters beyond ASCII, and ``_ALWAYS`` after them."""
+    texts = texts.cast(pa.large_string()).fill_null("")
+    _, offsets, data = texts.buffers()
+    changed = pa.py_buffer((data.to_pybytes() if data else b"").translate(_BYTES))
+    spaced = pa.Array.from_buffers(pa.large_string(), len(texts), [None, offsets, changed], offset=texts.offset)
+    ended = pc.binary_join_element_wise(spaced, pa.scalar(_ALWAYS, pa.large_string()), pa.scalar(" ", pa.large_string()))
+    return pc.ascii_split_whitespace(pc.ascii_ltrim_whitespace(ended))
 
-    def found(x: Column) -> Column:
-        return F.regexp_extract_all(x, F.lit(TERM), F.lit(0))
 
-    lowered = F.transform(found(text), lambda t: F.when(plain(t), F.lower(t)).otherwise(F.translate(t, _UPPER, _LOWER)))
-    return F.when(plain(text), found(F.lower(text))).otherwise(lowered)
+def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        held = split_terms(batch.column(2)).cast(pa.list_(pa.string()))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), held], names=["language", "source", "held"])
 
 
 def _shares(count: Column, total: Column, terms_kept: Column) -> Column:
@@ -76,12 +81,10 @@ def count_terms(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> tuple[Da
     names = [r.lang for r in languages.select("lang").sort("lang").collect()]
     # Stored, so that Spark knows how small it is and need not shuffle the texts for the join.
     numbered = stage(spark.createDataFrame(list(enumerate(names)), "language int, lang string").coalesce(1), "divergence-languages")
-    held = F.concat(terms(F.col("text")), F.array(F.lit(_ALWAYS)))
     path = work_dir(spark, "divergence-terms")
-    # Dealt into folders by language, so that each vectorizer reads its own documents only. The texts are sorted for
-    # that, not their terms, which take more room.
-    dealt = filled.join(numbered, "lang").select("language", "source", "text").sortWithinPartitions("language")
-    dealt.select("language", "source", held.alias("held")).write.partitionBy("language").parquet(path)
+    # Dealt into folders by language, so that each vectorizer reads its own documents only.
+    held = filled.join(numbered, "lang").select("language", "source", "text").mapInArrow(_held, "language int, source string, held array<string>")
+    held.write.partitionBy("language").parquet(path)
     words, counts = work_dir(spark, "divergence-vocabulary"), work_dir(spark, "divergence-counts")
     for number, name in enumerate(names):
         own = spark.read.schema("source string, held array<string>").parquet(f"{path}/language={number}")
