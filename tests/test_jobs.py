@@ -1,5 +1,6 @@
 """The jobs end to end over a small landing zone, and the streaming and anomaly operators."""
 
+import hashlib
 import json
 import os
 import subprocess
@@ -35,7 +36,7 @@ def lake(spark, lake_dir):
     nvd = [{"cve": {"id": "CVE-2021-0001", "metrics": {"cvssMetricV31": [{"cvssData": data}]}}}, {"cve": {"id": "CVE-2021-0002"}}]
     epss = [{"cve": "CVE-2021-0001", "epss": "0.5", "percentile": "0.9", "date": "2026-03-11"}]
     later = [{"cve": "CVE-2021-0001", "epss": "0.9", "percentile": "0.9", "date": "2026-03-12"}]
-    fox = [{"id": "1", "ioc": "10.0.0.1:80", "ioc_type": "ip:port", "malware": "m", "malware_printable": "Mal"}]
+    fox = [{"id": "1", "ioc": "172.16.4.9:80", "ioc_type": "ip:port", "malware": "m", "malware_printable": "Mal"}]
     put = lake_dir.put
     put(f"structured/kev/ingest_date={DATE}/kev_latest.json", json.dumps({"vulnerabilities": kev}))
     put(f"semi_structured/nvd/ingest_date={DATE}/nvd_cves_page=000.json", json.dumps({"vulnerabilities": nvd}))
@@ -45,7 +46,7 @@ def lake(spark, lake_dir):
     put(f"semi_structured/threatfox/ingest_date={DATE}/threatfox_iocs.json", json.dumps({"query_status": "ok", "data": fox}))
     answer = {"cve_id": "CVE-2021-0001", "source_id": "c", "request_url": "u", "retrieved_at_utc": "t", "payload": {"cwe": "CWE-1", "references": [1]}}
     put(f"semi_structured/circl_vulnlookup/ingest_date={DATE}/circl_cve_details.jsonl", json.dumps(answer) + "\n")
-    host = {"ip": "10.0.0.1", "source_id": "s", "retrieved_at_utc": "t", "payload": {"ports": [80]}}
+    host = {"ip": "172.16.4.9", "source_id": "s", "retrieved_at_utc": "t", "payload": {"ports": [80]}}
     put(f"semi_structured/shodan_seeded/ingest_date={DATE}/shodan_hosts.jsonl", json.dumps(host) + "\n")
     return jobs.Lake(spark, lake_dir.root, DATE, "2026-03-12T08:15:00+00:00")
 
@@ -58,11 +59,11 @@ def test_whole_lake(spark, lake, lake_dir):
         assert jobs.load_feed(lake, feed) == size
         assert jobs.load_feed(lake, feed) == size  # a rerun merges onto itself
         assert lake.table("silver", feed).count() == size
-    assert rows(lake.table("silver", "shodan_seeded"), "ip_str", "payload") == [("10.0.0.1", '{"ports":[80]}')]
+    assert rows(lake.table("silver", "shodan_seeded"), "ip_str", "payload") == [("172.16.4.9", '{"ports":[80]}')]
     metrics = rows(jobs.feed_metrics(lake, "epss"), "artifact_name", "record_count", "ingest_date", "url")
     assert metrics == [("epss_page=000.json", 1, DATE, None), ("epss_page=001.json", 1, DATE, None)]
     assert [r["cve"] for r in jobs.lookup_candidates(lake).collect()] == ["CVE-2021-0001"]
-    assert [r["ip"] for r in jobs.seed_addresses(lake, ["::1", "10.0.0.1"]).collect()] == ["10.0.0.1", "::1"]
+    assert [r["ip"] for r in jobs.seed_addresses(lake, ["::1", "172.16.4.9"]).collect()] == ["172.16.4.9", "::1"]
 
     # A capture, its manifest, and the event log a replay left behind.
     relative = f"unstructured/pcap/source=ctu13/scenario=42/ingest_date={DATE}/a.pcap"
@@ -75,7 +76,7 @@ def test_whole_lake(spark, lake, lake_dir):
     assert size == 1 and rows(jobs.check_captures(lake), "integrity_fail") == [(True,)]
     flow = {**FLOW, "timestamp": "soon", "flow_id": 7}
     log = [ALERT, ALERT, flow, {"event_type": "flow", "timestamp": "t"}]
-    log = [*[{**e, "src_ip": "10.0.0.1"} for e in log[:3]], log[3]]  # the indicator that was landed; the last has no source
+    log = [*[{**e, "src_ip": "172.16.4.9"} for e in log[:3]], log[3]]  # the indicator that was landed; the last has no source
     log[0] = {**log[0], "alert": {**ALERT["alert"], "signature": "ET CVE-2021-0001"}}
     log[1] = log[0]
     eve = f"unstructured/pcap_replay/source=ctu13/scenario=42/artifact_sha256={entry['sha256']}/ingest_date={DATE}/eve.jsonl"
@@ -120,14 +121,14 @@ def test_whole_lake(spark, lake, lake_dir):
 
 
 def test_plan_then_rerun(spark, lake, lake_dir):
-    index = spark.createDataFrame([("https://h/sets/", '<a href="Capture-Botnet-42/">x</a>')], "page_url string, html string")
+    index = spark.createDataFrame([("https://h/sets/", '<a href="Set-42/">x</a>')], "page_url string, html string")
     listing = spark.createDataFrame(
-        [("https://h/sets/Capture-Botnet-42/", '<a href="botnet-capture-1.pcap">x</a><a href="a.pcap">x</a>')],
+        [("https://h/sets/Set-42/", '<a href="night-run-1.pcap">x</a><a href="a.pcap">x</a>')],
         "page_url string, html string",
     )
     rules = files.read_selection_rules(spark, lake_dir.put("cfg.json", json.dumps(CONFIG)))
     planned = jobs.plan_artifacts(lake, index, listing, rules, "subset").first()
-    assert (planned["state"], planned["artifact_url"]) == ("to_land", "https://h/sets/Capture-Botnet-42/botnet-capture-1.pcap")
+    assert (planned["state"], planned["artifact_url"]) == ("to_land", "https://h/sets/Set-42/night-run-1.pcap")
     assert f"ingest_date={DATE}" in planned["relative_landing_path"]
     entry = json.dumps({"relative_landing_path": planned["relative_landing_path"]})
     lake_dir.put(f"metadata/manifests/ingest_date={DATE}/{jobs.ARTIFACT_MANIFEST}.jsonl", entry)
@@ -135,6 +136,39 @@ def test_plan_then_rerun(spark, lake, lake_dir):
     assert jobs.plan_artifacts(lake, index, listing, rules, "subset", force=True).first()["state"] == "to_land"
 
 
+def test_replays_are_guarded_and_listed(spark, lake, lake_dir):
+    relative = f"unstructured/pcap/source=ctu13/scenario=42/ingest_date={DATE}/{{}}.pcap"
+    entries = []
+    for name, body, told in (("a", b"good", hashlib.sha256(b"good").hexdigest()), ("b", b"changed", "00")):
+        lake_dir.put(relative.format(name), body)
+        entries.append({"artifact_name": f"{name}.pcap", "relative_landing_path": relative.format(name), "scenario_number": 42, "sha256": told})
+    manifest = f"metadata/manifests/ingest_date={DATE}/{jobs.ARTIFACT_MANIFEST}.jsonl"
+    lake_dir.put(manifest, json.dumps(entries[0]))
+    jobs.catalog_captures(lake)
+    assert [r["artifact_name"] for r in jobs.plan_replays(lake, 5).collect()] == ["a.pcap"]
+    lake_dir.put(manifest, "\n".join(map(json.dumps, entries)))
+    jobs.catalog_captures(lake)
+    with pytest.raises(Exception, match="Checksum mismatch"):
+        jobs.plan_replays(lake, 5).collect()
+
+    when = F.lit("2027-05-04 08:00:00").cast("timestamp")
+    chosen = lake.table("silver", "pcap_artifacts").where("artifact_name = 'a.pcap'")
+    status = F.explode(F.array(F.lit(SUCCEEDED), F.lit("failed"))).alias("status")
+    attempts = chosen.select("*", status, F.lit("boom").alias("error"), when.alias("started_at"), when.alias("completed_at"), F.lit("eve").alias("eve_landing_path"))
+    summary = jobs.record_replays(lake, attempts.withColumn("replay_run_id", F.concat(F.lit("run-"), "status")), "08")
+    listed = jobs.current_manifest(lake, "ctu13_pcap_replay", DATE)
+    assert sorted(json.loads(r["line"])["replay_run_id"] for r in listed.collect()) == ["run-failed", "run-succeeded"]
+    with pytest.raises(Exception, match="1 replay"):
+        jobs.check_replays(lake, summary)
+    jobs.check_replays(lake, summary.withColumn("failed_replays", F.lit(0)))
+
+    alert = {"timestamp_utc": "t", "src_ip": "1.1.1.1", "signature": "s", "severity": 1}
+    for folder, source in (("", "synthetic"), ("source=suricata/", "suricata")):
+        lake_dir.put(f"stream/ids_alerts/{folder}ingest_date={DATE}/hour=08/a.jsonl", json.dumps({**alert, "source": source}))
+    assert jobs.load_alert_logs(lake) == 1
+    assert rows(lake.table("silver", "ids_alerts", DATE), "source") == [("synthetic",)]
+
+
 def test_manifest_grows_by_appending(spark, lake):
     def add(*pairs):
         entries = [(json.dumps({"relative_landing_path": p, "n": n}), DATE) for p, n in pairs]
@@ -215,7 +249,7 @@ assert QUERIES["q_anomaly"](spark, {SMALL!r}).count() > 0
 
 
 def test_stream_restarts_without_doubling(spark, lake_dir, tmp_path):
-    alert = {"timestamp_utc": "2026-03-12T08:15:01Z", "signature": "ET CVE-2021-0001", "src_ip": "a"}
+    alert = {"timestamp_utc": "2027-05-04T09:30:02Z", "signature": "ET CVE-2021-0001", "src_ip": "a"}
     lake_dir.put("in/1.json", json.dumps(alert))
     vulns = spark.createDataFrame([("CVE-2021-0001", 0.5, "HIGH")], "cve_id string, vuln_priority_score double, cvss_v3_severity string")
     sink, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
@@ -240,14 +274,14 @@ def test_stream_windows_over_restarts(spark, lake_dir, tmp_path):
         state = streams.total_counts(spark, sink, ["window_start", "signature"])
         return rows(state.select(F.date_format("window_start", "HH:mm"), "signature", "alerts"))
 
-    line = json.dumps({"timestamp_utc": "2026-03-12T08:15:01Z", "signature": "s"})
+    line = json.dumps({"timestamp_utc": "2027-05-04T09:30:02Z", "signature": "s"})
     lake_dir.put("in/1.json", f"{line}\n{line}")
-    assert run() == [("08:15", "s", 2)]
-    lake_dir.put("in/2.json", f"{line}\n{line.replace(':15:', ':16:')}")
-    assert run() == [("08:15", "s", 3), ("08:16", "s", 1)]
-    assert run() == [("08:15", "s", 3), ("08:16", "s", 1)]
-    lake_dir.put("in/3.json", line.replace(":15:", ":16:"))
-    assert run() == [("08:15", "s", 3), ("08:16", "s", 2)]
+    assert run() == [("09:30", "s", 2)]
+    lake_dir.put("in/2.json", f"{line}\n{line.replace(':30:', ':31:')}")
+    assert run() == [("09:30", "s", 3), ("09:31", "s", 1)]
+    assert run() == [("09:30", "s", 3), ("09:31", "s", 1)]
+    lake_dir.put("in/3.json", line.replace(":30:", ":31:"))
+    assert run() == [("09:30", "s", 3), ("09:31", "s", 2)]
     lake = jobs.Lake(spark, f"{lake_dir.root}/lake", DATE, "now")
     jobs.clean_warm(lake, sink, "r1")
     assert rows(lake.table("trusted", "warm_aggregates"), "alerts") == [(2,), (3,)]
@@ -293,7 +327,7 @@ def test_stream_dedup_keeps_its_state_in_spark(spark, tmp_path):
 
 
 def test_the_lake_starts_its_streams(spark, lake, lake_dir):
-    alert = {"timestamp_utc": "2026-03-12T08:15:01Z", "src_ip": "1.1.1.1", "signature": "ET CVE-2021-0001", "severity": 1}
+    alert = {"timestamp_utc": "2027-05-04T09:30:02Z", "src_ip": "1.1.1.1", "signature": "ET CVE-2021-0001", "severity": 1}
     lake_dir.put(f"stream/ids_alerts/ingest_date={DATE}/hour=08/a.jsonl", json.dumps({**alert, "source": "synthetic"}))
     lake_dir.put(f"stream/ids_alerts/source=suricata/ingest_date={DATE}/hour=08/b.jsonl", json.dumps({**alert, "source": "suricata"}) + "\n{broken")
     stored = [{"replay_run_id": "r1", "flow_id": "1", "timestamp_utc": "t", "event_type": "flow", "src_ip": "2.2.2.2"}] * 2

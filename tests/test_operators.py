@@ -499,13 +499,13 @@ def test_event_checks(spark):
     schema = "replay_run_id string, flow_id string, timestamp_utc string, event_type string, src_ip string"
     raw = frame(
         spark, schema,
-        ("r1", "1", "2026-03-12T08:15:01.000000+0000", "alert", "a"), ("r1", "1", "2026-03-12T08:15:01.000000+0000", "alert", "a"),
-        ("r2", "1", "2026-03-12T08:15:01.000000+0000", "alert", "a"), ("r1", "2", "soon", "alert", "a"), ("r1", "3", "", "alert", "a"),
+        ("r1", "1", "2027-05-04T09:30:02.000000+0000", "alert", "a"), ("r1", "1", "2027-05-04T09:30:02.000000+0000", "alert", "a"),
+        ("r2", "1", "2027-05-04T09:30:02.000000+0000", "alert", "a"), ("r1", "2", "soon", "alert", "a"), ("r1", "3", "", "alert", "a"),
     )
     good, bad, _, _ = trusted.check_events(raw)
     kept = trusted.dedup_events(good)
     assert rows(kept.select("replay_run_id", "flow_id", "_ts_malformed", F.col("event_ts").cast("string"))) == [
-        ("r1", "1", False, "2026-03-12 08:15:01"), ("r1", "2", True, "1970-01-01 00:00:00"), ("r2", "1", False, "2026-03-12 08:15:01"),
+        ("r1", "1", False, "2027-05-04 09:30:02"), ("r1", "2", True, "1970-01-01 00:00:00"), ("r2", "1", False, "2027-05-04 09:30:02"),
     ]
     assert rows(bad, "flow_id", "_reject_reason") == [("3", "timestamp_utc")]
 
@@ -535,9 +535,9 @@ def test_vuln_enriched(spark):
 def test_correlations_of_all_kinds(spark):
     threatfox = frame(
         spark, "ioc string, ioc_value string, malware string, malware_printable string",
-        ("10.0.0.1:80", None, "m", "Mal"), ("Evil.TEST", None, "m2", ""), ("d" * 64, None, "h", None),
+        ("172.16.4.9:80", None, "m", "Mal"), ("Evil.TEST", None, "m2", ""), ("d" * 64, None, "h", None),
     )
-    urlhaus = frame(spark, "url string", ("http://evil.test/x",), ("http://10.0.0.1/y",), ("bad url",))
+    urlhaus = frame(spark, "url string", ("http://evil.test/x",), ("http://172.16.4.9/y",), ("bad url",))
     iocs = exploitation.indicators(threatfox, urlhaus)
     assert ("hash", "d" * 64, "threatfox", "h") in rows(iocs)
     payloads = [
@@ -545,12 +545,12 @@ def test_correlations_of_all_kinds(spark):
     ]
     log = frame(
         spark, "n int, src_ip string, dst_ip string, event_payload_json string",
-        *[(i, "10.0.0.1" if i == 0 else "9.9.9.9", "10.0.0.1" if i == 0 else "", json.dumps(p)) for i, p in enumerate(payloads)],
+        *[(i, "172.16.4.9" if i == 0 else "9.9.9.9", "172.16.4.9" if i == 0 else "", json.dumps(p)) for i, p in enumerate(payloads)],
     )
     found = exploitation.ioc_correlations(log, iocs, ["n"])
     assert rows(found, "n", "matched_side", "ioc_type", "matched_value", "sources", "malware") == [
-        (0, "dst", "ip", "10.0.0.1", ["threatfox", "urlhaus"], ["Mal"]),
-        (0, "src", "ip", "10.0.0.1", ["threatfox", "urlhaus"], ["Mal"]),
+        (0, "dst", "ip", "172.16.4.9", ["threatfox", "urlhaus"], ["Mal"]),
+        (0, "src", "ip", "172.16.4.9", ["threatfox", "urlhaus"], ["Mal"]),
         (1, "payload", "domain", "evil.test", ["threatfox", "urlhaus"], ["m2"]),
         (2, "payload", "domain", "evil.test", ["threatfox", "urlhaus"], ["m2"]),
         (3, "payload", "domain", "evil.test", ["threatfox", "urlhaus"], ["m2"]),

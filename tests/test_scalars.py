@@ -66,9 +66,9 @@ def test_probability(spark, text, expected):
 
 
 IPS = {
-    " 10.0.0.1 ": "10.0.0.1",
-    "10.0.0.1:443": "10.0.0.1",
-    "10.0.0.1:abc": "10.0.0.1",
+    " 172.16.4.9 ": "172.16.4.9",
+    "172.16.4.9:443": "172.16.4.9",
+    "172.16.4.9:abc": "172.16.4.9",
     "2001:DB8:0:0:0:0:0:1": "2001:db8::1",
     "010.0.0.1": None,
     "10.0.0.256": None,
@@ -119,8 +119,8 @@ def test_ipv4_stays_in_the_jvm(spark):
 @pytest.mark.parametrize(
     ("record", "expected"),
     [
-        ('{"ioc_type":"ip:port","ioc":"10.0.0.1:80"}', "10.0.0.1"),
-        ('{"ioc_type":"domain","ioc":"evil.test","ip":"10.0.0.2"}', "10.0.0.2"),
+        ('{"ioc_type":"ip:port","ioc":"172.16.4.9:80"}', "172.16.4.9"),
+        ('{"ioc_type":"domain","ioc":"evil.test","ip":"172.16.4.10"}', "172.16.4.10"),
         ('{"ioc_type":"url","ioc":"::1"}', None),
         ('{"ioc_type":"url","ioc":"::1","ip":"::1"}', "::1"),
         ('{"ioc_type":"ipv6","ioc_value":"2001:DB8::1"}', "2001:db8::1"),

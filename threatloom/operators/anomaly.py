@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
@@ -44,26 +45,44 @@ def average_path(n: float) -> float:
     return 2.0 * (math.log(n - 1.0) + np.euler_gamma) - 2.0 * (n - 1.0) / n
 
 
+def _split(seed: int, tree_id: int, place: int, low: np.ndarray, high: np.ndarray) -> tuple[int, float] | None:
+    """Feature and threshold of a node, from the digest of seed, tree and the node's place; None if all rows are equal.
+
+    Only whole numbers of ``BITS`` bits and single double operations are used, so any engine can repeat the draw.
+    """
+    usable = np.flatnonzero(high > low)
+    if not len(usable):
+        return None
+    digest = hashlib.md5(f"{seed}/{tree_id}/{place}".encode()).hexdigest()
+    width = BITS // 4
+    choice, share = int(digest[:width], 16), int(digest[width : 2 * width], 16)
+    feature = int(usable[choice % len(usable)])
+    return feature, float(low[feature] + (high[feature] - low[feature]) * (share / float(1 << BITS)))
+
+
 def grow_tree(points: np.ndarray, tree_id: int, seed: int) -> pd.DataFrame:
-    """Nodes of one isolation tree over at most ``SAMPLE`` points."""
-    rng = np.random.default_rng([seed, tree_id])
+    """Nodes of one isolation tree over at most ``SAMPLE`` points, numbered level by level from the left.
+
+    The root is at place 1, the children of a node at twice its place and one more.
+    """
     limit = math.ceil(math.log2(max(len(points), 2)))
-    nodes, open_nodes = [None], [(0, points, 0)]
+    nodes: dict[int, tuple] = {}
+    open_nodes = [(1, points, 0)]
     while open_nodes:
-        node_id, rows, depth = open_nodes.pop()
-        low, high = rows.min(axis=0), rows.max(axis=0)
-        usable = np.flatnonzero(high > low)
-        if depth >= limit or len(rows) <= 1 or not len(usable):
-            nodes[node_id] = (tree_id, node_id, -1, 0.0, node_id, node_id, depth + average_path(len(rows)))
+        place, rows, depth = open_nodes.pop()
+        ended = depth >= limit or len(rows) <= 1
+        split = None if ended else _split(seed, tree_id, place, rows.min(axis=0), rows.max(axis=0))
+        if split is None:
+            nodes[place] = (-1, 0.0, place, place, depth + average_path(len(rows)))
             continue
-        feature = int(rng.choice(usable))
-        threshold = float(rng.uniform(low[feature], high[feature]))
-        goes_left = rows[:, feature] <= threshold
-        left, right = len(nodes), len(nodes) + 1
-        nodes += [None, None]
-        nodes[node_id] = (tree_id, node_id, feature, threshold, left, right, 0.0)
-        open_nodes += [(left, rows[goes_left], depth + 1), (right, rows[~goes_left], depth + 1)]
-    table = pd.DataFrame(nodes, columns=["tree_id", "node_id", "feature", "threshold", "left", "right", "path"])
+        goes_left = rows[:, split[0]] <= split[1]
+        nodes[place] = (*split, 2 * place, 2 * place + 1, 0.0)
+        open_nodes += [(2 * place, rows[goes_left], depth + 1), (2 * place + 1, rows[~goes_left], depth + 1)]
+    number = {place: i for i, place in enumerate(sorted(nodes))}
+    table = pd.DataFrame(
+        [(tree_id, i, nodes[p][0], nodes[p][1], number[nodes[p][2]], number[nodes[p][3]], nodes[p][4]) for p, i in number.items()],
+        columns=["tree_id", "node_id", "feature", "threshold", "left", "right", "path"],
+    )
     return table.assign(sample=len(points))
 
 
@@ -82,9 +101,13 @@ def draws(matrix: DataFrame, trees: int = TREES, sample: int = SAMPLE, seed: int
     rows = matrix.select(F.concat_ws("/", *keys).alias("k"), *FEATURES)
     seeded = F.concat(F.col("k"), F.lit(f"#{seed}"))
     rows = rows.withColumns({"a": _digits(seeded), "b": _digits(seeded, 1)})
-    dealt = rows.withColumn("tree_id", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    dealt = dealt.withColumn("turn", F.pmod(F.col("a") + F.col("tree_id") * F.col("b"), F.lit(1 << BITS)))
-    dealt = dealt.where(F.col("turn") < limit).drop("a", "b")
+
+    def turn(tree: Column) -> Column:
+        return F.pmod(F.col("a") + tree * F.col("b"), F.lit(1 << BITS))
+
+    # The trees whose turn is early enough are found inside the row: a flow gives a few rows, not one per tree.
+    early = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: turn(tree) < limit)
+    dealt = rows.withColumn("tree_id", F.explode(early)).withColumn("turn", turn(F.col("tree_id"))).drop("a", "b")
     return top_per_group(dealt, ["tree_id"], sample, F.col("turn"), F.col("k"), *map(F.col, FEATURES)).drop("turn")
 
 

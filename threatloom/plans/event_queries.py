@@ -535,7 +535,7 @@ def q_risk_summary(t: Tables) -> DataFrame:
 
 ORDER_FLOWS = """
 WITH led AS (SELECT CAST(l_orderkey AS VARCHAR) AS flow_id, l_linenumber AS severity, l_returnflag || l_linestatus AS category,
-  l_suppkey AS src_port, count(*) OVER (PARTITION BY l_orderkey) AS event_count,
+  l_suppkey AS src_port, l_partkey AS dst_port, count(*) OVER (PARTITION BY l_orderkey) AS event_count,
   row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_returnflag || l_linestatus, l_suppkey, l_partkey) AS rn FROM lineitem),
 flows AS (SELECT * FROM led WHERE rn = 1)
 """
@@ -570,6 +570,55 @@ def q_anomaly_draw(t: Tables) -> DataFrame:
     )
 
 
+# Growing repeated in SQL: rows go down level by level; each node's split comes from the digest of seed, tree and place.
+_LOWS, _HIGHS = (", ".join(f"{f}(f[{i}]) OVER node" for i in range(1, 6)) for f in ("min", "max"))
+GROWN = f"""
+, d AS (SELECT *, md5(flow_id || '#7') AS m FROM flows),
+n AS (SELECT *, CAST('0x' || substr(m, 1, 12) AS BIGINT) AS a, CAST('0x' || substr(m, 13, 12) AS BIGINT) AS b FROM d),
+drawn AS (SELECT tree_id, [CAST(CAST('0x' || substr(md5(category), 1, 12) AS BIGINT) AS DOUBLE), CAST(severity AS DOUBLE), CAST(src_port AS DOUBLE),
+    CAST(dst_port AS DOUBLE), CAST(event_count AS DOUBLE)] AS f
+  FROM n, range(100) t(tree_id) QUALIFY row_number() OVER (PARTITION BY tree_id ORDER BY (a + tree_id * b) % 281474976710656, flow_id) <= 256),
+sizes AS (SELECT tree_id, count(*) AS sample, ceil(log2(greatest(count(*), 2))) AS most FROM drawn GROUP BY tree_id),
+grown AS (
+  SELECT tree_id, CAST(1 AS BIGINT) AS place, 0 AS depth, most, f, CAST(NULL AS BIGINT) AS feature, CAST(NULL AS DOUBLE) AS threshold, CAST(0 AS BIGINT) AS rows_here, false AS ended
+  FROM drawn JOIN sizes USING (tree_id)
+  UNION ALL
+  SELECT tree_id, next_place, depth, most, f, feature, threshold, rows_here, ended FROM (
+    SELECT *, CASE WHEN feature IS NULL THEN place ELSE 2 * place + CASE WHEN f[feature + 1] <= threshold THEN 0 ELSE 1 END END AS next_place, feature IS NULL AS ended
+    FROM (
+      SELECT tree_id, place, depth + 1 AS depth, most, f, rows_here, CASE WHEN depth < most AND rows_here > 1 THEN pick END AS feature,
+        lows[pick + 1] + (highs[pick + 1] - lows[pick + 1]) * (CAST(CAST('0x' || substr(m, 13, 12) AS BIGINT) AS DOUBLE) / CAST(281474976710656 AS DOUBLE)) AS threshold
+      FROM (SELECT *, usable[1 + CAST('0x' || substr(m, 1, 12) AS BIGINT) % greatest(len(usable), 1)] AS pick
+        FROM (SELECT *, list_filter([0, 1, 2, 3, 4], lambda i: highs[i + 1] > lows[i + 1]) AS usable, md5('7/' || tree_id || '/' || place) AS m
+          FROM (SELECT tree_id, place, depth, most, f, count(*) OVER node AS rows_here, [{_LOWS}] AS lows, [{_HIGHS}] AS highs
+            FROM grown WHERE NOT ended WINDOW node AS (PARTITION BY tree_id, place))))))),
+nodes AS (
+  SELECT DISTINCT tree_id, CASE WHEN ended THEN place ELSE place // 2 END AS place, depth - 1 AS depth, feature, CASE WHEN NOT ended THEN threshold END AS threshold, rows_here
+  FROM grown WHERE rows_here > 0),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY tree_id ORDER BY place) - 1 AS node_id FROM nodes)
+"""
+
+
+@query(
+    ORDER_FLOWS.replace("WITH led", "WITH RECURSIVE led")
+    + GROWN
+    + """
+SELECT p.tree_id, p.node_id, coalesce(p.feature, -1) AS feature, CAST(floor(coalesce(p.threshold, 0) * 1024) AS BIGINT) AS threshold_1024,
+  coalesce(l.node_id, p.node_id) AS "left", coalesce(r.node_id, p.node_id) AS "right",
+  CASE WHEN p.feature IS NOT NULL THEN 0 ELSE round(p.depth + CASE WHEN p.rows_here <= 1 THEN 0 WHEN p.rows_here = 2 THEN 1
+    ELSE 2 * (ln(p.rows_here - 1) + CAST(0.5772156649015329 AS DOUBLE)) - 2 * CAST(p.rows_here - 1 AS DOUBLE) / p.rows_here END, 6) END AS path,
+  sample
+FROM numbered p JOIN sizes USING (tree_id)
+LEFT JOIN numbered l ON l.tree_id = p.tree_id AND l.place = 2 * p.place LEFT JOIN numbered r ON r.tree_id = p.tree_id AND r.place = 2 * p.place + 1
+"""
+)
+def q_anomaly_tree(t: Tables) -> DataFrame:
+    """All nodes of the forest that the flows of all line items grow."""
+    whole = {c: F.col(c).cast("bigint") for c in ("tree_id", "node_id", "feature", "left", "right", "sample")}
+    exact = {"threshold_1024": F.floor(F.col("threshold") * 1024), "path": F.round("path", 6)}  # codes are too long to round
+    return anomaly.train(order_features(t)).withColumns({**whole, **exact}).drop("threshold")
+
+
 # Two small trees: by event count, then source port; by category code, then severity.
 SMALL_FOREST = [
     (0, 0, 4, 3.0, 1, 2, 0.0, 256),

@@ -255,6 +255,24 @@ def list_captures(lake: Lake) -> str:
     return writes.write_snapshot(catalog.in_catalog_order(lake.table("silver", "pcap_artifacts")), lake.path("trusted", "pcap_catalog"))
 
 
+def plan_replays(lake: Lake, max_artifacts: int, allow_decompress: bool = False, max_bytes: int | None = None) -> DataFrame:
+    """The captures to replay next; one whose landed file has another hash than its catalog row stops the job."""
+    chosen = catalog.replay_candidates(lake.table("silver", "pcap_artifacts"), max_artifacts, allow_decompress, max_bytes)
+    return catalog.assert_integrity(catalog.integrity(chosen, _landed_captures(lake)))
+
+
+def load_alert_logs(lake: Lake) -> int:
+    """Append the alerts that other producers have logged on the run's date; replays append their own."""
+    rows = lines.read_alert_logs(lake.spark, lake.root).where(F.col("ingest_date") == lake.ingest_date)
+    own = ~F.col("source").eqNullSafe(events.EVENT_SOURCE)
+    return writes.write_or_merge(rows.where(own).select(*ALERT.names), lake.path("silver", "ids_alerts"), None, ["ingest_date"])
+
+
+def check_replays(lake: Lake, summary: DataFrame) -> None:
+    """Stop the run if any replay has failed; everything is stored by then."""
+    events.assert_replayed(summary).collect()  # one row
+
+
 def record_replays(
     lake: Lake,
     attempts: DataFrame,
@@ -277,9 +295,9 @@ def record_replays(
     rows = events.normalize_events(events.stamp_artifact(raw, succeeded), lake.ingest_date)
     writes.append(rows, events_path, ["ingest_date"])
 
-    stored = lake.table("silver", "suricata_events", lake.ingest_date).join(
-        attempts.select("replay_run_id"), "replay_run_id", "left_semi"
-    )
+    # With the declared columns: replays that found nothing leave a table without files.
+    log = spark.read.schema(EVENT).parquet(events_path).where(F.col("ingest_date") == lake.ingest_date)
+    stored = log.join(attempts.select("replay_run_id"), "replay_run_id", "left_semi")
     alert_rows = events.alerts(stored)
     writes.write_json_log(
         alert_rows.withColumn("hour", F.lit(hour)), lake.path("stream/ids_alerts/source=suricata"), ["ingest_date", "hour"]
@@ -287,6 +305,9 @@ def record_replays(
     writes.append(alert_rows, lake.path("silver", "ids_alerts"), ["ingest_date"])
     runs = events.run_rows(attempts, stored, wanted, lake.ingest_date, binary)
     writes.write_or_merge(runs, lake.path("silver", "pcap_replay_runs"), ["replay_run_id"], ["ingest_date"])
+    runs = lake.table("silver", "pcap_replay_runs", lake.ingest_date).join(attempts.select("replay_run_id"), "replay_run_id", "left_semi")
+    entries = runs.select(writes.sorted_json(runs).alias("line"), "ingest_date")
+    writes.append_manifest(entries, lake.root, events.REPLAY_SOURCE_ID)
     if topic_path:
         writes.publish(stored, events.EVENTS_TOPIC, path=topic_path)
         writes.publish(alert_rows, events.ALERTS_TOPIC, path=topic_path)
@@ -348,15 +369,15 @@ def clean_warm(lake: Lake, state_path: str, run_id: str) -> None:
     job.finish([state_path], target, lake.path("exploitation", "lineage"))
 
 
+def _landed_captures(lake: Lake) -> DataFrame:
+    found = files.read_artifacts(lake.spark, lake.path("unstructured/pcap"), "*.pcap*")
+    found = found.where(~F.col("path").endswith(files.SIDECAR_SUFFIX))
+    return found.withColumn("relative_landing_path", files.relative_path(F.col("path"), lake.root))
+
+
 def check_captures(lake: Lake) -> DataFrame:
     """The capture catalog with ``integrity_fail``, hashes recomputed from the landed files."""
-    found = files.read_artifacts(lake.spark, lake.path("unstructured/pcap"), "*.pcap*").where(
-        ~F.col("path").endswith(".meta.json")
-    )
-    relative = F.concat(F.lit("unstructured/pcap/"), F.substring_index("path", "unstructured/pcap/", -1))
-    checked = catalog.integrity(
-        lake.table("silver", "pcap_artifacts"), found.withColumn("relative_landing_path", relative)
-    )
+    checked = catalog.integrity(lake.table("silver", "pcap_artifacts"), _landed_captures(lake))
     writes.write_snapshot(checked, lake.path("trusted", "pcap_artifacts"))
     return checked
 
