@@ -50,7 +50,7 @@ FROM v LEFT JOIN counts ON counts.node = vec_id LEFT JOIN parts ON parts.node =
 """.strip()
 
 SQL["op4_url_filter"] = f"""
-WITH cut AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS r FROM pages),
+WITH RECURSIVE cut AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS r FROM pages),
 parsed AS (SELECT page_id, translate(regexp_extract(r, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host,
   regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
 shaped AS (SELECT *, coalesce(array_to_string(list_filter(string_split(regexp_replace(path, '[0-9]+', '#', 'g'), '/'), lambda x: x <> ''), '/'), '') AS shape
@@ -66,21 +66,27 @@ children AS (SELECT host, parent, segment, sum(pages) AS own FROM nodes GROUP BY
 levels AS (SELECT host, parent, count(*) AS children, sum(own) AS whole FROM children GROUP BY ALL),
 rare AS (SELECT host, parent, segment FROM children JOIN levels USING (host, parent)
   WHERE children > 20 AND CAST(own AS DOUBLE) < CAST(0.05 AS DOUBLE) * CAST(whole AS DOUBLE)),
-general AS (SELECT n.host, n.shape, list(CASE WHEN rare.segment IS NULL THEN n.segment ELSE '*' END ORDER BY n.depth) AS parts
+general AS (SELECT n.host, n.shape, list(CASE WHEN rare.segment IS NULL THEN n.segment ELSE '?' END ORDER BY n.depth) AS parts
   FROM nodes n LEFT JOIN rare USING (host, parent, segment) GROUP BY n.host, n.shape),
-named AS (SELECT host, shape, labels, bad, coalesce(parts, []) AS parts FROM counted LEFT JOIN general USING (host, shape)),
-leaves AS (SELECT host, parts, parts[1:len(parts) - 1] AS stem, CAST(sum(labels) AS DOUBLE) AS n, CAST(sum(bad) AS DOUBLE) AS b FROM named GROUP BY ALL),
-around AS (SELECT host, stem, len(parts) AS depth, sum(n) AS all_n, sum(b) AS all_b FROM leaves GROUP BY ALL),
-shares AS (SELECT l.host, l.parts, l.stem, l.n, l.b, all_b / nullif(all_n, 0) AS share
-  FROM leaves l JOIN around a ON a.host = l.host AND a.stem = l.stem AND a.depth = len(l.parts)),
-decided AS (SELECT host, parts, CASE WHEN len(parts) = 0
-    OR coalesce(abs(b - n * share) > CAST(1.96 AS DOUBLE) * sqrt(n * share * (1 - share)), false)
-  THEN parts ELSE list_append(stem, '*') END AS kept FROM shares),
-templates AS (SELECT host, shape, labels, bad, '/' || coalesce(array_to_string(kept, '/'), '') AS template
-  FROM named JOIN decided USING (host, parts)),
 total AS (SELECT coalesce(CAST(sum(bad) AS DOUBLE) / CAST(sum(labels) AS DOUBLE), 0) AS rate FROM marked),
-pooled AS (SELECT host, template, (CAST(sum(bad) AS DOUBLE) + CAST(10 AS DOUBLE) * any_value(rate)) / (CAST(sum(labels) AS DOUBLE) + CAST(10 AS DOUBLE)) AS purity
-  FROM templates, total GROUP BY host, template),
+named AS (SELECT host, shape, CAST(labels AS DOUBLE) AS labels, CAST(bad AS DOUBLE) AS bad,
+  list_append(CASE WHEN len(parts) > 8 THEN list_append(parts[1:7], array_to_string(parts[8:], '/')) ELSE coalesce(parts, []) END, '') AS parts
+  FROM counted LEFT JOIN general USING (host, shape)),
+tree AS (
+  SELECT host, shape, labels, bad, parts, '' AS template, 0 AS depth,
+    (sum(bad) OVER (PARTITION BY host) + CAST(10 AS DOUBLE) * rate) / (sum(labels) OVER (PARTITION BY host) + CAST(10 AS DOUBLE)) AS purity FROM named, total
+  UNION ALL
+  SELECT host, shape, labels, bad, parts, template || '/' || kept, depth + 1,
+    (sum(bad) OVER branch + CAST(10 AS DOUBLE) * purity) / (sum(labels) OVER branch + CAST(10 AS DOUBLE))
+  FROM (
+    SELECT *, CASE WHEN segment = '' THEN '' WHEN coalesce(abs(b - n * share) > CAST(1.96 AS DOUBLE) * sqrt(n * share * (1 - share)), false) THEN segment ELSE '?' END AS kept
+    FROM (
+      SELECT *, sum(labels) OVER child AS n, sum(bad) OVER child AS b,
+        sum(bad) FILTER (segment <> '') OVER parent / nullif(sum(labels) FILTER (segment <> '') OVER parent, 0) AS share
+      FROM (SELECT *, parts[depth + 1] AS segment FROM tree WHERE depth < len(parts))
+      WINDOW child AS (PARTITION BY host, template, segment), parent AS (PARTITION BY host, template)))
+  WINDOW branch AS (PARTITION BY host, template, kept)),
+pooled AS (SELECT host, shape, template, purity FROM tree WHERE depth = len(parts)),
 ruled AS (SELECT *, CASE
     WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
     WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
@@ -89,7 +95,7 @@ ruled AS (SELECT *, CASE
 SELECT page_id, host, path, rule,
   CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL OR purity > CAST(0.5 AS DOUBLE) THEN 'block' ELSE 'allow' END AS verdict,
   template, purity
-FROM ruled JOIN templates USING (host, shape) JOIN pooled USING (host, template)
+FROM ruled JOIN pooled USING (host, shape)
 """.strip()
 
 SQL["op9_minhash"] = f"""

@@ -68,8 +68,8 @@ class Words:
     """Words of many texts at once, found on their bytes.
 
     ``member`` says for each byte value whether it belongs to a word; A-Z count as a-z. ``start`` and ``end`` are
-    byte offsets into ``data`` (the lower-cased texts, each followed by one zero byte), ``hash`` a 64-bit hash per
-    word, ``owner`` the text that it belongs to.
+    byte offsets into ``data`` (the lower-cased texts, each followed by one zero byte that is no part of it, whatever
+    zero bytes the texts hold), ``hash`` a 64-bit hash per word, ``owner`` the text that it belongs to.
     """
 
     LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -77,16 +77,16 @@ class Words:
     INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
     def __init__(self, texts: list[bytes | None], member: np.ndarray):
-        parts = [(t or b"").replace(b"\0", b" ") for t in texts]
+        parts = [t or b"" for t in texts]
         self.data = (b"\0".join(parts) + b"\0").translate(self.LOWER)
         raw = np.frombuffer(self.data, dtype=np.uint8)
+        ends = np.cumsum([len(p) + 1 for p in parts])
         inside = member[raw]
-        inside[raw == 0] = False
+        inside[ends - 1] = False
         edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
         if inside[0]:
             edge = np.concatenate(([0], edge))
         self.start, self.end = edge[0::2], edge[1::2]
-        ends = np.cumsum([len(p) + 1 for p in parts])
         self.owner = np.searchsorted(ends, self.start, side="right")
         self.first = np.searchsorted(self.start, np.concatenate(([0], ends)))
         self.hash = self._hashes(raw)
@@ -115,3 +115,11 @@ def byte_class(excluded) -> np.ndarray:
 # Fixed values of the contracts: bytes that separate words.
 SPACES = byte_class([0x20, *range(0x09, 0x0E)])
 LETTERS_DIGITS = byte_class([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
+
+
+def free_name(name: str, columns: list[str]) -> str:
+    """A column name that none of ``columns`` has, whatever the case of its letters."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -23,7 +23,7 @@ VECTORS_PER_LIST, MOST_LISTS = 128, 4096
 SUBSPACES, CODES = 8, 64
 NATIVE_BLOCK, PROBE_BLOCK = 1024, 4096
 
-_ROW = "label long, dim int, list int, vec_id long, native boolean, home int, near array<int>, margin array<double>, vector binary, code binary, error double"
+_ROW = "label long, dim int, list int, vec_id long, copies long, native boolean, home int, near array<int>, margin array<double>, vector binary, code binary, error double"
 
 
 def _means(data: np.ndarray, k: int, seed: int, rounds: int = 8) -> np.ndarray:
@@ -133,11 +133,12 @@ def _index(shared, reach: float):
                     near = np.flatnonzero(margin <= reach)
                     near = near[near != home[r]].tolist()
                     margins = margin[near].tolist()
-                    fixed = (data["vec_id"][i], int(home[r]), near, margins, data["vector"][i], codes[r].tobytes(), float(error[r]))
-                    out.append((data["label"][i], dim, int(home[r]), fixed[0], True, *fixed[1:]))
-                    out += [(data["label"][i], dim, j, fixed[0], False, *fixed[1:]) for j in near]
-            columns = list(zip(*out, strict=True)) or [[] for _ in range(11)]
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.int32(), pa.list_(pa.int32())]
+                    who = (data["vec_id"][i], data["copies"][i])
+                    what = (int(home[r]), near, margins, data["vector"][i], codes[r].tobytes(), float(error[r]))
+                    out.append((data["label"][i], dim, int(home[r]), *who, True, *what))
+                    out += [(data["label"][i], dim, j, *who, False, *what) for j in near]
+            columns = list(zip(*out, strict=True)) or [[] for _ in range(12)]
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.list_(pa.int32())]
             kinds += [pa.list_(pa.float64()), pa.binary(), pa.binary(), pa.float64()]
             names = [x.split()[0] for x in _ROW.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
@@ -168,6 +169,7 @@ def _link(shared, least: float):
         coded = np.array(data["coded"])
         probing = np.array(data["probing"])
         ids = np.array(data["vec_id"], dtype=np.int64)
+        copies = np.array(data["copies"], dtype=np.int64)
         home = np.array(data["home"])
         unit = _unit(data["vector"])
         x, y = np.flatnonzero(probing), np.flatnonzero(coded)
@@ -196,10 +198,12 @@ def _link(shared, least: float):
                     found_y.append(two[good])
         a = np.concatenate(found_x) if found_x else np.empty(0, np.int64)
         b = np.concatenate(found_y) if found_y else np.empty(0, np.int64)
-        counts = np.bincount(a, minlength=len(ids)) + np.bincount(b, minlength=len(ids))
+        counts = np.zeros(len(ids), dtype=np.int64)
+        np.add.at(counts, a, copies[b])
+        np.add.at(counts, b, copies[a])
         root = _roots(a, b, ids)
         some = counts > 0
-        return pa.table({"vec_id": ids[some], "n": counts[some].astype(np.int64), "root": root[some]})
+        return pa.table({"vec_id": ids[some], "n": counts[some], "root": root[some]})
 
     return run
 
@@ -212,18 +216,22 @@ def near_vectors(vectors: DataFrame, least: float = 0.98) -> DataFrame:
     length. Rows with one vec_id are one vector: the least of them by label and components. A null vec_id gives one
     row with itself as a null component, kept. An empty table gives no rows.
 
-    Nothing is lost to the index: linked unit vectors are at most r = sqrt(2 - 2 * least) apart, so if their lists
-    differ one of them is within r / 2 of the border between both and probes the other's list; and a code that is
-    farther than r plus its own error cannot be within r. Lists crowded beyond a block are compared block by block;
-    a block pair returns a count and one root per linked vector, never pairs.
+    Equal vectors are compared once, whatever their number: a class counts its copies in ``n_links``, so a third of all
+    rows being one vector costs no more than one row. Nothing is lost to the index: linked unit vectors are at most
+    r = sqrt(2 - 2 * least) apart, so if their lists differ one of them is within r / 2 of the border between both and
+    probes the other's list; and a code that is farther than r plus its own error cannot be within r. Lists crowded
+    beyond a block are compared block by block; a block pair returns a count and one root per linked vector, never pairs.
     """
     reach = float(np.sqrt(2 - 2 * least)) / 2 * (1 + 1e-9) + 1e-12
     context = vectors.sparkSession.sparkContext
     one = vectors.groupBy("vec_id").agg(F.min(F.struct(F.col("label").cast("long").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))).alias("v"))
     one = stage(one.select("vec_id", "v.label", "v.embedding"), "vectors")
     valid = stage(one.select("vec_id", "label", "embedding").mapInArrow(_valid, "vec_id long, label long, dim int, vector binary"), "vectors-valid")
-    shared = context.broadcast(fit(valid))
-    rows = stage(valid.mapInArrow(_index(shared, reach), _ROW), "vectors-index")
+    # Equal vectors of one label are one class under their smallest id; only classes are compared.
+    same = ["label", "dim", "vector"]
+    classes = stage(valid.groupBy(*same).agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies")), "vectors-classes")
+    shared = context.broadcast(fit(classes))
+    rows = stage(classes.mapInArrow(_index(shared, reach), _ROW), "vectors-index")
     place = ["label", "dim", "list"]
     sizes = rows.groupBy(*place).agg(F.count("*").alias("all"), F.sum(F.col("native").cast("long")).alias("own"))
     sizes = sizes.where("own > 0 AND all > 1")
@@ -236,9 +244,13 @@ def near_vectors(vectors: DataFrame, least: float = 0.98) -> DataFrame:
     coded = rows.where("native").select(*columns, F.lit(False).alias("probing"), F.lit(True).alias("coded"), F.explode(F.sequence(F.lit(0), probe_blocks - 1)).alias("p"), F.pmod(spread, coded_blocks).alias("c"))
     found = probes.union(coded).groupBy(*place, "p", "c").applyInArrow(_link(shared, least), "vec_id long, n long, root long")
     found = stage(found, "vectors-links")
-    counts = found.groupBy("vec_id").agg(F.sum("n").alias("n_links"))
+    counts = found.groupBy("vec_id").agg(F.sum("n").alias("others"))
     parts = components(found.select(F.col("vec_id").alias("a"), F.col("root").alias("b")))
-    linked = counts.join(parts, counts.vec_id == parts.node, "left").select("vec_id", "n_links", F.coalesce("component", "vec_id").alias("component_id"))
-    out = one.select("vec_id").join(linked, "vec_id", "left")
+    linked = classes.join(counts, "vec_id", "left").join(parts.withColumnRenamed("node", "vec_id"), "vec_id", "left")
+    linked = linked.select(
+        *same, (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("component", "vec_id").alias("component_id")
+    )
+    members = valid.join(linked, same).select("vec_id", "n_links", "component_id")
+    out = one.select("vec_id").join(members, "vec_id", "left")
     component = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))

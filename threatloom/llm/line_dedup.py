@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threatloom.llm.common import stage
+from threatloom.llm.common import free_name, stage
 
 MIN_TOKENS = 5
 LEADING = 2
@@ -117,10 +117,12 @@ def drop_recurring_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) ->
     rows = stage(lines(docs.select("doc_id", "text")), "lines")
     hits = rows.join(recurring(rows, min_documents), "template")
     gone = hits.groupBy("doc_id", "line").agg(F.max(F.col("doc_id") == F.col("first_id")).alias("first"))
-    gone = gone.where("NOT first").groupBy("doc_id").agg(F.collect_list("line").alias("_gone"))
-    kept = docs.drop("lines_dropped").join(gone, "doc_id", "left").select(*[F.col(f"`{c}`") for c in docs.columns if c != "lines_dropped"], "_gone")
+    listed = free_name("gone", docs.columns)
+    gone = gone.where("NOT first").groupBy("doc_id").agg(F.collect_list("line").alias(listed))
+    kept = docs.drop("lines_dropped").join(gone, "doc_id", "left").select(*[F.col(f"`{c}`") for c in docs.columns if c != "lines_dropped"], listed)
     split = F.split("text", "\n")
-    left = F.filter(split, lambda x: ~F.array_contains("_gone", F.xxhash64(x)))
-    dropped = F.when(F.col("_gone").isNotNull() & F.col("text").isNotNull(), F.size(split) - F.size(left)).otherwise(0)
-    text = F.when(F.col("_gone").isNotNull(), F.array_join(left, "\n")).otherwise(F.col("text"))
-    return kept.withColumns({"text": text, "lines_dropped": dropped.cast("long")}).drop("_gone")
+    left = F.filter(split, lambda x: ~F.array_contains(listed, F.xxhash64(x)))
+    hit = F.col(listed).isNotNull()
+    dropped = F.when(hit & F.col("text").isNotNull(), F.size(split) - F.size(left)).otherwise(0)
+    text = F.when(hit, F.array_join(left, "\n")).otherwise(F.col("text"))
+    return kept.withColumns({"text": text, "lines_dropped": dropped.cast("long")}).drop(listed)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from threatloom.llm.common import stage
+
 # Fixed values of the contract: (verdict, host, path).
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -12,8 +14,12 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MOST_CHILDREN, LEAST_SHARE = 20, 0.05
 # Branches within so many standard deviations of their siblings' rate are merged.
 DEVIATIONS = 1.96
-# Weight of the host-independent rate in a template's purity, and the bad share over which it is rejected.
+# Weight of the parent's purity in that of a branch, and the purity over which a template is rejected.
 PRIOR_WEIGHT, REJECT_OVER = 10.0, 0.5
+# Stands for any segment; a path ends before the first character of this kind, so none can hold it.
+ANY = "?"
+# A path of more segments has the rest of them as its last one.
+DEEPEST = 8
 
 
 def _host_and_path(url: Column) -> tuple[Column, Column]:
@@ -40,9 +46,12 @@ def filter_urls(pages: DataFrame, labels: DataFrame, rules=RULES) -> DataFrame:
 
     ``labels`` (page_id, bad) marks some pages as good (0) or bad (1); several labels of a page all count, null ones
     do not. A rule that fits decides, the longest first. Else the page's template does: digits in a path segment are
-    one mark; below a level with many children, rare ones become a wildcard; sibling templates whose bad share does
-    not differ from their common share are merged; a template is blocked when its bad share, smoothed towards the
-    share of all labelled pages, is over REJECT_OVER. Without labels nothing but the rules blocks.
+    one mark; below a level with many children, rare ones become a wildcard; at every depth, sibling branches whose bad
+    share does not differ from their common share are merged into one, with all that lies below them. The purity of a
+    branch is its bad share smoothed towards the purity of its parent, that of a host towards the share of all labelled
+    pages; a template over REJECT_OVER is blocked. So a bad section is caught however its labels are dealt over its
+    branches, and a branch with few labels of its own is judged by what surrounds it. Without labels nothing but the
+    rules blocks.
 
     A null url, or one without ``://``, has an empty host and path. Pages are reduced to one row per host and lexical
     template before the tree is built, so a crowded host or template is a row per task in every shuffle but the last
@@ -56,11 +65,8 @@ def filter_urls(pages: DataFrame, labels: DataFrame, rules=RULES) -> DataFrame:
     counted = parsed.join(marked, "page_id", "left").groupBy("host", "shape").agg(
         F.count("*").alias("pages"), F.coalesce(F.sum("labels"), F.lit(0)).alias("labels"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")
     )
-    templates = _merged(_generalised(counted))
-    totals = marked.agg(F.coalesce(F.sum("bad") / F.sum("labels"), F.lit(0.0))).first()[0]
-    pooled = templates.groupBy("host", "template").agg(F.sum("labels").alias("labels"), F.sum("bad").alias("bad"))
-    purity = (F.col("bad") + PRIOR_WEIGHT * totals) / (F.col("labels") + PRIOR_WEIGHT)
-    judged = templates.select("host", "shape", "template").join(pooled.select("host", "template", purity.alias("purity")), ["host", "template"])
+    rate = marked.agg(F.coalesce(F.sum("bad") / F.sum("labels"), F.lit(0.0))).first()[0]
+    judged = _judged(_generalised(counted), rate)
     rule, verdict = _ruled(F.col("host"), F.col("path"), rules)
     method = F.when(F.col("purity") > REJECT_OVER, "block").otherwise("allow")
     return parsed.join(judged, ["host", "shape"], "left").select(
@@ -80,21 +86,39 @@ def _generalised(counted: DataFrame) -> DataFrame:
     rare = children.join(levels, ["host", "parent", "depth"]).where((F.col("children") > MOST_CHILDREN) & (F.col("own") < LEAST_SHARE * F.col("whole")))
     rare = rare.select("host", "parent", "depth", "segment", F.lit(True).alias("rare"))
     named = nodes.join(rare, ["host", "parent", "depth", "segment"], "left")
-    part = F.struct("depth", F.when(F.col("rare"), "*").otherwise(F.col("segment")).alias("name"))
+    part = F.struct("depth", F.when(F.col("rare"), ANY).otherwise(F.col("segment")).alias("name"))
     parts = named.groupBy("host", "shape").agg(F.array_sort(F.collect_list(part)).alias("parts"))
     return counted.join(parts, ["host", "shape"], "left").withColumn("parts", F.coalesce(F.col("parts.name"), F.array().cast("array<string>")))
 
 
-def _merged(templates: DataFrame) -> DataFrame:
-    """Adds ``template``: last segments whose bad share does not stand out among their siblings become a wildcard."""
+def _judged(shapes: DataFrame, rate: float) -> DataFrame:
+    """(host, shape, template, purity), the tree being merged and judged level by level from the root.
+
+    A level is two grouped sums over the shapes, in the map tasks first, and joins with keys that are unique on one side.
+    Its result is stored, so the plan of the next level does not hold it. There are as many levels as the longest path
+    has segments, DEEPEST at most. The end of a path is a branch of its own, so a page and what lies below it differ.
+    """
     size = F.size("parts")
-    named = templates.withColumns({"stem": F.array_join(F.slice("parts", 1, F.greatest(size - 1, F.lit(0))), "/"), "leaf": F.array_join("parts", "/"), "depth": size})
-    leaves = named.groupBy("host", "stem", "depth", "leaf").agg(F.sum("labels").alias("n"), F.sum("bad").alias("b"))
-    around = leaves.groupBy("host", "stem", "depth").agg(F.sum("n").alias("all_n"), F.sum("b").alias("all_b"))
-    share = F.col("all_b") / F.when(F.col("all_n") > 0, F.col("all_n"))
-    off = F.abs(F.col("b") - F.col("n") * share)
-    apart = F.coalesce(off > DEVIATIONS * F.sqrt(F.col("n") * share * (1 - share)), F.lit(False))
-    decided = leaves.join(around, ["host", "stem", "depth"]).select("host", "leaf", apart.alias("apart"))
-    stem = F.concat("stem", F.when(F.col("stem") == "", "").otherwise("/"), F.lit("*"))
-    template = F.when((F.col("depth") == 0) | F.col("apart"), F.col("leaf")).otherwise(stem)
-    return named.join(decided, ["host", "leaf"]).select("host", "shape", "labels", "bad", F.concat(F.lit("/"), template).alias("template"))
+    rest = F.array_join(F.slice("parts", F.lit(DEEPEST), F.greatest(size, F.lit(1))), "/")
+    parts = F.when(size > DEEPEST, F.concat(F.slice("parts", 1, DEEPEST - 1), F.array(rest))).otherwise(F.col("parts"))
+    tree = shapes.select("host", "shape", F.col("labels").cast("double").alias("labels"), F.col("bad").cast("double").alias("bad"), F.concat(parts, F.array(F.lit(""))).alias("parts"))
+    smoothed = (F.sum("bad") + PRIOR_WEIGHT * rate) / (F.sum("labels") + PRIOR_WEIGHT)
+    tree = stage(tree.join(tree.groupBy("host").agg(smoothed.alias("purity")), "host").withColumn("template", F.lit("")), "urls-tree")
+    for depth in range(tree.agg(F.max(F.size("parts"))).first()[0] or 0):
+        named = tree.withColumn("segment", F.get("parts", F.lit(depth)))
+        own = named.where("segment IS NOT NULL").groupBy("host", "template", "purity", "segment").agg(F.sum("labels").alias("n"), F.sum("bad").alias("b"))
+        around = own.where("segment <> ''").groupBy("host", "template").agg(F.sum("n").alias("all_n"), F.sum("b").alias("all_b"))
+        share = F.col("all_b") / F.when(F.col("all_n") > 0, F.col("all_n"))
+        off = F.abs(F.col("b") - F.col("n") * share)
+        apart = F.coalesce(off > DEVIATIONS * F.sqrt(F.col("n") * share * (1 - share)), F.lit(False))
+        kept = F.when(F.col("segment") == "", "").when(apart, F.col("segment")).otherwise(ANY)
+        decided = own.join(around, ["host", "template"], "left").withColumn("kept", kept)
+        pure = (F.sum("b") + PRIOR_WEIGHT * F.col("purity")) / (F.sum("n") + PRIOR_WEIGHT)
+        pooled = decided.groupBy("host", "template", "purity", "kept").agg(pure.alias("pure")).drop("purity")
+        below = decided.select("host", "template", "segment", "kept").join(pooled, ["host", "template", "kept"])
+        template = F.concat("template", F.coalesce(F.concat(F.lit("/"), "kept"), F.lit("")))
+        tree = named.join(below, ["host", "template", "segment"], "left").select(
+            "host", "shape", "labels", "bad", "parts", F.coalesce("pure", "purity").alias("purity"), template.alias("template")
+        )
+        tree = stage(tree, "urls-tree")
+    return tree.select("host", "shape", "template", "purity")
