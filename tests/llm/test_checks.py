@@ -43,7 +43,7 @@ def awkward(spark, tmp_path_factory):
         "one two three four five six seven eight nine ten eleven",
     ]
     tables = {
-        "documents": ([(i, t, "en", "s", 0) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long"),
+        "documents": ([(i, t, ["en", "fr", None][i % 2 + i % 7 // 6], ["s", "t", None, ""][i % 4], 0) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long"),
         "benchmark": ([(1, PASSAGE), (2, "six seven"), (3, None), (4, "...")], "item_id long, text string"),
         "embeddings": (
             [(1, [1.0, 0.0], 1), (2, [2.0, 0.1], 1), (3, [1.0, 0.0], None), (4, [0.0, 0.0], 1), (5, None, 1), (6, [1.0, None], 1)]

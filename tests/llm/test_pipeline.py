@@ -8,7 +8,7 @@ from threatloom.llm.queries import QUERIES
 
 def test_registration():
     names = set(__spark_entry__.queries())
-    assert {*QUERIES, "pipeline"} <= names and len(QUERIES) == 10
+    assert {*QUERIES, "pipeline"} <= names and len(QUERIES) == 13
 
 
 def test_stages_keep_clean_documents(spark, tmp_path):
