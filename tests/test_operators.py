@@ -168,6 +168,11 @@ def test_a_merge_is_completed_after_its_driver_was_lost(spark, tmp_path, monkeyp
         broken.setattr(writes, "_put_in_force", lost)
         with pytest.raises(SystemError):
             writes.write_or_merge(frame(spark, schema, (1, "c", "2026-01-02")), path, ["k"], ["ingest_date"])
+    # While it may still be moving, readers see what is in place and writers stop.
+    assert rows(read_table(spark, path), "k", "v") == [(1, "a"), (2, "b")]
+    with pytest.raises(writes.ChangedTable):
+        writes.write_or_merge(frame(spark, schema, (1, "d", "2026-01-02")), path, ["k"], ["ingest_date"])
+    monkeypatch.setattr(writes, "LOST_AFTER_SECONDS", 0)
     assert rows(read_table(spark, path), "k", "v", "ingest_date") == [(1, "c", "2026-01-02"), (2, "b", "2026-01-02")]
     assert not list((tmp_path / "t").glob("_merge-*"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from typing import NamedTuple
 from urllib.parse import unquote
@@ -19,6 +20,8 @@ SNAPSHOT = "snapshot="
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 # Merged partitions wait in such a folder of the table, which readers do not see; the marker says that they are in force.
 MERGE, IN_FORCE = "_merge-", "_IN_FORCE"
+# Moving takes renames only; a merge that is not over so long after its marker was set has lost its driver.
+LOST_AFTER_SECONDS = 600
 
 
 def _filesystem(spark: SparkSession, path: str):
@@ -118,13 +121,21 @@ def _put_in_force(spark: SparkSession, root: str, waiting: str) -> None:
     files.delete(hadoop.Path(f"{root}/{waiting}"), True)
 
 
-def finish_merges(spark: SparkSession, root: str) -> None:
-    """Complete a merge whose driver was lost while its partitions were moved."""
+def finish_merges(spark: SparkSession, root: str, writing: bool = False) -> None:
+    """Complete a merge whose driver was lost while its partitions were moved.
+
+    One that may still be moving is left to its own driver; a writer stops then.
+    """
     files, where, hadoop = _filesystem(spark, root)
-    if files.exists(where):
-        for name in [s.getPath().getName() for s in files.listStatus(where)]:
-            if name.startswith(MERGE) and files.exists(hadoop.Path(f"{root}/{name}/{IN_FORCE}")):
+    if not files.exists(where):
+        return
+    for name in [s.getPath().getName() for s in files.listStatus(where)]:
+        marker = hadoop.Path(f"{root}/{name}/{IN_FORCE}")
+        if name.startswith(MERGE) and files.exists(marker):
+            if time.time() - files.getFileStatus(marker).getModificationTime() / 1000 >= LOST_AFTER_SECONDS:
                 _put_in_force(spark, root, name)
+            elif writing:
+                raise ChangedTable(f"another merge into {root} is being put in force; run the merge again")
 
 
 def _merge_partitions(source: DataFrame, root: str, keys: list[str], partition_by: list[str]) -> None:
@@ -137,7 +148,7 @@ def _merge_partitions(source: DataFrame, root: str, keys: list[str], partition_b
     a table keep one schema. On the driver are folder names only, as in Spark's own listing.
     """
     spark = source.sparkSession
-    finish_merges(spark, root)
+    finish_merges(spark, root, writing=True)
     depth = len(partition_by)
     existing = _partition_folders(spark, root, depth)
     target = spark.read.option("basePath", root).parquet(root)
