@@ -80,7 +80,7 @@ class Words:
         parts = [t or b"" for t in texts]
         self.data = (b"\0".join(parts) + b"\0").translate(self.LOWER)
         raw = np.frombuffer(self.data, dtype=np.uint8)
-        ends = np.cumsum([len(p) + 1 for p in parts])
+        ends = np.cumsum([len(p) + 1 for p in parts], dtype=np.int64)
         inside = member[raw]
         inside[ends - 1] = False
         edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
