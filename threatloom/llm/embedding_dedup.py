@@ -1,8 +1,10 @@
 """Near-duplicate vectors by product quantisation.
 
-Unit vectors are dealt over coarse lists by their nearest centroid; in a list a vector is held as codes of its residual
-in eight subspaces. A vector probes every list whose border it is close to. In a list, table look-ups give the distance
-of the probing vector to each coded one; what the coding error leaves possible is ranked by exact cosine.
+Unit vectors are dealt over coarse lists by their nearest centroid. Where a label has more vectors than the first level
+has room for, its lists are split by centroids of the residuals, level by level, so lists stay short at any size. In a
+list a vector is held as codes of its last residual in eight subspaces. A vector probes every list whose border it is
+close to. In a list, table look-ups give the distance of the probing vector to each coded one; what the coding error
+leaves possible is ranked by exact cosine.
 """
 
 from __future__ import annotations
@@ -19,11 +21,13 @@ from threatloom.llm.components import components
 
 # The codebooks are fitted on about so many vectors, drawn by hash of their ids; every vector is indexed.
 SAMPLE = 20_000
-VECTORS_PER_LIST, MOST_LISTS = 128, 4096
+VECTORS_PER_LIST = 128
+# Lists of the first level, and parts that each further level makes of a list, as powers of two.
+FIRST_BITS, SPLIT_BITS = 10, 6
 SUBSPACES, CODES = 8, 64
 NATIVE_BLOCK, PROBE_BLOCK = 1024, 4096
 
-_ROW = "label long, dim int, list int, vec_id long, copies long, native boolean, home int, near array<int>, margin array<double>, vector binary, code binary, error double"
+_ROW = "label long, dim int, list long, vec_id long, copies long, native boolean, home int, mine double, near array<int>, margin array<double>, vector binary, code binary, error double"
 
 
 def _means(data: np.ndarray, k: int, seed: int, rounds: int = 8) -> np.ndarray:
@@ -32,7 +36,7 @@ def _means(data: np.ndarray, k: int, seed: int, rounds: int = 8) -> np.ndarray:
     draw = np.random.default_rng(seed)
     centers = data[np.sort(draw.permutation(len(data))[:k])].copy()
     for _ in range(rounds):
-        nearest = _squares(data, centers).argmin(axis=1)
+        nearest = _nearest(data, centers)
         counts = np.bincount(nearest, minlength=len(centers))
         sums = np.zeros_like(centers)
         np.add.at(sums, nearest, data)
@@ -45,18 +49,69 @@ def _squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum((a * a).sum(1)[:, None] - 2 * (a @ b.T) + (b * b).sum(1)[None, :], 0)
 
 
+def _nearest(data: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    return np.concatenate([_squares(data[i : i + 1024], centers).argmin(axis=1) for i in range(0, len(data), 1024)])
+
+
 class Codebook:
-    """Coarse centroids and residual codewords for vectors of one length."""
+    """Centroids of each level and residual codewords for vectors of one length.
+
+    The centroids of a level after the first are shared by all lists of the level before. A list's number is made of
+    its centroid at each level. ``first`` numbers the centroids of all levels through.
+    """
 
-    def __init__(self, dim: int, sample: np.ndarray | None = None, lists: int = 1):
+    def __init__(self, dim: int, sample: np.ndarray | None = None, sizes: tuple[int, ...] = (1,)):
         self.parts = [p for p in np.array_split(np.arange(dim), min(SUBSPACES, max(1, dim))) if len(p)]
         if sample is None or not len(sample):
-            self.centers = np.zeros((1, dim))
+            self.levels = [np.zeros((1, dim))]
             self.words = [np.zeros((1, len(p))) for p in self.parts]
-            return
-        self.centers = _means(sample, lists, seed=1)
-        rest = sample - self.centers[_squares(sample, self.centers).argmin(axis=1)]
-        self.words = [_means(rest[:, p], CODES, seed=2 + i) for i, p in enumerate(self.parts)]
+        else:
+            self.levels, rest = [], sample
+            for size in sizes:
+                self.levels.append(_means(rest, size, seed=1))
+                rest = rest - self.levels[-1][_nearest(rest, self.levels[-1])]
+            self.words = [_means(rest[:, p], CODES, seed=2 + i) for i, p in enumerate(self.parts)]
+        self.apart = [np.sqrt(_squares(c, c)) for c in self.levels]
+        self.first = np.cumsum([0, *(len(c) for c in self.levels)])
+
+    def center(self, place: int) -> np.ndarray:
+        """What is taken off a vector of a list before it is coded."""
+        total = np.zeros(self.levels[0].shape[1])
+        for centers in reversed(self.levels):
+            place, at = divmod(place, len(centers))
+            total = total + centers[at]
+        return total
+
+    def places(self, unit: np.ndarray, reach: float) -> tuple[np.ndarray, ...]:
+        """(row, list, residual, home, mine) of each vector in its own list (home -1) and in those that it probes.
+
+        ``home`` is the own centroid at the level where a probe leaves its own lists, ``mine`` how far it is there from
+        the border. Last come, per vector, the centroids of all levels whose border it is close to, and how close.
+        A probe may be twice as far from the borders of later levels, since there the other vector does not move.
+        """
+        row, place, rest = np.arange(len(unit)), np.zeros(len(unit), dtype=np.int64), unit
+        home, mine = np.full(len(unit), -1), np.zeros(len(unit))
+        near: list[list[int]] = [[] for _ in unit]
+        margins: list[list[float]] = [[] for _ in unit]
+        for level, (centers, apart) in enumerate(zip(self.levels, self.apart, strict=True)):
+            squares = _squares(rest, centers)
+            best = squares.argmin(axis=1)
+            each = np.arange(len(row))
+            # Distance to the border between the nearest centroid and each other one.
+            with np.errstate(divide="ignore", invalid="ignore"):
+                margin = np.nan_to_num((squares - squares[each, best][:, None]) / (2 * apart[best]), nan=0.0)
+            native = home < 0
+            take = margin <= np.where(native, reach, 2 * reach)[:, None]
+            take[each, best] = True
+            e, to = np.nonzero(take)
+            leaves = native[e] & (to != best[e])
+            for r, j, m in zip(row[e[leaves]].tolist(), to[leaves].tolist(), margin[e, to][leaves].tolist(), strict=True):
+                near[r].append(int(self.first[level]) + j)
+                margins[r].append(m)
+            home = np.where(leaves, self.first[level] + best[e], home[e])
+            mine = np.where(leaves, margin[e, to], mine[e])
+            row, place, rest = row[e], place[e] * len(centers) + to, rest[e] - centers[to]
+        return row, place, rest, home, mine, near, margins
 
     def coded(self, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes of residuals, and how far each residual is from its code."""
@@ -106,10 +161,12 @@ def fit(vectors: DataFrame) -> dict[int, Codebook]:
     share = int(min(1.0, SAMPLE / sizes[0]) * (1 << 30))
     drawn = vectors.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < share).select("vec_id", "dim", "vector")
     rows = sorted(drawn.limit(2 * SAMPLE).collect())
-    lists = 2 ** int(np.clip(round(np.log2(max(1.0, sizes[1] / VECTORS_PER_LIST))), 0, np.log2(MOST_LISTS)))
+    bits = max(0, round(np.log2(sizes[1] / VECTORS_PER_LIST)))
+    levels = [2 ** min(bits, FIRST_BITS)]
+    levels += [2 ** min(bits - done, SPLIT_BITS) for done in range(FIRST_BITS, bits, SPLIT_BITS)]
     books = {}
     for dim in sorted({r.dim for r in rows}):
-        books[dim] = Codebook(dim, _unit([bytes(r.vector) for r in rows if r.dim == dim]), lists)
+        books[dim] = Codebook(dim, _unit([bytes(r.vector) for r in rows if r.dim == dim]), tuple(levels))
     return books
 
 
@@ -122,23 +179,17 @@ def _index(shared, reach: float):
                 own = [i for i, d in enumerate(data["dim"]) if d == dim]
                 book = shared.value.get(dim) or Codebook(dim)
                 unit = _unit([data["vector"][i] for i in own])
-                squares = _squares(unit, book.centers)
-                home = squares.argmin(axis=1)
-                codes, error = book.coded(unit - book.centers[home])
-                apart = np.sqrt(_squares(book.centers, book.centers))
-                for r, i in enumerate(own):
-                    # Distance to the border between the own list and each other one.
-                    with np.errstate(divide="ignore", invalid="ignore"):
-                        margin = np.nan_to_num((squares[r] - squares[r, home[r]]) / (2 * apart[home[r]]), nan=0.0)
-                    near = np.flatnonzero(margin <= reach)
-                    near = near[near != home[r]].tolist()
-                    margins = margin[near].tolist()
-                    who = (data["vec_id"][i], data["copies"][i])
-                    what = (int(home[r]), near, margins, data["vector"][i], codes[r].tobytes(), float(error[r]))
-                    out.append((data["label"][i], dim, int(home[r]), *who, True, *what))
-                    out += [(data["label"][i], dim, j, *who, False, *what) for j in near]
-            columns = list(zip(*out, strict=True)) or [[] for _ in range(12)]
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.list_(pa.int32())]
+                row, place, rest, home, mine, near, margins = book.places(unit, reach)
+                codes, error = book.coded(rest[home < 0])
+                for r, at, left, m in zip(row.tolist(), place.tolist(), home.tolist(), mine.tolist(), strict=True):
+                    i = own[r]
+                    who = (data["label"][i], dim, at, data["vec_id"][i], data["copies"][i])
+                    if left < 0:
+                        out.append((*who, True, left, m, near[r], margins[r], data["vector"][i], codes[r].tobytes(), float(error[r])))
+                    else:
+                        out.append((*who, False, left, m, [], [], data["vector"][i], b"", 0.0))
+            columns = list(zip(*out, strict=True)) or [[] for _ in range(13)]
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.float64(), pa.list_(pa.int32())]
             kinds += [pa.list_(pa.float64()), pa.binary(), pa.binary(), pa.float64()]
             names = [x.split()[0] for x in _ROW.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
@@ -170,25 +221,26 @@ def _link(shared, least: float):
         probing = np.array(data["probing"])
         ids = np.array(data["vec_id"], dtype=np.int64)
         copies = np.array(data["copies"], dtype=np.int64)
-        home = np.array(data["home"])
+        home, mine = np.array(data["home"]), np.array(data["mine"])
         unit = _unit(data["vector"])
         x, y = np.flatnonzero(probing), np.flatnonzero(coded)
         found_x, found_y = [], []
         if len(x) and len(y):
             codes = np.frombuffer(b"".join(data["code"][i] for i in y), dtype=np.uint8).reshape(len(y), -1)
             error = np.array([data["error"][i] for i in y])
-            margin_y = np.full((len(y), len(book.centers)), np.inf)
+            center = book.center(place)
+            margin_y = np.full((len(y), int(book.first[-1])), np.inf)
             for r, i in enumerate(y):
                 margin_y[r, data["near"][i]] = data["margin"][i]
             for at in range(0, len(x), 512):
                 own = x[at : at + 512]
-                near = book.distances(unit[own] - book.centers[place], codes) <= far + error[None, :] + 1e-9
+                near = book.distances(unit[own] - center, codes) <= far + error[None, :] + 1e-9
                 # A pair of one list counts where the smaller id probes. A pair of two lists counts once: in the list
                 # that the closer of both to the border probes.
-                mine = np.array([0.0 if native[i] else data["margin"][i][data["near"][i].index(place)] for i in own])
                 other = margin_y[:, home[own]].T
                 smaller = ids[own][:, None] < ids[y][None, :]
-                first = (mine[:, None] < other) | ((mine[:, None] == other) & smaller)
+                closer = mine[own][:, None]
+                first = (closer < other) | ((closer == other) & smaller)
                 near &= np.where(native[own][:, None], smaller, first & (ids[own][:, None] != ids[y][None, :]))
                 a, b = np.nonzero(near)
                 for part in range(0, len(a), 50_000):
@@ -218,9 +270,11 @@ def near_vectors(vectors: DataFrame, least: float = 0.98) -> DataFrame:
 
     Equal vectors are compared once, whatever their number: a class counts its copies in ``n_links``, so a third of all
     rows being one vector costs no more than one row. Nothing is lost to the index: linked unit vectors are at most
-    r = sqrt(2 - 2 * least) apart, so if their lists differ one of them is within r / 2 of the border between both and
-    probes the other's list; and a code that is farther than r plus its own error cannot be within r. Lists crowded
-    beyond a block are compared block by block; a block pair returns a count and one root per linked vector, never pairs.
+    r = sqrt(2 - 2 * least) apart, so if their lists part at some level, one of them is within r / 2 of the border between
+    both there and probes the other's list, and at later levels it is within r of every border before the other's; and a
+    code that is farther than r plus its own error cannot be within r. Lists grow with the vectors of a label, by a
+    level of centroids at a time. A list crowded beyond a block, as one of near copies is, is compared block by block; a
+    block pair returns a count and one root per linked vector, never pairs.
     """
     reach = float(np.sqrt(2 - 2 * least)) / 2 * (1 + 1e-9) + 1e-12
     context = vectors.sparkSession.sparkContext
