@@ -21,6 +21,8 @@ WINDOW = 13
 # The benchmark goes to the tasks in blocks of at most so many bytes of text; each block is one pass over a shard.
 BLOCK_BYTES = 16 << 20
 _SLICE = 8 << 20
+# In place of a word before the first or after the last of an item.
+_EDGE = 0xFFFFFFFF
 
 _STATE = "n_words long, places array<struct<item:string,at:long,length:long>>"
 
@@ -33,20 +35,38 @@ class Suffixes:
         self.window = window
         self.vocabulary, number = np.unique(words.hash, return_inverse=True)
         number = number.astype(np.uint32) + 1
-        owners, keys, widths = [], [], []
-        for i, (name, _) in enumerate(items):
+        keys, owner, widths, before, after = [], [], [], [], []
+        for i in range(len(items)):
             own = number[words.first[i] : words.first[i + 1]]
             width = min(window, len(own))
             if width:
-                rows = np.zeros((len(own) - width + 1, window), dtype=np.uint32)
+                count = len(own) - width + 1
+                rows = np.zeros((count, window), dtype=np.uint32)
                 for j in range(width):
-                    rows[:, j] = own[j : len(own) - width + 1 + j]
+                    rows[:, j] = own[j : count + j]
                 keys.append(rows)
-                owners += [name] * len(rows)
-                widths += [width] * len(rows)
-        self.owners, self.widths = owners, np.array(widths, dtype=np.int64)
-        self.keys = np.concatenate(keys) if keys else np.empty((0, window), np.uint32)
-        self.shortest = int(self.widths.min()) if len(self.widths) else window + 1
+                owner.append(np.full(count, i))
+                widths.append(np.full(count, width))
+                before.append(np.concatenate(([_EDGE], own[: count - 1])))
+                after.append(np.concatenate((own[width:], [_EDGE])))
+
+        def joined(parts: list[np.ndarray]) -> np.ndarray:
+            return np.concatenate(parts).astype(np.int64) if parts else np.empty(0, np.int64)
+
+        # Per window: its item, its length, and the item's words before and after it.
+        self.names = [name for name, _ in items]
+        self.owner, self.width, self.before, self.after = joined(owner), joined(widths), joined(before), joined(after)
+        self.shortest = int(self.width.min()) if len(self.width) else window + 1
+        # Equal windows are searched once: those of window kind j are by[bounds[j]:bounds[j + 1]].
+        rows = np.concatenate(keys) if keys else np.empty((0, window), np.uint32)
+        packed = self.packed(rows)
+        self.by = np.argsort(packed, kind="stable")
+        new = np.flatnonzero(np.append(True, packed[self.by][1:] != packed[self.by][:-1])) if len(packed) else np.empty(0, np.int64)
+        self.bounds = np.append(new, len(packed))
+        rows = rows[self.by[new]]
+        self.low = self.packed(rows)
+        rows[np.arange(window) >= self.width[self.by[new]][:, None]] = 0xFFFFFFFF
+        self.high = self.packed(rows)
 
     @staticmethod
     def packed(rows: np.ndarray) -> np.ndarray:
@@ -58,7 +78,7 @@ class Suffixes:
         """Per text of the shard: (item, first word, words) of every maximal verbatim match with a window."""
         found: list[list[tuple[str, int, int]]] = [[] for _ in range(len(words.first) - 1)]
         total = len(words.hash)
-        if not len(self.keys) or not total:
+        if not len(self.by) or not total:
             return found
         at = np.searchsorted(self.vocabulary, words.hash)
         at[at == len(self.vocabulary)] = 0
@@ -79,29 +99,41 @@ class Suffixes:
         keys = self.packed(rows)
         order = np.argsort(keys, kind="stable")
         array, starts = keys[order], starts[order]
-        low = np.searchsorted(array, self.packed(self.keys), side="left")
-        top = self.keys.copy()
-        top[np.arange(self.window) >= self.widths[:, None]] = 0xFFFFFFFF
-        high = np.searchsorted(array, self.packed(top), side="right")
-        hits = []
-        for k in np.flatnonzero(high > low):
-            hits += [(self.owners[k], int(p), int(self.widths[k]), k) for p in starts[low[k] : high[k]]]
-        # Windows of one item that follow each other in both texts are one match.
-        open_at: dict[tuple, list] = {}
-        matches = []
-        for owner, p, width, k in sorted(hits, key=lambda x: (x[1], x[3])):
-            last = open_at.pop((p - 1, k - 1), None)
-            if last is None or last[0] != owner:
-                last = [owner, p, p]
-                matches.append(last)
-            last[2] = p + width
-            open_at[p, k] = last
-        for owner, p, end in matches:
-            text = words.owner[p]
-            found[text].append((owner, p - int(words.first[text]), end - p))
+        low = np.searchsorted(array, self.low, side="left")
+        high = np.searchsorted(array, self.high, side="right")
+        # A maximal match starts where the words before it differ and ends where those after it differ. Only such
+        # ends are listed, so a repeated word costs what the matches are, not every window at every place.
+        text = words.owner
+        known = number.astype(np.int64)
+        head, tail = [], []
+        for kind in np.flatnonzero(high > low):
+            at = starts[low[kind] : high[kind]]
+            windows = self.by[self.bounds[kind] : self.bounds[kind + 1]]
+            width = int(self.width[windows[0]])
+            head.append(_unlike(at, np.where(at > words.first[text[at]], known[at - 1], 0), windows, self.before[windows]))
+            next_at = np.minimum(at + width, total - 1)
+            tail.append(_unlike(at, np.where(at + width < words.first[text[at] + 1], known[next_at], 0), windows, self.after[windows]))
+        if not head:
+            return found
+        (p, k), (last, end_k) = (np.concatenate(x, axis=1) for x in (head, tail))
+        # On a diagonal matches do not overlap, so the n-th start belongs to the n-th end.
+        order, end_order = np.lexsort((p, k - p)), np.lexsort((last, end_k - last))
+        p, k, last, end_k = p[order], k[order], last[end_order], end_k[end_order]
+        length = last + self.width[end_k] - p
+        for t, item, first, n in zip(text[p].tolist(), self.owner[k].tolist(), (p - words.first[text[p]]).tolist(), length.tolist(), strict=True):
+            found[t].append((self.names[item], first, n))
         return found
 
 
+def _unlike(places: np.ndarray, there: np.ndarray, windows: np.ndarray, here: np.ndarray) -> np.ndarray:
+    """(place, window) pairs whose neighbouring words differ, as two rows."""
+    pairs = []
+    for word in np.unique(here):
+        own, other = windows[here == word], places[there != word]
+        pairs.append(np.stack((np.repeat(other, len(own)), np.tile(own, len(other)))))
+    return np.concatenate(pairs, axis=1)
+
+
 def _scan(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         suffixes = shared.value
