@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threatloom.llm.common import slices
+from threatloom.llm.common import slices, stage
 from threatloom.operators.shaping import top_per_group
 
 # Bound of the training sample: so many documents per language, so many windows of so many characters of each.
@@ -170,6 +170,8 @@ def train(docs: DataFrame) -> Network | None:
     chosen = top_per_group(
         labelled.select("doc_id", "lang"), ["lang"], DOCS_PER_LANGUAGE, F.xxhash64("doc_id"), F.col("doc_id")
     ).select("doc_id", "lang").distinct()
+    # Stored, so that Spark knows how few ids there are and need not shuffle the texts to find them.
+    chosen = stage(chosen, "language-sample")
     texts = labelled.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"], "left_semi")
     room = F.greatest(F.length("text") - WINDOW, F.lit(0)) + 1
     cuts = [
