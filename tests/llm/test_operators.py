@@ -190,7 +190,36 @@ def test_contamination_of_odd_rows(session, docs):
     assert decontaminate.drop_contaminated(docs, one).count() == 8
 
 
-def test_vectors_find_every_link(session):
+def test_matches_of_repeated_words_are_maximal():
+    words = ["a"] * 30 + ["b"] + ["a"] * 20
+    item = decontaminate.Suffixes([("i", " ".join(words[:45]).encode()), ("j", b"b a")])
+
+    def brute(text):
+        found = set()
+        for name, own in (("i", words[:45]), ("j", ["b", "a"])):
+            for p in range(len(text)):
+                for k in range(len(own)):
+                    n = 0
+                    while p + n < len(text) and k + n < len(own) and text[p + n] == own[k + n]:
+                        n += 1
+                    if n >= min(13, len(own)) and not (p and k and text[p - 1] == own[k - 1]):
+                        found.add((name, p, n))
+        return found
+
+    texts = [["a"] * 40, words, [*"ba", "c", *words[10:44], "c"], ["c"] * 3, []]
+    got = item.places(decontaminate.Words([" ".join(t).encode() for t in texts], decontaminate.LETTERS_DIGITS))
+    assert [set(x) for x in got] == [brute(t) for t in texts]
+    # 2,000 equal words in 20,000 are 40 million windows at places, but as many matches as both have words.
+    many = decontaminate.Suffixes([("i", b"a " * 2000)]).places(decontaminate.Words([b"a " * 20000], decontaminate.LETTERS_DIGITS))[0]
+    assert len(many) == 20000 - 12 + 2000 - 12 - 1 and max(x[2] for x in many) == 2000
+
+
+@pytest.mark.parametrize("levels", [None, (1, 2, 4)])
+def test_vectors_find_every_link(session, monkeypatch, levels):
+    if levels:  # lists of four vectors by three levels or more
+        monkeypatch.setattr(embedding_dedup, "FIRST_BITS", levels[0])
+        monkeypatch.setattr(embedding_dedup, "SPLIT_BITS", levels[1])
+        monkeypatch.setattr(embedding_dedup, "VECTORS_PER_LIST", levels[2])
     draw = np.random.default_rng(7)
     rows = []
     for i in range(1500):
@@ -202,7 +231,8 @@ def test_vectors_find_every_link(session):
     table = [(i, [float(x) for x in v], label, "x", 1) for i, (v, label) in enumerate(rows)]
     table += [(9001, None, 1, "x", 1), (9002, [0.0] * 24, 1, "x", 1), (9003, [float("nan")] * 24, 1, "x", 1), (9004, [1.0, None], 1, "x", 1)]
     table += [(9005, table[0][1], None, "x", 1), (9006, [1.0], 1, "x", 1), (9007, [2.0], 1, "x", 1)]
-    found = embedding_dedup.near_vectors(session.createDataFrame(table, "vec_id long, embedding array<double>, label int, list string, native int")).collect()
+    vectors = session.createDataFrame(table, "vec_id long, embedding array<double>, label int, list string, native int")
+    found = embedding_dedup.near_vectors(vectors).collect()
     unit = np.array([v / np.linalg.norm(v) for v, _ in rows])
     labels = np.array([label for _, label in rows])
     near = (unit @ unit.T >= 0.98) & (labels[:, None] == labels[None, :])
